@@ -1,0 +1,54 @@
+"""Shared working storage for jobs that must outlive a lost executor.
+
+Intermediate tables are Parquet under the folder that the session names in
+``spark.checkpoint.dir``; only where that setting is absent (tests, a laptop)
+a temporary folder of this machine is used.  Nothing here is ever a
+``localCheckpoint``: a lost executor costs a re-read, not the job.
+"""
+
+from __future__ import annotations
+
+import atexit
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_OWN: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, else a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if "dir" not in _OWN:
+        _OWN["dir"] = "file://" + tempfile.mkdtemp(prefix="pixelloom-")
+    return _OWN["dir"]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, removed when the driver ends."""
+    path = f"{shared_dir(spark)}/pixelloom/{name}-{uuid.uuid4().hex}"
+
+    def tidy() -> None:
+        try:
+            _remove(spark, path)
+        except Exception:  # the session has already gone; nothing left to tidy with
+            pass
+
+    atexit.register(tidy)
+    return path
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to shared storage and return a reader of what was written."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
