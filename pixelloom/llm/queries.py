@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelloom.llm import bpe, decontaminate
+from pixelloom.llm import bpe, decontaminate, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -50,3 +50,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, read back from token files written in order of document id."""
+    import public_tokenizers as P
+
+    files = token_files.write(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"))
+    return token_files.read(spark, files).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
