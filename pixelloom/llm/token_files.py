@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from pixelloom.llm.arrow import kind_of
 from pixelloom.llm.pretoken import ChunkEncoder
-from pixelloom.llm.storage import materialise, new_path
+from pixelloom.sources.storage import materialise, new_path
 
 #: Ids after which a block ends.
 BLOCK_IDS = 200_000
