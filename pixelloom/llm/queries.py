@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelloom.llm import bpe, decontaminate, token_files
+from pixelloom.llm import bpe, decontaminate, ngram_join, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -61,3 +61,9 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, files).select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingles have a Jaccard similarity of 0.9 or more."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), 3, (90, 100))
