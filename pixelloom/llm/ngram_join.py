@@ -4,12 +4,14 @@ A document's set holds the hashes of its distinct word n-grams.  Two documents l
 similarity of their sets reaches a rational threshold; the join is exact up to collisions of
 64-bit shingle hashes within one pair.  The steps:
 
-1. *Fingerprint*: one narrow pass gives every document its set size and a 128-bit digest of the set, and
-   adds its shingles to a table of counts of fixed size.  Documents of equal sets become one node.
-2. *Prefix*: all sets are put in one global order, rare shingles first by that table.  Sets that reach the
-   threshold share one of their first ``n - ceil(t * n) + 1`` shingles, so only these are shuffled.  What
-   shares one is linked to the smallest such node (grouped minima, so a frequent shingle is as cheap
-   as a rare one), and components of these links are the *families* that may hold true links.
+1. *Fingerprint*: one narrow pass gives every document its set size and a 128-bit digest of the set.
+   Documents of equal sets become one node.
+2. *Families*: sets that reach the threshold differ in at most H shingles, where H follows from their lengths.
+   The hash range is cut into P > H slices, so two such sets agree entirely in at least ``P - H`` slices.  Every set
+   emits a signature of each slice; what shares one is linked to the smallest such node, and components of these
+   links are the families that may hold true links.  Passages that many documents share do
+   not fill a slice, so they make no families, and no statistics of the corpus are needed.  Equal
+   signatures are combined before the shuffle, so a frequent one is as cheap as a rare one.
 3. *Trie*: the sets of families are brought together.  Within a family, sets are ordered by frequency, stored in
    a trie whose levels are blocks of bits, and every set walks the trie at once: the overlap of a shared
    prefix is computed once for all sets below it, and a subtree is left as soon as the shingles that remain
@@ -18,8 +20,8 @@ similarity of their sets reaches a rational threshold; the join is exact up to c
    A group returns a spanning forest of its links, never all pairs.
 4. *Components* of the links, smallest document id first.
 
-Nothing that grows with the corpus reaches the driver: it sees the count table and a Bloom filter
-of family members, both of fixed size (a fuller filter only lets more rows through to an exact join).
+Nothing that grows with the corpus reaches the driver: it sees a Bloom filter of family members, of
+fixed size (a fuller filter only lets more rows through to an exact join).
 
 Defined cases: null or empty texts and texts without words have an empty set, link with nothing, and are
 their own component; a text of fewer words than n has one shingle, all its words; rows of equal id are one
@@ -29,7 +31,9 @@ gives no rows; only the id and text columns are read.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,12 +41,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixelloom.llm.arrow import utf8
+from pixelloom.llm.arrow import map_batches, utf8
 from pixelloom.operators.components import connected_components
 from pixelloom.sources.storage import materialise
 
-#: Counters of the order table (a power of two; 4 bytes each) in so many rows when summed.
-COUNTERS, COUNTER_ROWS = 1 << 20, 64
 #: Bits of the Bloom filter of family members (2 MB).
 BLOOM_BITS = 1 << 24
 #: Shingles in one trie group, at which a family is split, and sets in one.
@@ -92,86 +94,122 @@ def _digest(found: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def prefix_size(n: int, num: int, den: int) -> int:
-    """How many first shingles a set of n must show to meet every partner of similarity num/den or more."""
-    return n - -(-n * num // den) + 1
+class Slices:
+    """How sets are cut for a threshold: by lengths into levels, and by hashes into each level's slices.
+
+    A level holds lengths first..last; it serves pairs whose smaller set is in it, so the larger has up to
+    last / t.  These differ in at most H shingles; with H + 1 + slack slices, slack + 1 agree or more.  If they were all empty,
+    both sets would have more than ``slack`` empty slices; only such sets emit signatures of empty slices."""
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den = num, den
+        self.first, self.plan = [1], []
+
+    def levels(self, n: int) -> list[int]:
+        """The levels that a set of n takes part in."""
+        while self.first[-1] <= n:
+            a = self.first[-1]
+            last = max(a, a * self.den // self.num)
+            most = last * self.den // self.num
+            differ = (last + most) * (self.den - self.num) // (self.den + self.num)
+            slack, parts = 0, differ + 1
+            for _ in range(6 * (differ > 0)):  # enough slices that more empty ones than the slack are rare
+                empty = parts * math.exp(-a / parts)
+                slack = max(slack, math.ceil(empty + 3 * math.sqrt(empty) - 0.2))
+                parts = max(differ + 1, min(a, differ + 1 + slack))
+            slack = parts - differ - 1
+            bounds = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+            self.plan.append((most, slack, bounds, _mix(np.arange(parts, dtype=np.uint64) + np.uint64(len(self.plan) << 40))))
+            self.first.append(last + 1)
+        k = bisect.bisect_right(self.first, n) - 1
+        out = []
+        while k >= 0 and self.plan[k][0] >= n:
+            out.append(k)
+            k -= 1
+        return out
+
+    def signatures(self, found: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(found) + 1, np.uint64)
+        np.cumsum(_mix(found + _S29), out=total[1:])
+        out = []
+        for k in self.levels(len(found)):
+            _, slack, bounds, marks = self.plan[k]
+            edge = np.concatenate(([0], np.searchsorted(found, bounds), [len(found)]))
+            sums = _mix(total[edge[1:]] - total[edge[:-1]] + marks)
+            full = edge[1:] > edge[:-1]
+            out.append(sums if len(full) - int(full.sum()) > slack else sums[full])
+        return np.concatenate(out)
 
 
 def _fingerprints(docs: DataFrame, n: int) -> DataFrame:
-    """(id, n, k1, k2) of each document and, at the end of each task, (part, counts) of the order table."""
+    """(id, n, k1, k2) of each document."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.int64)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        names = ["id", "n", "k1", "k2", "part", "counts"]
-        for b in batches:
-            rows, seen = [], []
-            for text in utf8(b.column(1)):
-                found = shingles(text, n)
-                rows.append((len(found), *_digest(found)))
-                seen.append(found)
-            if seen:
-                counts += np.bincount((np.concatenate(seen) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-            columns = [b.column(0), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)), pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-        blobs = [x.tobytes() for x in counts.astype("<u4").reshape(COUNTER_ROWS, -1)]
-        columns = [*(pa.nulls(COUNTER_ROWS, k) for k in kinds[:4]), pa.array(range(COUNTER_ROWS), pa.int32()), pa.array(blobs, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for text in utf8(b.column(1)):
+            found = shingles(text, n)
+            rows.append((len(found), *_digest(found)))
+        return pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3))], names=["id", "n", "k1", "k2"])
 
-    return docs.mapInArrow(run, "id long, n long, k1 long, k2 long, part int, counts binary")
+    return map_batches(docs, run, "id long, n long, k1 long, k2 long")
 
 
-def _order_table(prints: DataFrame) -> np.ndarray:
-    """The summed counts; partial sums by (part, salt) first, so that no task gets a part of every other task."""
+def _runs(signs: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows sorted by (sign, node): each sign with its smallest node, and (node, smallest node) of the other rows."""
+    new = np.concatenate(([True], signs[1:] != signs[:-1]))
+    hub = nodes[new][np.cumsum(new) - 1]
+    other = nodes != hub
+    return signs[new], nodes[new], nodes[other], hub[other]
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for part, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                got = np.frombuffer(blob.as_py(), "<u4").astype(np.int64)
-                total[part] = total[part] + got if part in total else got
-        blobs = [np.minimum(x, 2**32 - 1).astype("<u4").tobytes() for x in total.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(blobs, pa.binary())], names=["part", "counts"])
-
-    schema = "part int, counts binary"
-    mine = prints.where("part is not null").select("part", "counts").mapInArrow(add, schema)
-    rows = mine.repartition(COUNTER_ROWS, "part").mapInArrow(add, schema).collect()  # COUNTER_ROWS rows, 4 MB in all
-    out = np.zeros((COUNTER_ROWS, COUNTERS // COUNTER_ROWS), np.uint32)
-    for r in rows:
-        out[r.part] = np.frombuffer(r.counts, "<u4")
-    return out.ravel()
-
-
-def first_shingles(found: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
-    """The ``size`` first shingles of a set in the global order (count in the table, then hash)."""
-    if size >= len(found):
-        return found
-    count = counts[(found & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
-    last = np.partition(count, size - 1)[size - 1]
-    below = found[count < last]
-    return np.concatenate((below, found[count == last][: size - len(below)]))  # found is sorted by hash
-
-
-def _prefixes(docs: DataFrame, counts: np.ndarray, n: int, num: int, den: int) -> DataFrame:
-    """(token, node): the first shingles of every set, node being the first half of its digest; once for equal sets of a batch."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+_EDGE = "sign long, node long, hub long"
+
+
+def _edges(signs: np.ndarray | None, nodes: np.ndarray, hubs: np.ndarray | None) -> pa.RecordBatch:
+    """Rows of signatures (no hub), or of links (dealt by their node)."""
+    columns = [pa.array(nodes if signs is None else signs), pa.array(nodes), pa.nulls(len(nodes), pa.int64()) if hubs is None else pa.array(hubs)]
+    return pa.RecordBatch.from_arrays(columns, names=["sign", "node", "hub"])
+
+
+def _near(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(src, dst): each node that shares a signature with a smaller one, and that one; node is the first half of a digest."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = Slices(num, den)
         for b in batches:
-            tokens, nodes, seen = [], [], set()
+            signs, nodes, seen = [], [], set()
             for text in utf8(b.column(1)):
                 found = shingles(text, n)
                 k1, _ = _digest(found)
                 if len(found) and k1 not in seen:
                     seen.add(k1)
-                    got = first_shingles(found, table, prefix_size(len(found), num, den))
-                    tokens.append(got)
-                    nodes.append(np.full(len(got), k1, np.int64))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes))], names=["token", "node"])
-
-    return docs.mapInArrow(run, "token long, node long")
+                    signs.append(slices.signatures(found).view(np.int64))
+                    nodes.append(np.full(len(signs[-1]), k1, np.int64))
+            if signs:
+                sign, node = np.concatenate(signs), np.concatenate(nodes)
+                order = np.lexsort((node, sign))
+                sign, node, src, dst = _runs(sign[order], node[order])
+                yield _edges(sign, node, None)
+                yield _edges(None, *np.unique(np.stack([src, dst]), axis=1))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_sign = last_node = None  # rows come sorted by signature and node; a run may go on in the next batch
+        for b in batches:
+            link = b.column(2).is_valid().to_numpy(zero_copy_only=False)
+            sign, node = b.column(0).to_numpy(), b.column(1).to_numpy()
+            src, dst = node[link], b.column(2).drop_null().to_numpy()
+            sign, node = sign[~link], node[~link]
+            if len(sign):
+                if last_sign == sign[0]:
+                    sign, node = np.concatenate(([last_sign], sign)), np.concatenate(([last_node], node))
+                heads, least, a, h = _runs(sign, node)
+                last_sign, last_node = heads[-1], least[-1]
+                src, dst = np.concatenate((src, a)), np.concatenate((dst, h))
+            if len(src):
+                src, dst = np.unique(np.stack([src, dst]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], names=["src", "dst"])
+
+    return docs.mapInArrow(emit, _EDGE).repartition("sign").sortWithinPartitions("sign", "node").mapInArrow(meet, "src long, dst long")
 
 
 def _bloom(ids: DataFrame) -> np.ndarray:
@@ -301,13 +339,9 @@ def jaccard_components(docs: DataFrame, n: int = 3, threshold: tuple[int, int] =
     """(id, n_shingles, component_id) of every row; ids are long integers, the threshold a fraction."""
     num, den = threshold
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
-    prints = materialise(_fingerprints(picked, n), "fingerprints")
-    rows = prints.where("part is null").select("id", "n", "k1", "k2")
+    rows = materialise(_fingerprints(picked, n), "fingerprints")
     nodes = rows.where("n > 0 and id is not null").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.first("n").alias("n"))
-    prefixes = materialise(_prefixes(picked, _order_table(prints), n, num, den), "prefixes")
-    hubs = prefixes.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top").select(F.col("token").alias("t"), "hub")
-    near = prefixes.join(hubs, F.col("token") == F.col("t")).where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst"))
-    families = connected_components(near.distinct()).select(F.col("node").alias("k"), F.col("component").alias("family"))
+    families = connected_components(_near(picked, n, num, den)).select(F.col("node").alias("k"), F.col("component").alias("family"))
     members = materialise(nodes.join(families, F.col("k1") == F.col("k")).select("k1", "k2", "rep", "n", "family"), "members")
     sizes = members.groupBy("family").agg(F.sum("n").alias("shingles"), F.count("*").alias("sets"))
     blocks = F.greatest(F.ceil(2 * F.col("shingles") / GROUP_SHINGLES), F.ceil(2 * F.col("sets") / GROUP_SETS))

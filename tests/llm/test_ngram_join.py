@@ -87,3 +87,14 @@ def test_trie_links_span_brute_links(sets, threshold, r):
     for a, b in found:
         label = [label[a] if x == label[b] else x for x in label]
     assert all(label[a] == label[b] for a, b in true)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=300), st.sampled_from([(90, 100), (80, 100), (1, 2)]), st.randoms())
+def test_near_sets_share_a_signature(base, threshold, r):
+    num, den = threshold
+    other = {v for v in base if r.random() > (den - num) / den / 2} | {r.getrandbits(64) for _ in range(r.randrange(1 + len(base) // 8))}
+    if den * len(base & other) >= num * len(base | other):
+        slices = J.Slices(num, den)
+        signs = [set(slices.signatures(np.array(sorted(s), np.uint64)).tolist()) for s in (base, other)]
+        assert signs[0] & signs[1]
