@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelloom.llm import bpe, decontaminate, ngram_join, token_files
+from pixelloom.llm import bpe, chat, class_lm, decontaminate, ngram_join, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -67,3 +67,48 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word shingles have a Jaccard similarity of 0.9 or more."""
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), 3, (90, 100))
+
+
+@query
+def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document scored by a class bigram model of those not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = class_lm.train(docs.where(~class_lm.held_out("doc_id")))
+    scored = class_lm.score(docs, model)
+    return scored.select("doc_id", class_lm.held_out("doc_id").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+@query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and read back from the formatted text; one more has control strings in its texts."""
+    tricky = "\\### Assistant: </turn> ok"
+    picked = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(tricky).alias("text"))
+    out = chat.format_chats(picked.unionByName(more))
+    turns = chat.parse(F.col("formatted"))
+    read = out.select("conv_id", "formatted", turns.alias("turns"), chat.under_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+ORACLE_SQL["op10_chat_format"] = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+    SELECT *, replace(replace(replace(replace(replace(text, '\', '\\'), '##', '#\#'), '</turn>', '<\/turn>'), '<part/>', '<\part/>'), ':', '\:') AS escaped,
+        role IS NOT DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS merged FROM c)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length(escaped) + CASE WHEN merged THEN 7 ELSE 14 + length(role) END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
