@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelloom.llm import bpe, chat, class_lm, decontaminate, ngram_join, token_files
+from pixelloom.llm import ann, bpe, chat, class_lm, decontaminate, ngram_join, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -112,3 +112,9 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(length(escaped) + CASE WHEN merged THEN 7 ELSE 14 + length(role) END) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
+
+
+@query
+def op9_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found for every twentieth vector among all others."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
