@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelloom.llm import ann, bpe, chat, class_lm, decontaminate, ngram_join, token_files
+from pixelloom.llm import ann, bpe, chat, class_lm, decontaminate, ngram_join, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -118,3 +118,9 @@ FROM e GROUP BY conv_id"""
 def op9_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found for every twentieth vector among all others."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rule, else by naive Bayes on the words of its host and path."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
