@@ -70,3 +70,10 @@ def test_no_training_rows(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     r = L.score(df, L.train(df.limit(0))).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and r.base_score == pytest.approx(0)
+
+
+def test_most_frequent_is_bounded(spark):
+    counts = spark.createDataFrame([(b"", 1)] + [(b"w%d" % i, i) for i in range(1, 400)], "word binary, n long")
+    for most in (0, 1, 7, 50, 399, 1000):
+        got = {r.n for r in L._most_frequent(counts, most).collect() if r.word}
+        assert len(got) <= most and got == set(range(400 - len(got), 400))
