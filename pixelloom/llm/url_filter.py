@@ -9,7 +9,7 @@ of the distinct names' substrings with the count table, and no dictionary is bro
 
 *Naive Bayes.*  Pages whose segmented host has a seed word are the examples to block, all other pages those to allow; token
 counts are grouped sums over all pages.  A page is blocked when the multinomial model with add-one smoothing finds
-block likelier, given the words of its host and of its path (numbers are one token).
+block likelier, given the distinct words of its host and those of its path (numbers are one token).
 
 Scores are worked out for distinct hosts and distinct urls and joined back, and counts are combined by host
 before they meet, so a host with a third of all pages costs one row there.
@@ -131,12 +131,12 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col: str =
     urls = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
     words = materialise(_word_counts(pages.select(F.col(html_col).cast("string").alias("html"))), "page-words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    tokens = F.filter(F.transform(F.split(F.lower("path"), "[^a-z0-9]+"), lambda t: F.when(t.rlike("^[0-9]+$"), F.lit("#")).otherwise(t)), lambda t: t != "")
+    tokens = F.array_distinct(F.filter(F.transform(F.split(F.lower("path"), "[^a-z0-9]+"), lambda t: F.when(t.rlike("^[0-9]+$"), F.lit("#")).otherwise(t)), lambda t: t != ""))
     distinct = materialise(urls.groupBy("host", "path").agg(F.count("*").alias("pages")).withColumn("tokens", tokens), "urls")
     hosts = distinct.groupBy("host").agg(F.sum("pages").alias("pages"))
     named = hosts.select("host", F.explode(F.split("host", "[^a-z]+")).alias("name")).where("name <> ''")
     parts = named.join(_segments(named.select("name").distinct(), words, total), "name")
-    split = parts.groupBy("host").agg(F.flatten(F.collect_list("parts")).alias("host_tokens"))
+    split = parts.groupBy("host").agg(F.array_distinct(F.flatten(F.collect_list("parts"))).alias("host_tokens"))
     known = hosts.join(split, "host", "left").select("host", "pages", F.coalesce("host_tokens", F.array().cast("array<string>")).alias("host_tokens"))
     known = materialise(known.withColumn("bad", F.arrays_overlap("host_tokens", F.array(*map(F.lit, SEEDS)))), "hosts")
     by_path = distinct.select("host", "pages", F.explode("tokens").alias("token")).groupBy("host", "token").agg(F.sum("pages").alias("n"))
