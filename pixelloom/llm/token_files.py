@@ -25,7 +25,7 @@ are read.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,8 +51,11 @@ _MASKS = np.array([0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of unsigned 32-bit values."""
     values = np.ascontiguousarray(values, dtype="<u4")
-    code = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) <= code[:, None]]
+    code = (values > 0xFF).astype(np.uint8)
+    if values.size and values.max() > 0xFFFF:
+        code += (values > 0xFFFF).astype(np.uint8) + (values > 0xFFFFFF)
+    width = int(code.max(initial=0)) + 1
+    data = values.view(np.uint8).reshape(-1, 4)[:, :width][np.arange(width, dtype=np.uint8) <= code[:, None]]
     four = np.zeros((-(-len(values) // 4), 4), dtype=np.uint8)
     four.ravel()[: len(values)] = code
     return (four << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(1, dtype=np.uint8).tobytes(), data.tobytes()
@@ -62,16 +65,18 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` values of control and data bytes."""
     size = _LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
     at = np.cumsum(size) - size
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
-    value = raw[at] | raw[at + 1] << np.uint32(8) | raw[at + 2] << np.uint32(16) | raw[at + 3] << np.uint32(24)
+    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
+    value = raw[at].astype(np.uint32)
+    for k in range(1, int(size.max(initial=1))):
+        value |= raw[at + k].astype(np.uint32) << np.uint32(8 * k)
     return value & _MASKS[size - 1]
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[str, tuple[Callable[[str | None], bytes], str]] = {}
 
 
-def encoder(tokenizer_path: str) -> ChunkEncoder:
-    """This process's encoder of a tokenizer file: packed little-endian uint16 or uint32 ids by the tokenizers library.
+def encoder(tokenizer_path: str) -> tuple[Callable[[str | None], bytes], str]:
+    """This process's encoder of a tokenizer file, text to packed ids by the tokenizers library, and the ids' numpy type.
 
     Byte-level files whose pre-tokenizer adds nothing and whose normaliser is empty go through the memo; strings of
     special tokens inside a text are found by the library, as it does by default."""
@@ -87,13 +92,15 @@ def encoder(tokenizer_path: str) -> ChunkEncoder:
         plain = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         special = [t["content"] for t in spec["added_tokens"]]
         tokenize = tokenizer.model.tokenize
+        kind = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        packed = [i.to_bytes(int(kind[2]), "little") for i in range(tokenizer.get_vocab_size())]
 
         def by_library(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
 
         def pretoken(x: str) -> bytes:
-            mapped = x.encode().decode("latin-1").translate(chars)
-            return np.array([t.id for t in tokenize(mapped)], "<u4").tobytes()
+            mapped = chars[32] + x[1:] if x[0] == " " and x[1:].isalpha() and x.isascii() else x.encode().decode("latin-1").translate(chars)
+            return b"".join([packed[t.id] for t in tokenize(mapped)])
 
         memo = ChunkEncoder(regex.compile(BYTE_LEVEL_PATTERN).findall, pretoken)
 
@@ -104,7 +111,7 @@ def encoder(tokenizer_path: str) -> ChunkEncoder:
                 return by_library(text)
             return memo(text)
 
-        _ENCODERS[tokenizer_path] = encode
+        _ENCODERS[tokenizer_path] = encode, kind
     return _ENCODERS[tokenizer_path]
 
 
@@ -118,8 +125,8 @@ def _raw_blocks(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str
     id_type = pa.int64() if kind == "bigint" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, start = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        end = np.array([END_ID], "<u4").tobytes()
+        (encode, of), part, start = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        end = np.array([END_ID], of).tobytes()
         names, sizes, ids, n = [], [], [], 0
 
         def block() -> pa.RecordBatch:
@@ -130,7 +137,7 @@ def _raw_blocks(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str
             for name, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 packed = encode(text.as_py()) + end
                 names.append(name)
-                sizes.append(len(packed) // 4)
+                sizes.append(len(packed) // len(end))
                 ids.append(packed)
                 n += sizes[-1]
                 if n >= block_ids:
@@ -142,14 +149,14 @@ def _raw_blocks(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str
     return picked.repartitionByRange("id").sortWithinPartitions("id", "body").mapInArrow(run, _RAW.format(kind=kind))
 
 
-def _counts(raw: DataFrame) -> DataFrame:
+def _counts(raw: DataFrame, of: str) -> DataFrame:
     """(id, n): how often each id occurs; every task sends one row per id it met."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
             for ids in b.column(0):
-                got = np.bincount(np.frombuffer(ids.as_py(), "<u4")).astype(np.int64)
+                got = np.bincount(np.frombuffer(ids.as_py(), of)).astype(np.int64)
                 small, total = sorted((got, total), key=len)
                 total = total.copy()
                 total[: len(small)] += small
@@ -171,10 +178,10 @@ class TokenFiles:
 def write(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS) -> TokenFiles:
     """Tokenise ``docs`` and write the dataset; ``path`` defaults to a new one in the shared folder."""
     spark = docs.sparkSession
-    kind = kind_of(docs, id_col)
+    kind, of = kind_of(docs, id_col), encoder(tokenizer_path)[1]
     raw = materialise(_raw_blocks(docs, tokenizer_path, id_col, text_col, block_ids), "raw-ids")
     # the vocabulary bounds both collected tables' sizes: its ids here, the shuffle partitions below
-    ranked = [r.id for r in _counts(raw).orderBy(F.desc("n"), "id").collect()]
+    ranked = [r.id for r in _counts(raw, of).orderBy(F.desc("n"), "id").collect()]
     id_of_rank = np.array(ranked, np.uint32)
     rank_of_id = np.zeros(max(ranked, default=0) + 1, np.uint32)
     rank_of_id[id_of_rank] = np.arange(len(ranked), dtype=np.uint32)
@@ -189,7 +196,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col:
         ranks, offsets = shared.value
         for b in batches:
             start = [offsets[p] + s for p, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-            packed = [pack(ranks[np.frombuffer(x.as_py(), "<u4")]) for x in b.column(4)]
+            packed = [pack(ranks[np.frombuffer(x.as_py(), of)]) for x in b.column(4)]
             columns = [b.column(0), pa.array(start, pa.int64()), b.column(2), b.column(3), *(pa.array([p[i] for p in packed], pa.binary()) for i in (0, 1))]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "start", "doc_ids", "sizes", "control", "data"])
 
