@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelloom.llm import ann, bpe, chat, class_lm, decontaminate, ngram_join, token_files, url_filter
+from pixelloom.llm import ann, bpe, chat, class_lm, decontaminate, language_id, ngram_join, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -124,3 +124,11 @@ def op9_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rule, else by naive Bayes on the words of its host and path."""
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document's language from its text, its declared language and its source."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, "doc_id", "text", declared=F.col("lang"), host=F.col("source"), label_col="lang")
+    return found.select("doc_id", "lang", F.round("confidence", 6).alias("confidence"), "text_lang")
