@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelloom.llm import ann, bpe, chat, class_lm, decontaminate, language_id, ngram_join, token_files, url_filter
+from pixelloom.llm import ann, bpe, chat, class_lm, decontaminate, language_id, ngram_join, token_files, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -132,3 +132,23 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(docs, "doc_id", "text", declared=F.col("lang"), host=F.col("source"), label_col="lang")
     return found.select("doc_id", "lang", F.round("confidence", 6).alias("confidence"), "text_lang")
+
+
+@query
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page, read back."""
+    made = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    got = warc.read_back(made)
+    return got.select(
+        "page_id",
+        "response_id",
+        "metadata_id",
+        "conversion_id",
+        ((F.col("metadata_refers_to") == F.col("response_id")) & (F.col("conversion_refers_to") == F.col("response_id"))).alias("linked"),
+        "target_uri",
+        "source_digest",
+        "text_digest",
+        "outlinks",
+        F.length("text").cast("long").alias("text_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
