@@ -1,4 +1,573 @@
-"""Registered queries of the image-curation operators."""
+"""Registered queries of the image-curation operators, with DuckDB SQL for the same rows.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+There is no image table among the inputs, so each operator runs on a table of the same shape: ``embeddings`` gives global
+vectors, hash bits, descriptors and colour measures, with ``label`` as the group before a stage; ``documents`` grouped by text
+gives groups with a quality; ``events`` is a log.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pixelloom.config import IMAGE_EXTENSIONS, DedupConfig
+from pixelloom.functions import paths as P
+from pixelloom.functions import vectors as V
+from pixelloom.operators import blocking, grouping, matching, statistics
+from pixelloom.plans import stages
+from pixelloom.sources import catalog, sinks
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _r(c: Column | str) -> Column:
+    return F.round(c, 6)
+
+
+# ---- stand-ins -------------------------------------------------------------------------------------------------------------
+
+_PATHS = "source || '/dir_' || (doc_id % 7) || '/' || doc_id || CASE doc_id % 5 WHEN 0 THEN '.JPG' WHEN 1 THEN '.png' WHEN 2 THEN '.txt' WHEN 3 THEN '.webp' ELSE '' END"
+_DOCS = f"docs AS (SELECT {_PATHS} AS path, doc_id AS ord, md5(text) AS gid, CAST(n_chars AS DOUBLE) AS quality FROM documents)"
+
+
+def doc_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """(path, ord, gid, quality) from documents; gid is the text's digest."""
+    ext = F.when(F.col("doc_id") % 5 == 0, ".JPG").when(F.col("doc_id") % 5 == 1, ".png").when(F.col("doc_id") % 5 == 2, ".txt").when(F.col("doc_id") % 5 == 3, ".webp").otherwise("")
+    path = F.concat("source", F.lit("/dir_"), F.col("doc_id") % 7, F.lit("/"), "doc_id", ext)
+    return table(spark, sf, "documents").select(path.alias("path"), F.col("doc_id").alias("ord"), F.md5("text").alias("gid"), F.col("n_chars").cast("double").alias("quality"))
+
+
+_IMAGES = "images AS (SELECT 'img/' || vec_id || '.jpg' AS path, vec_id AS ord, label AS gid, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)"
+
+
+def images(spark: SparkSession, sf: str) -> DataFrame:
+    """(path, ord, gid, v) from embeddings; gid is the label."""
+    return table(spark, sf, "embeddings").select(F.concat(F.lit("img/"), "vec_id", F.lit(".jpg")).alias("path"), F.col("vec_id").alias("ord"), F.col("label").cast("long").alias("gid"), F.col("embedding").cast("array<double>").alias("v"))
+
+
+_BITS = f"""{_IMAGES}, cuts AS (SELECT ord AS o, quantile_cont(u, 0.6) AS cut FROM (SELECT ord, unnest(v) AS u FROM images) GROUP BY ord),
+bits AS (SELECT path, ord, gid, list_transform(v, lambda x: CASE WHEN x > cut THEN 1 ELSE 0 END) AS b FROM images JOIN cuts ON o = ord)"""
+
+
+def hashed(spark: SparkSession, sf: str) -> DataFrame:
+    return images(spark, sf).withColumn("wavelet", V.binarise(F.col("v")))
+
+
+# eight bands of eight positions; the band is not in the key
+_BANDS = f"""{_BITS}, buckets AS (
+    SELECT ord, array_to_string(b[8 * i + 1 : 8 * i + 8], '') AS bucket FROM bits, range(8) AS r(i)),
+sized AS (SELECT *, count(*) OVER (PARTITION BY bucket) AS m, row_number() OVER (PARTITION BY bucket ORDER BY ord) - 1 AS at FROM buckets)"""
+
+
+def _pairs_sql(bucket_cap: int, pair_cap: int) -> str:
+    return f"""{_BANDS}, pairs AS (SELECT DISTINCT a.ord AS src, b.ord AS dst FROM sized a JOIN sized b ON a.bucket = b.bucket AND a.at < b.at
+    WHERE a.m <= {bucket_cap} AND a.at * a.m - a.at * (a.at + 1) // 2 + (b.at - a.at - 1) < {pair_cap} AND a.ord <> b.ord)"""
+
+
+def _buckets(spark: SparkSession, sf: str) -> DataFrame:
+    return blocking.lsh_buckets(hashed(spark, sf), "wavelet", bands=8, width=8)
+
+
+def _components_sql(edges: str, nodes: str = "images") -> str:
+    """reach: each node's smallest reachable node over ``edges`` (src, dst)."""
+    return f"""links AS (SELECT src AS a, dst AS b FROM {edges} UNION SELECT dst, src FROM {edges}),
+walk AS (SELECT ord AS n, ord AS c FROM {nodes} UNION SELECT b, c FROM walk JOIN links ON a = n WHERE c < b),
+reach AS (SELECT n, min(c) AS c FROM walk GROUP BY n)"""
+
+
+# ---- catalogs and paths ----------------------------------------------------------------------------------------------------
+
+_EXT = "|".join(e[1:] for e in IMAGE_EXTENSIONS)
+
+
+@query(f"WITH {_DOCS} SELECT path, ord FROM docs WHERE regexp_matches(lower(path), '\\.({_EXT})$')")
+def catalog_image_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """C1-C3."""
+    return doc_paths(spark, sf).where(P.is_image(F.col("path"))).select("path", "ord")
+
+
+@query(f"WITH {_DOCS} SELECT path, regexp_extract(path, '[^/]*$') AS name, 'best/' || regexp_extract(path, '[^/]*$') AS dest FROM docs WHERE starts_with(path, 'src1')")
+def catalog_prefix_basename(spark: SparkSession, sf: str) -> DataFrame:
+    """C2, F1, X30."""
+    found = doc_paths(spark, sf).where(F.col("path").startswith("src1"))
+    return found.select("path", V.basename(F.col("path")).alias("name"), P.destination(F.col("path"), "best/").alias("dest"))
+
+
+@query("""SELECT page_id, nullif(regexp_extract(url, '://[^/?#]*/([^/?#]*)', 1), '') AS container,
+    array_to_string(list_filter(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'), lambda x: x <> ''), '|') AS items FROM pages""")
+def url_container_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """C23."""
+    return table(spark, sf, "pages").select("page_id", P.container_of(F.col("url")).alias("container"), F.array_join(P.query_items(F.col("url")), "|").alias("items"))
+
+
+@query(f"WITH {_DOCS} SELECT ord, regexp_matches(lower(path), 'test_|fake_|dummy_|sample_|/test/|/fake/|/dummy/|/sample/|test\\.|fake\\.|dummy\\.|sample\\.|/tmp/|temp_|/temp/') AS is_test FROM (SELECT ord, CASE WHEN ord % 3 = 0 THEN 'a/Test_' || path ELSE path END AS path FROM docs)")
+def test_path_predicate(spark: SparkSession, sf: str) -> DataFrame:
+    """F5."""
+    path = F.when(F.col("ord") % 3 == 0, F.concat(F.lit("a/Test_"), "path")).otherwise(F.col("path"))
+    return doc_paths(spark, sf).select("ord", P.is_test_path(path).alias("is_test"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def resume_anti_join(spark: SparkSession, sf: str) -> DataFrame:
+    """F2, R6, U3."""
+    return catalog.remaining(table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels"), "doc_id")
+
+
+@query(f"WITH {_DOCS} SELECT path FROM docs WHERE ord IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def valid_semi_join(spark: SparkSession, sf: str) -> DataFrame:
+    """F3, F10, J10."""
+    docs = doc_paths(spark, sf)
+    store = docs.drop("quality").join(table(spark, sf, "labels"), F.col("ord") == F.col("doc_id"), "left").select("path", F.when(F.col("quality") == 1, 1).alias("feature"))
+    return catalog.having_features(docs, store, "feature").select("path")
+
+
+@query(f"WITH {_DOCS} SELECT path FROM docs WHERE ord NOT IN (SELECT doc_id FROM labels) ORDER BY path LIMIT 5")
+def missing_report_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A report's first five missing rows."""
+    docs = doc_paths(spark, sf)
+    reported = docs.join(table(spark, sf, "labels"), F.col("ord") == F.col("doc_id"), "left_semi").select(F.col("path").alias("Image Path"))
+    return catalog.missing_from(reported, docs, 5)
+
+
+@query("""SELECT label AS k, CASE label % 3 WHEN 0 THEN 'a|b' WHEN 1 THEN 'x|y z' ELSE '' END AS members, count(*) AS n FROM embeddings GROUP BY label""")
+def set_field_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """X27."""
+    raw = F.when(F.col("label") % 3 == 0, "{'a', 'b', 'a'}").when(F.col("label") % 3 == 1, " x; y z;;x ").otherwise("nan")
+    return table(spark, sf, "embeddings").groupBy(F.col("label").alias("k"), F.array_join(V.parse_set(raw), "|").alias("members")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, coalesce(CAST(l.quality AS DOUBLE), CASE WHEN d.doc_id % 2 = 0 THEN CAST(d.n_chars AS DOUBLE) END) AS quality FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id")
+def feature_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """U6."""
+    old = table(spark, sf, "documents").select(F.col("doc_id").alias("path"), F.when(F.col("doc_id") % 2 == 0, F.col("n_chars").cast("double")).alias("quality"))
+    new = table(spark, sf, "labels").select(F.col("doc_id").alias("path"), F.col("quality").cast("double"))
+    return catalog.merge_features(old, new).select(F.col("path").alias("doc_id"), "quality")
+
+
+# ---- stage 1 ---------------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {_BITS} SELECT ord, array_to_string(b, '') AS hash FROM bits")
+def hash_binarize(spark: SparkSession, sf: str) -> DataFrame:
+    """X1, binarisation."""
+    return hashed(spark, sf).select("ord", F.array_join("wavelet", "").alias("hash"))
+
+
+@query(f"WITH {_pairs_sql(1000, 50_000)} SELECT src, dst FROM pairs")
+def lsh_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """J1, J2."""
+    return blocking.bucket_pairs(_buckets(spark, sf))
+
+
+@query(f"WITH {_pairs_sql(40, 60)} SELECT src, dst FROM pairs")
+def lsh_bucket_caps(spark: SparkSession, sf: str) -> DataFrame:
+    """With caps small enough to bite."""
+    return blocking.bucket_pairs(_buckets(spark, sf), 40, 60)
+
+
+@query(f"WITH {_pairs_sql(1000, 50_000)}, scored AS (SELECT src, dst, list_sum(list_transform(list_zip(x.b, y.b), lambda z: CASE WHEN z[1] = z[2] THEN 1 ELSE 0 END)) / 64.0 AS similarity FROM pairs JOIN bits x ON x.ord = src JOIN bits y ON y.ord = dst) SELECT src, dst, round(similarity, 6) AS similarity FROM scored WHERE similarity >= 0.65")
+def hamming_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """X9."""
+    h = hashed(spark, sf).select("ord", "wavelet")
+    pairs = blocking.bucket_pairs(_buckets(spark, sf))
+    both = pairs.join(h.toDF("a", "wa"), F.col("src") == F.col("a")).join(h.toDF("b", "wb"), F.col("dst") == F.col("b"))
+    return both.select("src", "dst", _r(V.hamming(F.col("wa"), F.col("wb"))).alias("similarity")).where("similarity >= 0.65")
+
+
+_S1 = replace(DedupConfig(), bands=8, band_width=8, wavelet_threshold=0.7)
+_S1_SQL = f"""{_pairs_sql(1000, 50_000)}, edges AS (SELECT src, dst FROM pairs JOIN bits x ON x.ord = src JOIN bits y ON y.ord = dst
+    WHERE list_sum(list_transform(list_zip(x.b, y.b), lambda z: CASE WHEN z[1] = z[2] THEN 1 ELSE 0 END)) / 64.0 >= 0.7), {_components_sql("edges")}"""
+
+
+@query(f"WITH RECURSIVE {_S1_SQL} SELECT n AS ord, c AS gid FROM reach")
+def wavelet_components(spark: SparkSession, sf: str) -> DataFrame:
+    """Hash images, pair by bands, Hamming, components."""
+    return stages.wavelet_stage(hashed(spark, sf), _S1).select("ord", "gid")
+
+
+_STATS_SQL = """sizes AS (SELECT {gid} AS g, count(*) AS m FROM {src} GROUP BY {gid}),
+stats AS (SELECT count(*) AS groups, count(*) FILTER (m = 1) AS singletons, count(*) FILTER (m > 1) AS multi, CAST(sum(m) AS BIGINT) AS images,
+    sum(m) FILTER (m > 1) / sum(m) AS grouping_ratio, coalesce(avg(m) FILTER (m > 1), 1) AS mean_multi, max(m) AS max_size, min(m) AS min_size, avg(m) AS mean_size,
+    CAST(sum(m * (m - 1) // 2) AS BIGINT) AS comparisons FROM sizes)"""
+_STATS_OUT = "groups, singletons, multi, images, round(coalesce(grouping_ratio, 0), 6) AS grouping_ratio, round(mean_multi, 6) AS mean_multi, max_size, min_size, round(mean_size, 6) AS mean_size, comparisons"
+
+
+def _rounded_stats(df: DataFrame) -> DataFrame:
+    for c in ("grouping_ratio", "mean_multi", "mean_size"):
+        df = df.withColumn(c, _r(c))
+    return df
+
+
+@query(f"WITH RECURSIVE {_S1_SQL}, {_STATS_SQL.format(gid='c', src='reach')} SELECT {_STATS_OUT} FROM stats")
+def wavelet_group_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A2, A10, A18."""
+    return _rounded_stats(statistics.group_statistics(stages.wavelet_stage(hashed(spark, sf), _S1)))
+
+
+@query(f"WITH {_DOCS}, {_STATS_SQL.format(gid='gid', src='docs')} SELECT {_STATS_OUT} FROM stats")
+def size_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A10 on groups of equal texts."""
+    return _rounded_stats(statistics.group_statistics(doc_paths(spark, sf)))
+
+
+@query(f"""WITH {_DOCS}, {_STATS_SQL.format(gid='gid', src='docs')}, t AS (SELECT max_size > 100 AS big,
+    CASE WHEN grouping_ratio > 0.8 THEN least(0.95, 0.85 * 1.1) WHEN grouping_ratio < 0.1 THEN greatest(0.7, 0.85 * 0.9) ELSE 0.85 END AS g,
+    CASE WHEN grouping_ratio > 0.8 THEN least(0.9, 0.75 * 1.1) WHEN grouping_ratio < 0.1 THEN greatest(0.6, 0.75 * 0.9) ELSE 0.75 END AS l FROM stats)
+SELECT round(CAST(CASE WHEN big THEN least(0.95, g * 1.05) ELSE g END AS DOUBLE), 6) AS global_threshold, round(CAST(CASE WHEN big THEN least(0.9, l * 1.05) ELSE l END AS DOUBLE), 6) AS local_threshold FROM t""")
+def adaptive_thresholds(spark: SparkSession, sf: str) -> DataFrame:
+    """A3."""
+    t = statistics.adaptive_thresholds(statistics.group_statistics(doc_paths(spark, sf)))
+    return t.select(_r("global_threshold").alias("global_threshold"), _r("local_threshold").alias("local_threshold"))
+
+
+# ---- stage 3 ---------------------------------------------------------------------------------------------------------------
+
+_COSINE = "list_dot_product(x.v, y.v) / ((sqrt(list_dot_product(x.v, x.v)) + 1e-7) * (sqrt(list_dot_product(y.v, y.v)) + 1e-7))"
+_IN_LABEL = f"{_IMAGES}, scored AS (SELECT x.gid, x.ord AS src, y.ord AS dst, {_COSINE} AS score FROM images x JOIN images y ON x.gid = y.gid AND x.ord < y.ord)"
+
+
+def _label_pairs(spark: SparkSession, sf: str, keys: tuple[str, ...] = ("gid",)) -> DataFrame:
+    pairs = blocking.group_pairs(images(spark, sf), list(keys), "ord", ["v"])
+    return pairs.withColumn("score", V.cosine(F.col("v_a"), F.col("v_b")))
+
+
+@query(f"WITH {_IN_LABEL} SELECT gid, src, dst, round(score, 6) AS score FROM scored WHERE score >= 0.3")
+def cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """X10, J4."""
+    return _label_pairs(spark, sf).where("score >= 0.3").select("gid", "src", "dst", _r("score").alias("score"))
+
+
+@query(f"WITH RECURSIVE {_IN_LABEL}, edges AS (SELECT src, dst FROM scored WHERE score >= 0.35), {_components_sql('edges')} SELECT n AS ord, c AS gid FROM reach")
+def cosine_components(spark: SparkSession, sf: str) -> DataFrame:
+    """G3a, G13 on groups by label, without chunks."""
+    config = replace(DedupConfig(), global_threshold=0.35, global_cap=1_000_000)
+    members, _ = stages.global_stage(images(spark, sf), config, "v")
+    return members.select("ord", "gid")
+
+
+def _chunked_sql(n: int) -> str:
+    return f"""{_IMAGES}, sized AS (SELECT *, count(*) OVER (PARTITION BY gid) AS m, (row_number() OVER (PARTITION BY gid ORDER BY ord) - 1) // {n} AS k FROM images),
+chunked AS (SELECT *, CASE WHEN m > 50 THEN k ELSE 0 END AS chunk FROM sized),
+scored AS (SELECT x.ord AS src, y.ord AS dst, {_COSINE} AS score FROM chunked x JOIN chunked y ON x.gid = y.gid AND x.chunk = y.chunk AND x.ord < y.ord)"""
+
+
+@query(f"WITH RECURSIVE {_chunked_sql(25)}, edges AS (SELECT src, dst FROM scored WHERE score >= 0.3), {_components_sql('edges')} SELECT n AS ord, c AS gid FROM reach")
+def cosine_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups over 50 in runs of 25."""
+    members, _ = stages.global_stage(images(spark, sf), replace(DedupConfig(), global_threshold=0.3), "v")
+    return members.select("ord", "gid")
+
+
+@query()
+def ann_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Approximate join by random projections."""
+    return blocking.approximate_pairs(images(spark, sf), "v", "ord", 0.42).select("src", "dst", _r("score").alias("score"))
+
+
+# ---- stage 2 ---------------------------------------------------------------------------------------------------------------
+
+_METRICS = f"""{_IMAGES}, metrics AS (SELECT x.gid, x.ord AS src, y.ord AS dst, 100 * abs(x.v[1] - y.v[1]) AS distance, 60 * abs(x.v[2] - y.v[2]) AS difference,
+    1 - abs(x.v[3] - y.v[3]) AS histogram, {_COSINE} AS cosine FROM images x JOIN images y ON x.gid = y.gid AND x.ord < y.ord),
+colored AS (SELECT *, 0.5 * (1 - least(distance / 50, 1)) + 0.3 * (1 - least(difference / 30, 1)) + 0.2 * histogram AS similarity FROM metrics)"""
+
+
+def color_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    at = lambda side, i: F.get(F.col(f"v_{side}"), F.lit(i))
+    far = lambda i: F.abs(at("a", i) - at("b", i))
+    pairs = blocking.group_pairs(images(spark, sf), ["gid"], "ord", ["v"])
+    own = pairs.select("gid", "src", "dst", (100 * far(0)).alias("distance"), (60 * far(1)).alias("difference"), (1 - far(2)).alias("histogram"), V.cosine(F.col("v_a"), F.col("v_b")).alias("cosine"))
+    return own.withColumn("similarity", V.color_similarity(F.col("distance"), F.col("difference"), F.col("histogram")))
+
+
+@query(f"WITH {_METRICS} SELECT gid, src, dst, round(similarity, 6) AS similarity FROM colored")
+def color_composite(spark: SparkSession, sf: str) -> DataFrame:
+    """X13, X18, J6."""
+    return color_metrics(spark, sf).select("gid", "src", "dst", _r("similarity").alias("similarity"))
+
+
+@query(f"WITH {_METRICS} SELECT gid, count(*) FILTER (similarity >= 0.7 - 0.2 * cosine) AS matches, count(*) AS pairs, round(avg(similarity), 6) AS mean_similarity FROM colored GROUP BY gid")
+def color_adaptive_match(spark: SparkSession, sf: str) -> DataFrame:
+    """X19, A13."""
+    match = V.color_match(F.col("similarity"), F.col("cosine"))
+    return color_metrics(spark, sf).groupBy("gid").agg(F.sum(match.cast("long")).alias("matches"), F.count("*").alias("pairs"), _r(F.avg("similarity")).alias("mean_similarity"))
+
+
+_SMALL = "small AS (SELECT ord, gid * 1000000 + (row_number() OVER (PARTITION BY gid ORDER BY ord) - 1) // 4 AS gid FROM images)"
+
+
+def _small_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Members in runs of four by label, so that vetoes don't hit every group."""
+    cut = grouping.chunks(images(spark, sf), 4)
+    return cut.withColumn("gid", F.col("gid") * 1_000_000 + F.col("chunk")).select("path", "ord", "gid")
+
+
+@query(f"""WITH {_METRICS}, {_SMALL}, ok AS (SELECT a.gid AS g, bool_and(distance <= 60 AND difference <= 36 AND histogram >= 0.6) AS fine FROM colored JOIN small a ON a.ord = src JOIN small b ON b.ord = dst WHERE a.gid = b.gid GROUP BY a.gid)
+SELECT ord, CASE WHEN fine = false THEN ord ELSE gid END AS gid FROM small LEFT JOIN ok ON g = gid""")
+def color_veto_split(spark: SparkSession, sf: str) -> DataFrame:
+    """G5."""
+    small = _small_groups(spark, sf)
+    at = small.select("ord", "gid")
+    pairs = color_metrics(spark, sf).drop("gid").join(at.toDF("a", "ga"), F.col("src") == F.col("a")).join(at.toDF("b", "gb"), F.col("dst") == F.col("b")).where("ga = gb").withColumn("gid", F.col("ga"))
+    return grouping.veto(small, pairs, F.expr("distance <= 60 and difference <= 36 and histogram >= 0.6")).select("ord", "gid")
+
+
+@query(f"""WITH RECURSIVE {_METRICS}, batched AS (SELECT ord, gid, (row_number() OVER (PARTITION BY gid ORDER BY ord) - 1) // 5 AS chunk FROM images),
+links AS (SELECT src, dst FROM colored JOIN batched a ON a.ord = src JOIN batched b ON b.ord = dst WHERE a.chunk = b.chunk AND similarity >= 0.85),
+walk AS (SELECT ord AS n, ord AS c FROM batched UNION SELECT dst, c FROM walk JOIN links ON src = n),
+reach AS (SELECT n, min(c) AS c FROM walk GROUP BY n) SELECT n AS ord, c AS reach FROM reach""")
+def color_batch_components(spark: SparkSession, sf: str) -> DataFrame:
+    """Directed components in batches of five; the first group that reaches a member is that of its smallest ancestor."""
+    batched = grouping.chunks(images(spark, sf), 5)
+    at = batched.select("ord", "chunk")
+    edges = color_metrics(spark, sf).where("similarity >= 0.85").join(at.toDF("a", "chunk"), F.col("src") == F.col("a")).join(at.toDF("b", "kb"), F.col("dst") == F.col("b")).where("chunk = kb")
+    return grouping.directed_reach(batched, edges.select("gid", "chunk", "src", "dst"), ["gid", "chunk"]).select("ord", "reach")
+
+
+@query(f"""WITH RECURSIVE {_METRICS}, numbered AS (SELECT ord, gid, row_number() OVER (PARTITION BY gid ORDER BY ord) AS i FROM images),
+ok AS (SELECT src, dst FROM colored WHERE similarity >= 0.7 - 0.2 * cosine),
+walk AS (SELECT gid, i, ord, ord AS clique, [ord] AS current FROM numbered WHERE i = 1
+    UNION ALL SELECT n.gid, n.i, n.ord, CASE WHEN w.fits THEN w.clique ELSE n.ord END, CASE WHEN w.fits THEN list_append(w.current, n.ord) ELSE [n.ord] END
+    FROM (SELECT walk.*, m.ord AS nord, m.i AS ni, (SELECT count(*) FROM ok WHERE dst = m.ord AND list_contains(walk.current, src)) = len(walk.current) AS fits FROM walk JOIN numbered m ON m.gid = walk.gid AND m.i = walk.i + 1) w
+    JOIN numbered n ON n.ord = w.nord)
+SELECT ord, clique FROM walk""")
+def color_greedy_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Sequential cliques."""
+    match = V.color_match(F.col("similarity"), F.col("cosine"))
+    return grouping.greedy_cliques(images(spark, sf), color_metrics(spark, sf).where(match).select("gid", "src", "dst")).select("ord", "clique")
+
+
+@query(f"""WITH RECURSIVE {_METRICS}, edges AS (SELECT src, dst FROM colored WHERE similarity >= 0.9), {_components_sql('edges')} SELECT n AS ord, c AS gid FROM reach""")
+def color_components(spark: SparkSession, sf: str) -> DataFrame:
+    """Undirected components over the whole group."""
+    config = replace(DedupConfig(), color_cap=1_000_000, color_threshold=0.9)
+    return stages.color_stage(images(spark, sf), color_metrics(spark, sf).drop("gid"), config).select("ord", "gid")
+
+
+@query(f"""WITH {_IN_LABEL}, d AS (SELECT src, dst, least(l.a, l.b, l.c, l.d) AS distance FROM (SELECT x.ord AS src, y.ord AS dst,
+    list_distance(x.v[1:3], y.v[1:3]) AS a, list_distance(x.v[1:3], y.v[4:6]) AS b, list_distance(x.v[4:6], y.v[1:3]) AS c, list_distance(x.v[4:6], y.v[4:6]) AS d
+    FROM images x JOIN images y ON x.gid = y.gid AND x.ord < y.ord) l) SELECT src, dst, round(distance, 6) AS distance FROM d""")
+def dominant_color_distance(spark: SparkSession, sf: str) -> DataFrame:
+    """Two centres of three channels each."""
+    pairs = blocking.group_pairs(images(spark, sf), ["gid"], "ord", ["v"])
+    centres = lambda c: F.array(F.slice(c, 1, 3), F.slice(c, 4, 3))
+    return pairs.select("src", "dst", _r(V.dominant_color_distance(centres(F.col("v_a")), centres(F.col("v_b")))).alias("distance"))
+
+
+@query(f"""WITH {_IMAGES}, bins AS (SELECT gid, ord, CAST(floor((u + 1) * 16) AS INTEGER) AS k, count(*) AS n FROM (SELECT gid, ord, unnest(v) AS u FROM images) GROUP BY ALL),
+pairs AS (SELECT x.ord AS src, y.ord AS dst FROM images x JOIN images y ON x.gid = y.gid AND x.ord < y.ord WHERE x.ord % 5 = 0),
+sums AS (SELECT src, dst, coalesce((SELECT sum(a.n * b.n) FROM bins a JOIN bins b ON a.k = b.k WHERE a.ord = src AND b.ord = dst), 0) AS common,
+    (SELECT sum(n * n) FROM bins WHERE ord = src) AS aa, (SELECT sum(n * n) FROM bins WHERE ord = dst) AS bb FROM pairs)
+SELECT src, dst, round(greatest(0, (32768.0 * common - 4096) / sqrt(CAST((32768.0 * aa - 4096) * (32768.0 * bb - 4096) AS DOUBLE))), 6) AS correlation FROM sums""")
+def histogram_pearson(spark: SparkSession, sf: str) -> DataFrame:
+    """Sparse bins, closed form over 32768 bins."""
+    one = images(spark, sf).select("gid", "ord", F.explode("v").alias("u")).groupBy("gid", "ord", F.floor((F.col("u") + 1) * 16).cast("int").alias("k")).agg(F.count("*").alias("n"))
+    bins = one.groupBy("gid", "ord").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("h"))
+    pairs = blocking.group_pairs(bins, ["gid"], "ord", ["h"]).where(F.col("src") % 5 == 0)
+    return pairs.select("src", "dst", _r(V.histogram_correlation(F.col("h_a"), F.col("h_b"), 32768)).alias("correlation"))
+
+
+# ---- stage 4 ---------------------------------------------------------------------------------------------------------------
+
+_LOCAL = f"""{_IMAGES}, d AS (SELECT gid, ord, i, v[4 * i + 1 : 4 * i + 4] AS d FROM images, range(16) AS r(i)),
+near AS (SELECT x.gid, x.ord AS src, y.ord AS dst, x.i, list_distance(x.d, y.d) AS l FROM d x JOIN d y ON x.gid = y.gid AND x.ord < y.ord),
+two AS (SELECT gid, src, dst, i, min(l) AS l1, min(l, 2)[2] AS l2 FROM near GROUP BY gid, src, dst, i),
+locals AS (SELECT gid, src, dst, count(*) FILTER (l1 < 0.75 * l2) / 16.0 AS score FROM two GROUP BY gid, src, dst)"""
+
+
+def described(spark: SparkSession, sf: str) -> DataFrame:
+    """Sixteen descriptors of four values from each vector."""
+    return images(spark, sf).withColumn("descriptors", F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.slice("v", i * 4 + 1, F.lit(4))))
+
+
+@query(f"WITH {_LOCAL} SELECT gid, src, dst, round(score, 6) AS score FROM locals")
+def local_ratio_score(spark: SparkSession, sf: str) -> DataFrame:
+    """X20, W3, J5."""
+    pairs = blocking.group_pairs(described(spark, sf), ["gid"], "ord", ["descriptors"])
+    return pairs.select("gid", "src", "dst", _r(V.local_similarity(F.col("descriptors_a"), F.col("descriptors_b"))).alias("score"))
+
+
+@query(f"WITH RECURSIVE {_LOCAL}, edges AS (SELECT src, dst FROM locals WHERE score >= 0.625), {_components_sql('edges')}, kept AS (SELECT n, c, count(*) OVER (PARTITION BY c) AS m FROM reach) SELECT n AS ord, c AS gid FROM kept WHERE m > 1")
+def local_components(spark: SparkSession, sf: str) -> DataFrame:
+    """Components without singletons."""
+    config = replace(DedupConfig(), local_threshold=0.625, local_cap=1_000_000, mode="compat")
+    members, _ = stages.local_stage(described(spark, sf), config)
+    return members.select("ord", "gid")
+
+
+@query(f"""WITH {_IMAGES}, d AS (SELECT ord, i, list_transform(v[4 * i + 1 : 4 * i + 4], lambda x: x / sqrt(list_dot_product(v[4 * i + 1 : 4 * i + 4], v[4 * i + 1 : 4 * i + 4]))) AS d FROM images, range(16) AS r(i)),
+near AS (SELECT x.ord AS pair, x.i AS i, y.i AS j, list_distance(x.d, y.d) AS l FROM d x JOIN d y ON y.ord = x.ord + 1 WHERE x.ord % 2 = 0),
+forth AS (SELECT *, row_number() OVER w AS k, lead(l) OVER w AS l2 FROM near WINDOW w AS (PARTITION BY pair, i ORDER BY l, j)),
+back AS (SELECT *, row_number() OVER w AS k, lead(l) OVER w AS l2 FROM near WINDOW w AS (PARTITION BY pair, j ORDER BY l, i))
+SELECT f.pair, f.i, f.j, round(f.l, 6) AS distance FROM forth f JOIN back b ON f.pair = b.pair AND f.i = b.i AND f.j = b.j WHERE f.k = 1 AND b.k = 1 AND f.l < 0.8 * f.l2 AND b.l < 0.8 * b.l2""")
+def mutual_ratio_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """Descriptors of neighbouring vectors matched both ways."""
+    rows = described(spark, sf).select("ord", F.posexplode("descriptors").alias("idx", "vec"))
+    even = rows.where("ord % 2 = 0").withColumn("pair", F.col("ord"))
+    odd = rows.where("ord % 2 = 1").withColumn("pair", F.col("ord") - 1)
+    return matching.mutual_matches(even, odd).select("pair", "i", "j", _r("distance").alias("distance"))
+
+
+# ---- stage 5, reports ------------------------------------------------------------------------------------------------------
+
+_BEST = f"""{_DOCS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY gid ORDER BY quality DESC, ord) AS k, count(*) OVER (PARTITION BY gid) AS size, min(ord) OVER (PARTITION BY gid) AS first FROM docs),
+grouped AS (SELECT *, dense_rank() OVER (ORDER BY first) AS group_id, CASE WHEN k = 1 THEN 'Best' ELSE 'Duplicate' END AS status FROM ranked)"""
+
+
+def grouped(spark: SparkSession, sf: str) -> DataFrame:
+    return grouping.number_groups(doc_paths(spark, sf))
+
+
+@query(f"WITH {_BEST} SELECT ord, status, size FROM grouped")
+def best_per_group(spark: SparkSession, sf: str) -> DataFrame:
+    """A4, G15."""
+    return statistics.with_status(doc_paths(spark, sf)).select("ord", "status", "size")
+
+
+@query(f'WITH {_BEST} SELECT path AS "Image Path", round(quality, 2) AS "Quality Score", group_id AS "Group ID", size AS "Group Size", status AS "Status" FROM grouped')
+def dedup_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The report."""
+    return statistics.report(grouped(spark, sf))
+
+
+@query(f"""WITH {_DOCS}, q AS (SELECT ord, CASE WHEN ord % 4 = 0 THEN quality END AS stored, CASE WHEN ord % 4 = 1 THEN 3.0 END AS a, CASE WHEN ord % 4 = 2 THEN quality / 7 END AS sharp, path FROM docs)
+SELECT ord, round(CAST(coalesce(stored, CASE WHEN a IS NOT NULL THEN 5.0 END, sharp, CAST(length(regexp_extract(path, '[^/]*$')) AS DOUBLE)) AS DOUBLE), 6) AS quality FROM q""")
+def quality_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    """X22."""
+    m = F.col("ord") % 4
+    vector = F.when(m == 1, F.array(F.lit(3.0), F.lit(4.0)))
+    return doc_paths(spark, sf).select("ord", _r(V.quality(F.when(m == 0, F.col("quality")), vector, F.when(m == 2, F.col("quality") / 7), F.col("path"))).alias("quality"))
+
+
+@query(f"""WITH {_IN_LABEL}, q AS (SELECT path, ord, gid, abs(v[1]) AS quality FROM images), b AS (SELECT gid, arg_max(path, quality) AS best_path, max(quality) AS best_quality, max(quality) - min(quality) AS improvement, count(*) AS size FROM q GROUP BY gid)
+SELECT b.gid, size, best_path, round(best_quality, 6) AS best_quality, round(improvement, 6) AS improvement, round(coalesce((SELECT avg(score) FROM scored s WHERE s.gid = b.gid AND score >= 0.3), 0), 6) AS average FROM b WHERE size > 1""")
+def group_info(spark: SparkSession, sf: str) -> DataFrame:
+    """A5, A6, J8."""
+    members = images(spark, sf).withColumn("quality", F.abs(F.get("v", F.lit(0))))
+    scores = _label_pairs(spark, sf).where("score >= 0.3").select(F.col("dst").alias("src"), F.col("src").alias("dst"), "score")
+    info = statistics.group_information(members, scores)
+    return info.select("gid", "size", "best_path", *[_r(c).alias(c) for c in ("best_quality", "improvement", "average")])
+
+
+@query(f"""WITH {_BEST} SELECT count(*) AS images, count(*) FILTER (k = 1) AS groups, count(*) FILTER (k > 1) AS duplicates, round(100.0 * count(*) FILTER (k > 1) / count(*), 6) AS duplicate_percent,
+    round(avg(quality) FILTER (k = 1), 6) AS best_quality, round(avg(quality) FILTER (k > 1), 6) AS duplicate_quality, round(avg(quality) FILTER (k = 1) - avg(quality) FILTER (k > 1), 6) AS difference FROM grouped""")
+def quality_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """A7-A9."""
+    out = statistics.run_summary(doc_paths(spark, sf))
+    return out.select("images", "groups", "duplicates", *[_r(c).alias(c) for c in ("duplicate_percent", "best_quality", "duplicate_quality", "difference")])
+
+
+@query(f"WITH {_BEST} SELECT status AS \"Status\", count(*) AS images FROM grouped GROUP BY status")
+def status_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A8, A14."""
+    return statistics.status_counts(statistics.report(grouped(spark, sf)))
+
+
+@query(f"""WITH {_BEST}, s2 AS (SELECT ord, gid, size FROM grouped WHERE size > 1), g2 AS (SELECT gid, dense_rank() OVER (ORDER BY min(ord)) AS g FROM s2 GROUP BY gid)
+SELECT path, grouped.ord, group_id AS text_group, grouped.size AS text_size, coalesce(g2.g, 0) AS multi_group, CASE WHEN g2.g IS NULL THEN 0 ELSE grouped.size END AS multi_size,
+    CASE WHEN g2.g IS NULL THEN 'Unique' ELSE status END AS status FROM grouped LEFT JOIN g2 ON g2.gid = grouped.gid""")
+def processing_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Group and size at each stage."""
+    docs = doc_paths(spark, sf)
+    multi = grouping.with_size(docs).where("size > 1").drop("size")
+    return statistics.processing_report(docs, {"text": grouping.number_groups(docs), "multi": grouping.number_groups(multi)})
+
+
+@query(f"""WITH {_DOCS}, top AS (SELECT gid, count(*) AS size FROM docs GROUP BY gid ORDER BY size DESC, gid LIMIT 3)
+SELECT gid, size, position, path FROM (SELECT docs.gid, size, row_number() OVER (PARTITION BY docs.gid ORDER BY ord) AS position, path FROM docs JOIN top ON top.gid = docs.gid) WHERE position <= 3""")
+def largest_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """W5."""
+    return statistics.largest_groups(doc_paths(spark, sf))
+
+
+@query("SELECT count(l.quality) AS hits, count(*) AS total, round(count(l.quality) / count(*), 6) AS rate FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def cache_hit_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """A11."""
+    joined = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    return statistics.hit_rate(joined, "quality").withColumn("rate", _r("rate"))
+
+
+@query("SELECT count(*) AS attempts, count(*) FILTER (event_type = 'purchase') AS successes, round(avg(value), 6) AS mean_seconds, round(count(*) FILTER (event_type = 'purchase') / count(*), 6) AS success_rate FROM events")
+def loader_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """A12."""
+    out = statistics.loader_statistics(table(spark, sf, "events"), "value", F.col("event_type") == "purchase")
+    return out.withColumn("mean_seconds", _r("mean_seconds")).withColumn("success_rate", _r("success_rate"))
+
+
+# ---- sinks, runtime --------------------------------------------------------------------------------------------------------
+
+_PLAN = f"{_BEST}, plan AS (SELECT path AS src, CASE status WHEN 'Best' THEN 'out/best/' ELSE 'out/duplicates/' END || regexp_extract(path, '[^/]*$') AS dest, CASE status WHEN 'Best' THEN 'best' ELSE 'duplicate' END AS kind FROM grouped)"
+
+
+def _plan(spark: SparkSession, sf: str) -> DataFrame:
+    return sinks.copy_plan(statistics.report(grouped(spark, sf)), "out/best", "out/duplicates/")
+
+
+@query(f"WITH {_PLAN} SELECT src, dest, kind FROM plan")
+def copy_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """K6, K7."""
+    return _plan(spark, sf)
+
+
+@query("SELECT 'out/' || split_part(url, '/', 4) AS dest, count(DISTINCT url) AS sources FROM pages GROUP BY 1 HAVING count(DISTINCT url) > 1")
+def copy_name_collisions(spark: SparkSession, sf: str) -> DataFrame:
+    """K6: destinations that several sources would share."""
+    plan = table(spark, sf, "pages").select(F.col("url").alias("src"), F.concat(F.lit("out/"), F.split_part("url", F.lit("/"), F.lit(4))).alias("dest"))
+    return sinks.name_collisions(plan)
+
+
+@query(f"WITH {_PLAN} SELECT kind, count(*) FILTER (regexp_matches(src, '[02468]\\.')) AS copied, count(*) AS total FROM plan GROUP BY kind")
+def copy_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """A15."""
+    return statistics.copy_summary(_plan(spark, sf).withColumn("ok", F.col("src").rlike(r"[02468]\.")))
+
+
+@query("SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id ORDER BY event_id DESC, user_id LIMIT 200")
+def fifo_cache(spark: SparkSession, sf: str) -> DataFrame:
+    """W8, R10."""
+    return statistics.newest(table(spark, sf, "events"), "user_id", "event_id", 200)
+
+
+@query("SELECT worker, count(*) AS n FROM (SELECT event_id % 10 AS worker FROM events) GROUP BY worker")
+def round_robin(spark: SparkSession, sf: str) -> DataFrame:
+    """W12, W13, R11."""
+    return statistics.round_robin(table(spark, sf, "events"), "event_id", 10).groupBy("worker").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, round(avg(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), 6) AS moving_average FROM events")
+def moving_average_100(spark: SparkSession, sf: str) -> DataFrame:
+    """W9, A16."""
+    return statistics.moving_average(table(spark, sf, "events"), "event_type", ["ts", "event_id"], "value").select("event_id", _r("moving_average").alias("moving_average"))
+
+
+@query("SELECT l_orderkey AS group_id, count(*) AS size, max(l_quantity) AS best_quality, round(sum(l_extendedprice), 2) AS total FROM lineitem GROUP BY l_orderkey")
+def group_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A6 at the largest table's scale."""
+    return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("group_id")).agg(F.count("*").alias("size"), F.max("l_quantity").alias("best_quality"), F.round(F.sum("l_extendedprice"), 2).alias("total"))
+
+
+@query()
+def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """Hash, colour, global and local stages and the report's numbers."""
+    rows = described(spark, sf).drop("gid").withColumn("wavelet", V.binarise(F.col("v"))).withColumn("global", F.col("v")).withColumn("quality", F.abs(F.get("v", F.lit(0))))
+    config = replace(_S1, wavelet_threshold=0.6, color_cap=50, color_threshold=0.8, global_threshold=0.3, local_threshold=0.3)
+    out = stages.deduplicate(rows.drop("v"), color_metrics(spark, sf).drop("gid"), config)
+    return statistics.report(grouping.number_groups(out["local"]))
