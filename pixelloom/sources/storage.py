@@ -47,8 +47,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to shared storage and return a reader of what was written."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    """Write ``df`` once to shared storage and return a reader of what was written.
+
+    Its shuffle files go when the write has ended, rather than when the driver next collects its garbage."""
+    path, conf = new_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
