@@ -41,6 +41,8 @@ class DedupConfig:
     local_cap: int = 25
     mode: str = "preserve"
     """preserve: every stage partitions its input; compat: members and groups are dropped as the chosen variant does."""
+    keep_singletons: bool = True
+    """compat mode only: whether images alone after the first stage are set aside and come back at the end."""
     color_method: str = "components"
     """components, batches (directed, fixed batches) or greedy (sequential cliques with an all-or-nothing veto)."""
 
@@ -50,7 +52,7 @@ def memory_efficient() -> DedupConfig:
 
 
 def base() -> DedupConfig:
-    return replace(DedupConfig(), color_method="greedy", color_cap=30, global_cap=100, global_chunk=50, local_cap=50)
+    return replace(DedupConfig(), keep_singletons=False, color_method="greedy", color_cap=30, global_cap=100, global_chunk=50, local_cap=50)
 
 
 def multithreaded() -> DedupConfig:

@@ -8,6 +8,9 @@ pairs are quadratic in the cap only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +43,8 @@ def refine(members: DataFrame, score: Column, threshold: float, values: list[str
 
     ``score`` is an expression over the pair's value columns with _a and _b.  With ``chunk``, groups over the cap are cut
     into runs of ``chunk`` members, and pairs are taken inside these; else they pass."""
+    if config.mode == "compat":
+        members = grouping.with_size(members).where("size > 1").drop("size")
     present = F.lit(True)
     for v in values:
         present = present & F.col(v).isNotNull()
@@ -98,16 +103,29 @@ def local_stage(members: DataFrame, config: DedupConfig, descriptors: str = "des
     return refine(members, score, config.local_threshold, [descriptors], config.local_cap, config, drop_single=True)
 
 
-def deduplicate(images: DataFrame, metrics: DataFrame | None, config: DedupConfig, adaptive: bool = False) -> dict[str, DataFrame]:
-    """All stages over images (path, ord, wavelet, global, descriptors, quality): members after each, and pair scores."""
-    out: dict[str, DataFrame] = {"wavelet": wavelet_stage(images, config)}
-    if adaptive:
-        from dataclasses import replace
+def deduplicate(images: DataFrame, metrics: DataFrame | None, config: DedupConfig, adaptive: bool = False, progress: Callable[[str, float], None] | None = None) -> dict[str, DataFrame]:
+    """All stages over images (path, ord, wavelet, global, descriptors, quality): members after each, and pair scores.
 
-        t = statistics.adaptive_thresholds(statistics.group_statistics(out["wavelet"]), config.global_threshold, config.local_threshold).first()
+    In compat mode images without a hash are left out, and images alone after the first stage pass the others by, or go, as the
+    configuration says.  ``progress`` is told the stage and the percentage of stages that are planned."""
+    tell = progress or (lambda stage, percent: None)
+    first = wavelet_stage(images, config)
+    tell("wavelet", 20.0)
+    aside = first.limit(0)
+    if config.mode == "compat":
+        sized = grouping.with_size(first.where(F.col("wavelet").isNotNull()))
+        first, single = sized.drop("size"), sized.where("size = 1").drop("size")
+        work, aside = sized.where("size > 1").drop("size"), single if config.keep_singletons else aside
+    else:
+        work = first
+    if adaptive:
+        t = statistics.adaptive_thresholds(statistics.group_statistics(first), config.global_threshold, config.local_threshold).first()
         config = replace(config, global_threshold=t.global_threshold, local_threshold=t.local_threshold)
-    out["color"] = color_stage(out["wavelet"], metrics, config) if metrics is not None else out["wavelet"]
-    out["global"], global_scores = global_stage(out["color"], config)
-    out["local"], local_scores = local_stage(out["global"], config)
-    out["scores"] = global_scores.unionByName(local_scores)
-    return out
+    color = color_stage(work, metrics, config) if metrics is not None else work
+    tell("color", 40.0)
+    global_, global_scores = global_stage(color, config)
+    tell("global", 60.0)
+    local, local_scores = local_stage(global_, config)
+    tell("local", 80.0)
+    out = {"wavelet": first} | {name: members.unionByName(aside) for name, members in (("color", color), ("global", global_), ("local", local))}
+    return out | {"scores": global_scores.unionByName(local_scores)}

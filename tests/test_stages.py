@@ -69,10 +69,14 @@ def test_planted_groups_survive_all_stages(planted):
 
 def test_adaptive_run_and_compat_mode(planted):
     images, _ = planted
-    adaptive = stages.deduplicate(images, None, DedupConfig(), adaptive=True)
+    told = []
+    adaptive = stages.deduplicate(images, None, DedupConfig(), adaptive=True, progress=lambda stage, percent: told.append(stage))
+    assert told == ["wavelet", "color", "global", "local"]
     assert [g for g in parts(adaptive["local"].collect(), "gid") if len(g) > 1] == GROUPS
     compat = stages.deduplicate(images, None, replace(DedupConfig(), mode="compat"))
-    assert parts(compat["local"].where("gid >= 0").collect(), "gid")[: len(GROUPS)] == GROUPS
+    assert parts(compat["local"].collect(), "gid") == GROUPS + [[i] for i in range(26, 39)]
+    without = stages.deduplicate(images, None, replace(DedupConfig(), mode="compat", keep_singletons=False))
+    assert parts(without["local"].collect(), "gid") == GROUPS
     assert 39 not in set(itertools.chain(*parts(compat["global"].collect(), "gid")))
 
 
