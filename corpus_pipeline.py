@@ -43,7 +43,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     import public_tokenizers as P
 
     how = (P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
-    both = bpe.decode(bpe.encode(docs, *how), *how)
+    both = bpe.round_trip(docs, *how)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 
 

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pixelloom.llm.arrow import bound_batches
 from pixelloom.sources.storage import materialise
 
 #: Curves; projected dimensions and bits each (at most 62 in all); blocks of a curve; blocks searched on either side.
@@ -108,6 +109,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
     """(query_id, rank, vec_id, score): the ``k`` best found for every query row, by inner product; ids are long integers.
 
     ``is_query`` is a condition on the id column of ``df``; candidates are all rows of another id than the query's."""
+    bound_batches(df)
     spark = df.sparkSession
     usable, dim, norm = _usable(df, id_col, vector_col)
     directions, shifts = _directions(dim, curves, DIMENSIONS)

@@ -7,6 +7,18 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+#: Most bytes that Spark hands a Python worker at once, where the session doesn't say: it bounds a worker's memory whatever the texts' lengths.
+BATCH_BYTES = 8 << 20
+_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(df: DataFrame) -> None:
+    """Set the session's limit of bytes a batch to BATCH_BYTES unless a smaller one holds."""
+    conf = df.sparkSession.conf
+    held = conf.get(_SETTING).rstrip("b")
+    if not held.isdigit() or not 0 < int(held) <= BATCH_BYTES:
+        conf.set(_SETTING, str(BATCH_BYTES))
+
 
 def utf8(column: pa.Array) -> list[bytes]:
     """A string column's values as UTF-8 bytes; null becomes the empty text."""
@@ -21,6 +33,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
         for b in batches:
             yield fn(b)
 
+    bound_batches(df)
     return df.mapInArrow(run, schema)
 
 

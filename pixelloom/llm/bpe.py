@@ -28,8 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries a worker's memo may hold before it starts anew (about 150 MB).
-MEMO_ENTRIES = 600_000
+from pixelloom.llm.arrow import bound_batches
+
+#: Entries a worker's memo may hold before it starts anew (about 50 MB).
+MEMO_ENTRIES = 250_000
 
 
 def _byte_chars() -> list[str]:
@@ -134,6 +136,7 @@ def codec(rank_path: str, pattern: str) -> Codec:
 def encode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids): each text's token ids, packed as little-endian uint32."""
 
+    bound_batches(df)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_path, pattern)
         for b in batches:
@@ -147,6 +150,7 @@ def encode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
 def decode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
     """(id, ids, decoded): adds the bytes that the ids stand for; null ids decode to no bytes."""
 
+    bound_batches(df)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_path, pattern)
         for b in batches:
@@ -155,3 +159,17 @@ def decode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id")
 
     picked = df.select(F.col(id_col), F.col("ids"))
     return picked.mapInArrow(run, f"`{id_col}` {picked.schema[0].dataType.simpleString()}, ids binary, decoded binary")
+
+
+def round_trip(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids, decoded): ``encode`` and ``decode`` of its ids in one pass, by one set of workers."""
+    bound_batches(df)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(rank_path, pattern)
+        for b in batches:
+            ids = [own.encode(x.as_py()) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array(map(own.decode, ids), pa.binary())], names=[id_col, "ids", "decoded"])
+
+    picked = df.select(F.col(id_col), F.col(text_col))
+    return picked.mapInArrow(run, f"`{id_col}` {picked.schema[0].dataType.simpleString()}, ids binary, decoded binary")

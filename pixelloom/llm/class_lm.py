@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pixelloom.llm.arrow import kind_of, utf8
+from pixelloom.llm.arrow import bound_batches, kind_of, utf8
 from pixelloom.sources.storage import materialise
 
 #: Words with a symbol of their own; symbols of endings; classes besides the end's; broadcast word counts.
@@ -80,6 +80,7 @@ def held_out(id_col: str | Column) -> Column:
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) over all texts; the end token is the empty word."""
 
+    bound_batches(docs)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
 
@@ -282,6 +283,7 @@ def score(docs: DataFrame, model: ClassModel, id_col: str = "doc_id", text_col:
     """(id, n_tokens, n_known, train_tokens, base_score, score, perplexity) of each row.
 
     ``base_score`` is the additive unigram model's log10 probability, ``score`` the class model's."""
+    bound_batches(docs)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.hot, model.frequent, model.endings, model.of, model.transition, model.spread))
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pixelloom.llm.arrow import kind_of, utf8
+from pixelloom.llm.arrow import bound_batches, kind_of, utf8
 from pixelloom.sources.storage import materialise
 
 SAMPLE, WEIGHT, ALPHA, KAPPA = 1_000, 40, 0.5, 20.0
@@ -52,9 +52,12 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 
 def learn(df: DataFrame, text_col: str, label_col: str, id_col: str, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages and (languages, trigrams) log probabilities from at most ``sample`` rows of each label."""
-    w = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    bound_batches(df)
+    salt = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64))  # a label may hold most rows: its candidates are cut in 64 parts first
+    by = lambda *keys: F.row_number().over(Window.partitionBy("label", *keys).orderBy(F.xxhash64("id"), "id"))
     rows = df.select(F.lower(F.col(label_col).cast("string")).alias("label"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body")).where("label is not null and body is not null")
-    picked = rows.select("label", "id").withColumn("n", F.row_number().over(w)).where(F.col("n") <= sample).select("label", "id").distinct()
+    parts = rows.select("label", "id").withColumn("salt", salt).withColumn("n", by("salt")).where(F.col("n") <= sample)
+    picked = parts.withColumn("n", by()).where(F.col("n") <= sample).select("label", "id").distinct()
     chosen = rows.join(F.broadcast(picked), ["label", "id"])  # at most ``sample`` ids of each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,6 +136,7 @@ def identify(df: DataFrame, id_col: str, text_col: str, declared: Column | None
     """(id, lang, confidence, text_lang): the most probable language, its posterior, and the one of the text alone.
 
     The evidence columns are expressions over ``df``; ``model`` comes from ``learn`` or is learned from ``label_col``."""
+    bound_batches(df)
     languages, table = model or learn(df, text_col, label_col, id_col)
     null = F.lit(None).cast("string")
     short = lambda c: F.lower(F.regexp_extract(c.cast("string"), "^[A-Za-z]*", 0)) if c is not None else null

@@ -28,7 +28,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
     how = (P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), *how), *how)
+    both = bpe.round_trip(table(spark, sf_dir, "documents"), *how)
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pixelloom.llm.arrow import utf8
+from pixelloom.llm.arrow import bound_batches, utf8
 from pixelloom.sources.storage import materialise
 
 #: Longest word that a name is split into, and the least share of all words that a seed word is taken to have.
@@ -127,6 +127,7 @@ def _segments(names: DataFrame, words: DataFrame, total: int) -> DataFrame:
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, host, path, rule, verdict, score) of every page; score is the model's log odds of block, verdict the rule's or else the model's."""
+    bound_batches(pages)
     host, path = split_url(F.col(url_col).cast("string"))
     urls = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
     words = materialise(_word_counts(pages.select(F.col(html_col).cast("string").alias("html"))), "page-words")

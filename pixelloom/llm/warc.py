@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixelloom.llm.arrow import kind_of, map_batches
+from pixelloom.llm.arrow import bound_batches, kind_of, map_batches
 
 #: Date of records whose source table has none.
 NO_DATE = "1970-01-01T00:00:00Z"
@@ -150,6 +150,7 @@ def read_back(found: DataFrame, id_col: str = "page_id") -> DataFrame:
 def write(found: DataFrame, path: str) -> None:
     """The derived records as gzip members, one a record, in Parquet rows (id, kind, member)."""
 
+    bound_batches(found)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, kind in ((2, "metadata"), (3, "conversion")):

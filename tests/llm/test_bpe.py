@@ -41,4 +41,5 @@ def test_query_defined_cases(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "same", "z"), (3, "same", "z")], "doc_id long, text string, ids string")
     out = bpe.decode(bpe.encode(df, PATH, P.PATTERN), PATH, P.PATTERN).collect()
     assert sorted((r.doc_id, bytes(r.decoded)) for r in out) == [(1, b""), (2, b""), (3, b"same"), (3, b"same")]
-    assert bpe.encode(df.limit(0), PATH, P.PATTERN).count() == 0
+    assert sorted(map(tuple, out)) == sorted(map(tuple, bpe.round_trip(df, PATH, P.PATTERN).collect()))
+    assert bpe.encode(df.limit(0), PATH, P.PATTERN).count() == bpe.round_trip(df.limit(0), PATH, P.PATTERN).count() == 0
