@@ -5,8 +5,8 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
-from test_decontaminate import brute as brute_hits
-from test_ngram_join import brute as brute_components
+from tests.llm.test_decontaminate import brute as brute_hits
+from tests.llm.test_ngram_join import brute as brute_components
 
 import corpus_pipeline
 from pixelloom.llm import bpe
