@@ -8,10 +8,12 @@ similarity of their sets reaches a rational threshold; the join is exact up to c
    Documents of equal sets become one node.
 2. *Families*: sets that reach the threshold differ in at most H shingles, where H follows from their lengths.
    The hash range is cut into P > H slices, so two such sets agree entirely in at least ``P - H`` slices.  Every set
-   emits a signature of each slice; what shares one is linked to the smallest such node, and components of these
-   links are the families that may hold true links.  Passages that many documents share do
-   not fill a slice, so they make no families, and no statistics of the corpus are needed.  Equal
-   signatures are combined before the shuffle, so a frequent one is as cheap as a rare one.
+   emits a signature of each slice.  Pairs that share as many signatures as a true link must, less the slices that may be
+   empty in both, are linked; where over ``BUCKET`` sets share one signature, all are linked to the smallest instead,
+   so a frequent signature never makes pairs, and such signatures are combined before the shuffle too.  Components
+   of these links are the families that may hold true links.  Lengths are cut into levels, slices differ by level, and a
+   family is of one level, so families don't chain through sets of all lengths.  Passages that
+   documents share fill few slices, so they make no families, and no statistics of the corpus are needed.
 3. *Trie*: the sets of families are brought together.  Within a family, sets are ordered by frequency, stored in
    a trie whose levels are blocks of bits, and every set walks the trie at once: the overlap of a shared
    prefix is computed once for all sets below it, and a subtree is left as soon as the shingles that remain
@@ -41,16 +43,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixelloom.llm.arrow import map_batches, utf8
+from pixelloom.llm.arrow import bound_batches, map_batches, utf8
 from pixelloom.operators.components import connected_components
 from pixelloom.sources.storage import materialise
 
 #: Bits of the Bloom filter of family members (2 MB).
 BLOOM_BITS = 1 << 24
 #: Shingles in one trie group, at which a family is split, and sets in one.
-GROUP_SHINGLES, GROUP_SETS = 1_000_000, 4_096
+GROUP_SHINGLES, GROUP_SETS = 500_000, 2_048
+#: Signatures that a task combines at once.
+COMBINED = 300_000
+#: Sets that share a signature up to which their pairs are counted (at most 20 pairs a set).
+BUCKET = 40
+#: Slices for each shingle that two linked sets may differ in.
+FINER = 1.3
 #: Words whose hashes a worker remembers.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 150_000
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _S29, _S32 = np.uint64(29), np.uint64(32)
@@ -98,12 +106,13 @@ class Slices:
     """How sets are cut for a threshold: by lengths into levels, and by hashes into each level's slices.
 
     A level holds lengths first..last; it serves pairs whose smaller set is in it, so the larger has up to
-    last / t.  These differ in at most H shingles; with H + 1 + slack slices, slack + 1 agree or more.  If they were all empty,
-    both sets would have more than ``slack`` empty slices; only such sets emit signatures of empty slices."""
+    last / t.  These differ in at most H shingles; of P slices, P - H agree or more.  Sets with more than ``slack`` empty slices
+    emit signatures of these too, so two linked sets share at least P - H - slack signatures."""
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
-        self.first, self.plan = [1], []
+        self.first, self.plan, self.need = [1], [], []
+        self.cuts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def levels(self, n: int) -> list[int]:
         """The levels that a set of n takes part in."""
@@ -112,14 +121,11 @@ class Slices:
             last = max(a, a * self.den // self.num)
             most = last * self.den // self.num
             differ = (last + most) * (self.den - self.num) // (self.den + self.num)
-            slack, parts = 0, differ + 1
-            for _ in range(6 * (differ > 0)):  # enough slices that more empty ones than the slack are rare
-                empty = parts * math.exp(-a / parts)
-                slack = max(slack, math.ceil(empty + 3 * math.sqrt(empty) - 0.2))
-                parts = max(differ + 1, min(a, differ + 1 + slack))
-            slack = parts - differ - 1
-            bounds = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
-            self.plan.append((most, slack, bounds, _mix(np.arange(parts, dtype=np.uint64) + np.uint64(len(self.plan) << 40))))
+            parts = differ + 1 if differ == 0 else max(differ + 1, math.ceil(FINER * differ) + 1)
+            empty = parts * math.exp(-a / parts)
+            slack = min(parts - differ - 1, math.ceil(empty + 3 * math.sqrt(empty)))
+            self.plan.append((most, slack, parts))
+            self.need.append(parts - differ - slack)
             self.first.append(last + 1)
         k = bisect.bisect_right(self.first, n) - 1
         out = []
@@ -128,17 +134,27 @@ class Slices:
             k -= 1
         return out
 
-    def signatures(self, found: np.ndarray) -> np.ndarray:
+    def mark(self, level: int) -> int:
+        """Turns a digest into the node of its set at a level, by exclusive or."""
+        return int(_mix(np.array([level + 1], np.uint64)).view(np.int64)[0])
+
+    def signatures(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures of the set's slices, and the mark of the level of each."""
         total = np.zeros(len(found) + 1, np.uint64)
         np.cumsum(_mix(found + _S29), out=total[1:])
-        out = []
+        out, levels = [], []
         for k in self.levels(len(found)):
-            _, slack, bounds, marks = self.plan[k]
+            _, slack, parts = self.plan[k]
+            if k not in self.cuts:
+                self.cuts[k] = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64), _mix(np.arange(parts, dtype=np.uint64) + np.uint64(k << 40))
+            bounds, marks = self.cuts[k]
             edge = np.concatenate(([0], np.searchsorted(found, bounds), [len(found)]))
             sums = _mix(total[edge[1:]] - total[edge[:-1]] + marks)
             full = edge[1:] > edge[:-1]
+            sums = sums & ~np.uint64(0xFF) | np.uint64(k & 0xFF)  # the level goes along in the last byte
             out.append(sums if len(full) - int(full.sum()) > slack else sums[full])
-        return np.concatenate(out)
+            levels.append(np.full(len(out[-1]), self.mark(k), np.int64))
+        return np.concatenate(out).view(np.int64), np.concatenate(levels)
 
 
 def _fingerprints(docs: DataFrame, n: int) -> DataFrame:
@@ -154,62 +170,122 @@ def _fingerprints(docs: DataFrame, n: int) -> DataFrame:
     return map_batches(docs, run, "id long, n long, k1 long, k2 long")
 
 
-def _runs(signs: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows sorted by (sign, node): each sign with its smallest node, and (node, smallest node) of the other rows."""
-    new = np.concatenate(([True], signs[1:] != signs[:-1]))
-    hub = nodes[new][np.cumsum(new) - 1]
-    other = nodes != hub
-    return signs[new], nodes[new], nodes[other], hub[other]
-
-
-_EDGE = "sign long, node long, hub long"
-
-
-def _edges(signs: np.ndarray | None, nodes: np.ndarray, hubs: np.ndarray | None) -> pa.RecordBatch:
-    """Rows of signatures (no hub), or of links (dealt by their node)."""
-    columns = [pa.array(nodes if signs is None else signs), pa.array(nodes), pa.nulls(len(nodes), pa.int64()) if hubs is None else pa.array(hubs)]
-    return pa.RecordBatch.from_arrays(columns, names=["sign", "node", "hub"])
+def _starts(signs: np.ndarray) -> np.ndarray:
+    """Where runs of equal signs begin, and the end."""
+    return np.append(np.flatnonzero(np.concatenate(([True], signs[1:] != signs[:-1]))), len(signs))
+
+
+_ROW = "sign long, node long, hub long"
+
+
+def _row_batch(sign: np.ndarray, node: np.ndarray, hub: np.ndarray | None) -> pa.RecordBatch:
+    """Rows of signatures (no hub), of signatures that stand for many sets (the node is its own hub), or of links to a hub."""
+    return pa.RecordBatch.from_arrays([pa.array(sign), pa.array(node), pa.nulls(len(node), pa.int64()) if hub is None else pa.array(hub)], names=["sign", "node", "hub"])
+
+
+def _combined(signs: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The rows of a task's signatures; those of over BUCKET sets become links to the smallest and one row for them all."""
+    sign, node = np.concatenate(signs), np.concatenate(nodes)
+    order = np.lexsort((node, sign))
+    sign, node = sign[order], node[order]
+    at = _starts(sign)
+    size = np.diff(at)
+    many = np.repeat(size > BUCKET, size)
+    yield _row_batch(sign[~many], node[~many], None)
+    if many.any():
+        hub = np.repeat(node[at[:-1]], size)[many]
+        yield _row_batch(sign[at[:-1]][size > BUCKET], node[at[:-1]][size > BUCKET], node[at[:-1]][size > BUCKET])
+        src, dst = np.unique(np.stack([node[many], hub])[:, node[many] != hub], axis=1)
+        yield _row_batch(src, src, dst)
+
+
+def _bucket_pairs(sign: np.ndarray, node: np.ndarray, many: np.ndarray, need: np.ndarray) -> list[np.ndarray]:
+    """Of whole runs sorted by (sign, node): [src, dst, times, need]; a link to a hub counts as often as is needed."""
+    at = _starts(sign)
+    size = np.diff(at)
+    star = (size > BUCKET) | np.logical_or.reduceat(many, at[:-1])
+    out = [np.zeros((4, 0), np.int64)]
+    inside = np.repeat(star, size)
+    if inside.any():
+        hub = np.repeat(node[at[:-1]], size)[inside]
+        pair = np.stack([node[inside], hub])
+        pair = np.unique(pair[:, pair[0] != pair[1]], axis=1)
+        out.append(np.vstack((pair, np.ones((2, pair.shape[1]), np.int64) * (1 << 30))))
+    for s in np.unique(size[~star & (size > 1)]).tolist():
+        first = at[:-1][~star & (size == s)]
+        own = node[first[:, None] + np.arange(s)]
+        i, j = np.triu_indices(s, 1)
+        level = np.repeat(need[sign[first] & 0xFF], len(i))
+        out.append(np.stack([own[:, j].ravel(), own[:, i].ravel(), np.ones(len(level), np.int64), level]))
+    found = np.concatenate(out, axis=1)
+    found = found[:, found[0] != found[1]]
+    if not found.shape[1]:
+        return list(found)
+    key, back, times = np.unique(found[[0, 1, 3]], axis=1, return_inverse=True, return_counts=True)
+    total = np.zeros(key.shape[1], np.int64)
+    np.maximum.at(total, back.ravel(), found[2])
+    return [key[0], key[1], np.maximum(total, times), key[2]]
 
 
 def _near(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(src, dst): each node that shares a signature with a smaller one, and that one; node is the first half of a digest."""
+    """(src, dst): pairs of nodes that may belong to one family; a node is the first half of a digest, marked by a level."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices = Slices(num, den)
         for b in batches:
-            signs, nodes, seen = [], [], set()
+            signs, nodes, seen, held = [], [], set(), 0
             for text in utf8(b.column(1)):
                 found = shingles(text, n)
                 k1, _ = _digest(found)
                 if len(found) and k1 not in seen:
                     seen.add(k1)
-                    signs.append(slices.signatures(found).view(np.int64))
-                    nodes.append(np.full(len(signs[-1]), k1, np.int64))
+                    sign, marks = slices.signatures(found)
+                    signs.append(sign)
+                    nodes.append(marks ^ np.int64(k1))
+                    held += len(sign)
+                    if held > COMBINED:
+                        yield from _combined(signs, nodes)
+                        signs, nodes, held = [], [], 0
             if signs:
-                sign, node = np.concatenate(signs), np.concatenate(nodes)
-                order = np.lexsort((node, sign))
-                sign, node, src, dst = _runs(sign[order], node[order])
-                yield _edges(sign, node, None)
-                yield _edges(None, *np.unique(np.stack([src, dst]), axis=1))
+                yield from _combined(signs, nodes)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_sign = last_node = None  # rows come sorted by signature and node; a run may go on in the next batch
+        slices = Slices(num, den)
+        slices.levels(1 << 40)
+        need = np.full(256, 1 << 30, np.int64)
+        for level, least in enumerate(slices.need):
+            need[level & 0xFF] = min(need[level & 0xFF], least)
+        sign, node, many = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)  # of a run that may go on
+
+        def out(found: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["src", "dst", "times", "need"])
+
         for b in batches:
-            link = b.column(2).is_valid().to_numpy(zero_copy_only=False)
-            sign, node = b.column(0).to_numpy(), b.column(1).to_numpy()
-            src, dst = node[link], b.column(2).drop_null().to_numpy()
-            sign, node = sign[~link], node[~link]
-            if len(sign):
-                if last_sign == sign[0]:
-                    sign, node = np.concatenate(([last_sign], sign)), np.concatenate(([last_node], node))
-                heads, least, a, h = _runs(sign, node)
-                last_sign, last_node = heads[-1], least[-1]
-                src, dst = np.concatenate((src, a)), np.concatenate((dst, h))
-            if len(src):
-                src, dst = np.unique(np.stack([src, dst]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], names=["src", "dst"])
-
-    return docs.mapInArrow(emit, _EDGE).repartition("sign").sortWithinPartitions("sign", "node").mapInArrow(meet, "src long, dst long")
+            own, hub = b.column(1).to_numpy(), b.column(2).fill_null(0).to_numpy()
+            link = b.column(2).is_valid().to_numpy(zero_copy_only=False) & (own != hub)
+            if link.any():
+                yield out([own[link], hub[link], np.full(int(link.sum()), 1 << 30), np.ones(int(link.sum()), np.int64)])
+            sign = np.concatenate((sign, b.column(0).to_numpy()[~link]))
+            node = np.concatenate((node, own[~link]))
+            many = np.concatenate((many, b.column(2).is_valid().to_numpy(zero_copy_only=False)[~link]))
+            if not len(sign):
+                continue
+            same = np.concatenate(([True], (sign[1:] != sign[:-1]) | (node[1:] != node[:-1])))  # copies of a set in different tasks
+            many = np.logical_or.reduceat(many, np.flatnonzero(same))
+            sign, node = sign[same], node[same]
+            last = int(_starts(sign)[-2])
+            if last:
+                yield out(_bucket_pairs(sign[:last], node[:last], many[:last], need))
+                sign, node, many = sign[last:], node[last:], many[last:]
+            if len(sign) > BUCKET:  # linked to the smallest at once; only that one is kept
+                yield out(_bucket_pairs(sign, node, many, need))
+                sign, node, many = sign[:1], node[:1], np.ones(1, bool)
+        if len(sign):
+            yield out(_bucket_pairs(sign, node, many, need))
+
+    dealt = docs.mapInArrow(emit, _ROW).repartition("sign").sortWithinPartitions("sign", "node")
+    pairs = dealt.mapInArrow(meet, "src long, dst long, times long, need long")
+    return pairs.groupBy("src", "dst").agg(F.sum("times").alias("times"), F.min("need").alias("need")).where("times >= need").select("src", "dst")
 
 
 def _bloom(ids: DataFrame) -> np.ndarray:
@@ -337,12 +413,18 @@ def _members_linked(groups: DataFrame, num: int, den: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, n: int = 3, threshold: tuple[int, int] = (90, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row; ids are long integers, the threshold a fraction."""
+    bound_batches(docs)
     num, den = threshold
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
     rows = materialise(_fingerprints(picked, n), "fingerprints")
     nodes = rows.where("n > 0 and id is not null").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.first("n").alias("n"))
     families = connected_components(_near(picked, n, num, den)).select(F.col("node").alias("k"), F.col("component").alias("family"))
-    members = materialise(nodes.join(families, F.col("k1") == F.col("k")).select("k1", "k2", "rep", "n", "family"), "members")
+    slices = Slices(num, den)
+    slices.levels(rows.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0])
+    plan = [(first, most, slices.mark(k)) for k, (first, (most, *_)) in enumerate(zip(slices.first, slices.plan, strict=False))]
+    own = F.filter(F.array(*[F.struct(*map(F.lit, x)) for x in plan]), lambda x: (x["col1"] <= F.col("n")) & (F.col("n") <= x["col2"])) if plan else F.array()
+    marked = nodes.withColumn("level", F.explode(own)).withColumn("node", F.col("k1").bitwiseXOR(F.col("level.col3"))) if plan else nodes.withColumn("node", F.col("k1"))
+    members = materialise(marked.join(families, F.col("node") == F.col("k")).select("k1", "k2", "rep", "n", "family"), "members")
     sizes = members.groupBy("family").agg(F.sum("n").alias("shingles"), F.count("*").alias("sets"))
     blocks = F.greatest(F.ceil(2 * F.col("shingles") / GROUP_SHINGLES), F.ceil(2 * F.col("sets") / GROUP_SETS))
     sizes = sizes.where("sets > 1").select(F.col("family").alias("f"), F.when((F.col("shingles") <= GROUP_SHINGLES) & (F.col("sets") <= GROUP_SETS), 1).otherwise(blocks).cast("int").alias("blocks"))

@@ -96,5 +96,8 @@ def test_near_sets_share_a_signature(base, threshold, r):
     other = {v for v in base if r.random() > (den - num) / den / 2} | {r.getrandbits(64) for _ in range(r.randrange(1 + len(base) // 8))}
     if den * len(base & other) >= num * len(base | other):
         slices = J.Slices(num, den)
-        signs = [set(slices.signatures(np.array(sorted(s), np.uint64)).tolist()) for s in (base, other)]
-        assert signs[0] & signs[1]
+        signs = [set(zip(*(a.tolist() for a in slices.signatures(np.array(sorted(s), np.uint64))))) for s in (base, other)]
+        level = slices.levels(max(len(base), len(other)))
+        least = [k for k in slices.levels(min(len(base), len(other))) if k in level][0]
+        shared = {s for s, mark in signs[0] & signs[1] if mark == slices.mark(least)}
+        assert len(shared) >= slices.need[least] >= 1
