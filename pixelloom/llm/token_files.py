@@ -24,6 +24,7 @@ are read.
 
 from __future__ import annotations
 
+import gc
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelloom.llm.arrow import kind_of
+from pixelloom.llm.arrow import bound_batches, kind_of
 from pixelloom.llm.pretoken import ChunkEncoder
 from pixelloom.sources.storage import materialise, new_path
 
@@ -55,7 +56,11 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     if values.size and values.max() > 0xFFFF:
         code += (values > 0xFFFF).astype(np.uint8) + (values > 0xFFFFFF)
     width = int(code.max(initial=0)) + 1
-    data = values.view(np.uint8).reshape(-1, 4)[:, :width][np.arange(width, dtype=np.uint8) <= code[:, None]]
+    narrow = values.astype("<u2") if width <= 2 else values
+    kept = np.zeros((len(values), 2 if width <= 2 else 4), bool)
+    for k in range(width):
+        kept[:, k] = code >= k
+    data = np.compress(kept.ravel(), narrow.view(np.uint8))
     four = np.zeros((-(-len(values) // 4), 4), dtype=np.uint8)
     four.ravel()[: len(values)] = code
     return (four << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(1, dtype=np.uint8).tobytes(), data.tobytes()
@@ -115,11 +120,11 @@ def encoder(tokenizer_path: str) -> tuple[Callable[[str | None], bytes], str]:
     return _ENCODERS[tokenizer_path]
 
 
-_RAW = "part int, part_start long, doc_ids array<{kind}>, sizes array<long>, ids binary"
+_RAW = "part int, part_start long, doc_ids array<{kind}>, sizes array<long>, ids binary, counts binary"
 
 
 def _raw_blocks(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, block_ids: int) -> DataFrame:
-    """Blocks of unranked ids in ascending order of document id, numbered by range."""
+    """Blocks of unranked ids in ascending order of document id, numbered by range, and a row of id counts for each range."""
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"))
     kind = kind_of(picked, "id")
     id_type = pa.int64() if kind == "bigint" else None
@@ -128,42 +133,49 @@ def _raw_blocks(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str
         (encode, of), part, start = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         end = np.array([END_ID], of).tobytes()
         names, sizes, ids, n = [], [], [], 0
+        counts = np.zeros(1 << 16, np.int64)
+        kinds = [pa.int32(), pa.int64(), pa.list_(id_type) if id_type else pa.list_(pa.null()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
 
         def block() -> pa.RecordBatch:
-            columns = [pa.array([part], pa.int32()), pa.array([start], pa.int64()), pa.array([names], pa.list_(id_type) if id_type else None), pa.array([sizes], pa.list_(pa.int64())), pa.array([b"".join(ids)], pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, names=["part", "part_start", "doc_ids", "sizes", "ids"])
-
-        for b in batches:
-            for name, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                packed = encode(text.as_py()) + end
-                names.append(name)
-                sizes.append(len(packed) // len(end))
-                ids.append(packed)
-                n += sizes[-1]
-                if n >= block_ids:
-                    yield block()
-                    start, names, sizes, ids, n = start + n, [], [], [], 0
-        if names:
-            yield block()
+            nonlocal counts
+            found = np.bincount(np.frombuffer(b"".join(ids), of), minlength=len(counts))
+            counts = found + np.pad(counts, (0, len(found) - len(counts)))
+            columns = [pa.array([part], pa.int32()), pa.array([start], pa.int64()), pa.array([names], pa.list_(id_type) if id_type else None), pa.array([sizes], pa.list_(pa.int64())), pa.array([b"".join(ids)], pa.binary()), pa.nulls(1, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "part_start", "doc_ids", "sizes", "ids", "counts"])
+
+        gc.disable()  # nothing here is cyclic, and the collector would walk the memo again and again
+        try:
+            for b in batches:
+                for name, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                    packed = encode(text.as_py()) + end
+                    names.append(name)
+                    sizes.append(len(packed) // len(end))
+                    ids.append(packed)
+                    n += sizes[-1]
+                    if n >= block_ids:
+                        yield block()
+                        start, names, sizes, ids, n = start + n, [], [], [], 0
+            if names:
+                yield block()
+            there = np.flatnonzero(counts)
+            columns = [*(pa.nulls(1, k) for k in kinds[:5]), pa.array([np.stack([there, counts[there]]).astype("<i8").tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "part_start", "doc_ids", "sizes", "ids", "counts"])
+        finally:
+            gc.enable()
 
     return picked.repartitionByRange("id").sortWithinPartitions("id", "body").mapInArrow(run, _RAW.format(kind=kind))
 
 
-def _counts(raw: DataFrame, of: str) -> DataFrame:
-    """(id, n): how often each id occurs; every task sends one row per id it met."""
+def _counts(raw: DataFrame) -> DataFrame:
+    """(id, n): how often each id occurs, from the ranges' counts; the ids themselves aren't read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for b in batches:
-            for ids in b.column(0):
-                got = np.bincount(np.frombuffer(ids.as_py(), of)).astype(np.int64)
-                small, total = sorted((got, total), key=len)
-                total = total.copy()
-                total[: len(small)] += small
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], names=["id", "n"])
+            for counts in b.column(0):
+                ids, n = np.frombuffer(counts.as_py(), "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
 
-    return raw.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return raw.where("counts is not null").select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -177,11 +189,13 @@ class TokenFiles:
 
 def write(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS) -> TokenFiles:
     """Tokenise ``docs`` and write the dataset; ``path`` defaults to a new one in the shared folder."""
+    bound_batches(docs)
     spark = docs.sparkSession
     kind, of = kind_of(docs, id_col), encoder(tokenizer_path)[1]
-    raw = materialise(_raw_blocks(docs, tokenizer_path, id_col, text_col, block_ids), "raw-ids")
+    found = materialise(_raw_blocks(docs, tokenizer_path, id_col, text_col, block_ids), "raw-ids")
+    raw = found.where("part is not null").drop("counts")
     # the vocabulary bounds both collected tables' sizes: its ids here, the shuffle partitions below
-    ranked = [r.id for r in _counts(raw, of).orderBy(F.desc("n"), "id").collect()]
+    ranked = [r.id for r in _counts(found).orderBy(F.desc("n"), "id").collect()]
     id_of_rank = np.array(ranked, np.uint32)
     rank_of_id = np.zeros(max(ranked, default=0) + 1, np.uint32)
     rank_of_id[id_of_rank] = np.arange(len(ranked), dtype=np.uint32)
