@@ -3,19 +3,21 @@
     P(w | v) = P(class(w) | class(v)) * P(w | class(w))
 
 *Counts.*  Word counts of all training documents are made by per-batch partial sums and a grouped sum.
-The ``frequent`` most frequent words are symbols of their own, any other word, seen or not, has the symbol of its ending;
-so every word has a symbol without a table that grows with the corpus.  Bigrams of symbols are
-counted over all training documents.
+The ``frequent`` most frequent words are symbols of their own, any other word starts with the symbol of its ending.
+Bigrams of symbols are counted over all training documents.
 
 *Classes.*  Exchange clustering on the driver moves symbols between classes while the class bigram likelihood
-rises; its input is bounded by the square of the number of symbols, whatever the size of the corpus.
+rises; its input is bounded by the square of the number of symbols, whatever the size of the corpus.  Then every other
+training word is moved on its own: the classes before and after all its occurrences are grouped by word, and it goes to the class
+that raises the same likelihood most, all words at once.  The table of words, counts and classes is distributed.  Class
+bigrams and sizes are counted anew with these classes.  Only words never seen in training have the class of their ending.
 
 *Smoothing.*  A class's words get ``alpha`` each, with one more for an unknown word; class transitions are drawn to the
 class frequencies by ``mu`` counts.  Every text ends with an end token, a class of its own, which also is the context
 of the first word, so probabilities of texts sum to one.
 
-*Scoring.*  The counts of the ``hot`` most frequent words are broadcast (a stated bound).  The other words of
-a document are joined with the count table by word: they are rare by definition, so no key is hot, and the
+*Scoring.*  Counts and classes of the ``hot`` most frequent words are broadcast (a stated bound).  The other words of
+a document are joined with the word table by word, with their places: they are rare by definition, so no key is hot, and the
 frequent words, which would be, never enter the shuffle.
 
 Defined cases: a null or empty text is one end token; a null id belongs to training and carries a null id through;
@@ -44,6 +46,8 @@ FREQUENT, ENDINGS, CLASSES, HOT = 2048, 1023, 48, 150_000
 ALPHA, MU, SWEEPS = 0.1, 20.0, 6
 #: Rows in which a task sends its bigram counts, and the words that a worker keeps in mind.
 PARTS, MEMO_WORDS = 32, 400_000
+#: Bytes of contexts that a task keeps before it sends them, and that are judged at once.
+MEMO_BYTES, STEP_BYTES = 32 << 20, 1 << 17
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -211,17 +215,131 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
     return of
 
 
+def _f(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
+def best_classes(right: np.ndarray, left: np.ndarray, own: np.ndarray, now: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The class that each word (a row) would move to in ``exchange``, given those of all others.
+
+    ``right`` and ``left`` count the classes after and before the word, without the ``own`` times that it follows itself;
+    ``pairs`` are class bigrams with every word in its class of ``now``.  The last class, the end's, is none to move to."""
+    m, every = np.arange(len(now)), len(pairs)
+    k = every - 1
+    total, n = pairs.sum(1), right.sum(1) + own
+    r, l, d = right[:, :k], left[:, :k], np.diagonal(pairs)[:k]
+    r_g, l_g = right[m, now][:, None], left[m, now][:, None]
+    gain = np.zeros((len(now), k))
+    for counts, cells in ((right, pairs[:k].T), (left, pairs[:, :k])):  # cells[other class, candidate]
+        row, at = np.nonzero(counts)
+        if len(row):
+            x = counts[row, at]
+            step = np.concatenate(([0], np.flatnonzero(np.diff(row)) + 1))
+            gain[row[step]] += np.add.reduceat(_f(cells[at] + x[:, None]) - _f(cells)[at], step)
+    to_g, of_g = pairs[:k, now].T, pairs[now, :k]  # candidate -> own class, own class -> candidate
+    gain += _f(to_g - l + r_g) - _f(to_g - l) - _f(to_g + r_g) + _f(to_g)
+    gain += _f(of_g - r + l_g) - _f(of_g - r) - _f(of_g + l_g) + _f(of_g)
+    gain += _f(d + r + l + own[:, None]) - _f(d + r) - _f(d + l) + _f(d)
+    gain -= 2 * (_f(total[:k] + n[:, None]) - _f(total[:k]))
+    row, column = pairs[now], pairs[:, now].T
+    rows, columns = _f(row) - _f(row - right), _f(column) - _f(column - left)
+    rows[m, now] = columns[m, now] = 0
+    same = pairs[now, now]
+    stay = rows.sum(1) + columns.sum(1) + _f(same) - _f(same - right[m, now] - left[m, now] - own) - 2 * (_f(total[now]) - _f(total[now] - n))
+    gain[m, now] = stay
+    best = gain.argmax(1)
+    return np.where(gain[m, best] > stay + 1e-6, best, now)
+
+
+def _contexts(docs: DataFrame, text_col: str, frequent: list[bytes], endings: int, of: np.ndarray) -> DataFrame:
+    """(word, contexts) of all words that aren't frequent: two bytes an occurrence, the classes before and after it, or the number of classes for the word itself."""
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, of))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, classes_of = shared.value
+        symbols, first, itself = Symbols(words, endings), len(words), int(classes_of[-1]) + 1
+        found: dict[bytes, bytes] = {}
+        held = 0
+
+        def batches_of() -> Iterator[pa.RecordBatch]:
+            names = list(found)
+            for i in range(0, len(names), 10_000):
+                some = names[i : i + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array([found[w] for w in some], pa.binary())], names=["word", "contexts"])
+
+        for b in batches:
+            for text in utf8(b.column(0)):
+                line = tokens(text)
+                numbers = np.array([symbols.end, *map(symbols.__getitem__, line), symbols.end])
+                classes = classes_of[numbers]
+                for i in np.flatnonzero((numbers[1:-1] >= first)).tolist():
+                    w = line[i]
+                    before = itself if i and line[i - 1] == w else int(classes[i])
+                    after = itself if i + 1 < len(line) and line[i + 1] == w else int(classes[i + 2])
+                    found[w] = found.get(w, b"") + bytes((before, after))
+                held += 2 * len(line)
+                if len(found) > MEMO_WORDS or held > MEMO_BYTES:
+                    yield from batches_of()
+                    found.clear()
+                    held = 0
+        yield from batches_of()
+
+    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word binary, contexts binary")
+
+
+def _assigned(contexts: DataFrame, frequent: list[bytes], endings: int, of: np.ndarray, pairs: np.ndarray) -> DataFrame:
+    """(word, n, class) of the words of ``_contexts``."""
+    shared = contexts.sparkSession.sparkContext.broadcast((frequent, of, pairs))
+    every = len(pairs)
+
+    def judge(words: list[bytes], parts: list[bytes], symbols: Symbols, classes_of: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
+        """Rows of equal words are next to each other."""
+        heads = [i for i, w in enumerate(words) if not i or w != words[i - 1]]
+        names = [words[i] for i in heads]
+        group = np.repeat(np.arange(len(heads)), np.diff([*heads, len(words)]))
+        codes = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64).reshape(-1, 2)
+        at = np.repeat(group, [len(p) // 2 for p in parts]) * (every + 1)
+        left, right = (np.bincount(at + codes[:, i], minlength=len(heads) * (every + 1)).reshape(len(heads), -1).astype(float) for i in (0, 1))
+        now = classes_of[[symbols[w] for w in names]]
+        best = best_classes(right[:, :every], left[:, :every], left[:, every], now, pairs)
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(left.sum(1).astype(np.int64)), pa.array(best.astype(np.int32))], names=["word", "n", "class"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, classes_of, pairs = shared.value
+        symbols = Symbols(frequent, endings)
+        words: list[bytes] = []
+        parts: list[bytes] = []
+        size = heads = 0
+        for b in batches:
+            for w, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if not words or w != words[-1]:
+                    if size >= STEP_BYTES or heads >= 4096:
+                        yield judge(words, parts, symbols, classes_of, pairs)
+                        words, parts, size, heads = [], [], 0, 0
+                    heads += 1
+                words.append(w)
+                parts.append(p)
+                size += len(p)
+        if words:
+            yield judge(words, parts, symbols, classes_of, pairs)
+
+    bound_batches(contexts)
+    return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word binary, n long, class int")
+
+
 @dataclass
 class ClassModel:
-    """A trained model: ``counts`` (word, n) is a table, the rest is bounded by the parameters."""
+    """A trained model: ``counts`` (word, n, class) is a table, the rest is bounded by the parameters."""
 
     counts: DataFrame
     n: int
     distinct: int
-    hot: dict[bytes, int]
+    hot: dict[bytes, tuple[int, int]]
+    """word -> its count and class"""
     frequent: list[bytes]
     endings: int
     of: np.ndarray
+    """classes of the frequent words, and of the endings for words never seen"""
     transition: np.ndarray
     """log10 P(class | class before)"""
     spread: np.ndarray
@@ -229,20 +347,30 @@ class ClassModel:
 
 
 def train(docs: DataFrame, text_col: str = "text", frequent: int = FREQUENT, endings: int = ENDINGS, classes: int = CLASSES, hot: int = HOT) -> ClassModel:
-    counts = materialise(word_counts(docs, text_col), "word-counts")
-    n, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    top = sorted(((bytes(r.word), r.n) for r in _most_frequent(counts, hot).collect()), key=lambda x: (-x[1], x[0]))
-    words = [w for w, _ in top if w][:frequent]
+    bound_batches(docs)
+    spark = docs.sparkSession
+    seen = materialise(word_counts(docs, text_col), "word-counts")
+    n, distinct = seen.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
+    top = sorted(((bytes(r.word), r.n) for r in _most_frequent(seen, hot).collect()), key=lambda x: (-x[1], x[0]))
+    ends = dict(top).get(b"", 0)
+    top = [x for x in top if x[0]][:frequent]
+    words = [w for w, _ in top]
     bigrams = _bigrams(docs, text_col, words, endings)
     of = exchange(bigrams, classes)
     member = np.zeros((classes + 1, len(of)))
     member[of, np.arange(len(of))] = 1
-    pairs = member @ bigrams @ member.T
-    size, kinds = _class_sizes(counts, words, endings, of, classes)
+    own = spark.createDataFrame([(b"", ends, classes), *((w, k, int(c)) for (w, k), c in zip(top, of, strict=False))], "word binary, n long, class int")
+    rest = _assigned(_contexts(docs, text_col, words, endings, of), words, endings, of, member @ bigrams @ member.T)
+    counts = materialise(own.unionByName(rest), "word-classes")
+    table = {bytes(r.word): (r.n, r["class"]) for r in _most_frequent(counts, hot).collect()}
+    pairs = _class_pairs(docs, text_col, ClassModel(counts, n, distinct, table, words, endings, of, np.empty(0), np.empty(0)))
+    size, kinds = np.zeros(classes + 1), np.zeros(classes + 1)
+    for r in counts.groupBy("class").agg(F.sum("n").alias("size"), F.count(F.when(F.col("n") > 0, 1)).alias("kinds")).collect():
+        size[r["class"]], kinds[r["class"]] = r["size"], r.kinds
     spread = size + ALPHA * (kinds + 1)
     share = spread / spread.sum()
     transition = np.log10((pairs + MU * share) / (pairs.sum(1, keepdims=True) + MU))
-    return ClassModel(counts, n, distinct, dict(top), words, endings, of, transition, np.log10(spread))
+    return ClassModel(counts, n, distinct, table, words, endings, of, transition, np.log10(spread))
 
 
 def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -259,71 +387,108 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.where((F.octet_length("word") == 0) & (F.col("n") > 0) | (F.col("n") > 0) & (step >= least))
 
 
-def _class_sizes(counts: DataFrame, words: list[bytes], endings: int, of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and distinct words of each class over the whole count table."""
-    shared = counts.sparkSession.sparkContext.broadcast((words, of))
+def _classified(picked: DataFrame, model: ClassModel) -> DataFrame:
+    """(id, row, n_tokens, known, logs, classes, fixes) of each row of (id, body).
+
+    ``classes`` holds a byte a token; ``fixes`` are (class, places) of the words that had to be looked up in the table."""
+    bound_batches(picked)
+    shared = picked.sparkSession.sparkContext.broadcast((model.hot, model.frequent, model.endings, model.of))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, classes_of = shared.value
+        hot, frequent, endings, of = shared.value
         symbols = Symbols(frequent, endings)
-        size, kinds = np.zeros(classes + 1, np.int64), np.zeros(classes + 1, np.int64)
+        logs = {w: math.log10(n + ALPHA) for w, (n, _) in hot.items() if w}
+        class_of = {w: k for w, (_, k) in hot.items() if w}
+        end_log = math.log10(hot.get(b"", (0, 0))[0] + ALPHA)
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
-            own = classes_of[[symbols[w] if w else symbols.end for w in b.column(0).to_pylist()]]
-            np.add.at(size, own, b.column(1).to_numpy())
-            np.add.at(kinds, own, b.column(1).to_numpy() > 0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes + 1)), pa.array(size), pa.array(kinds)], names=["k", "size", "kinds"])
+            out = []
+            for text in utf8(b.column(1)):
+                words = tokens(text)
+                known = list(map(class_of.get, words))
+                found = [x for x in map(logs.get, words) if x is not None]
+                rare: dict[bytes, bytes] = {}
+                if len(found) < len(words):
+                    for i, k in enumerate(known):
+                        if k is None:
+                            w = words[i]
+                            known[i] = of[symbols[w]]
+                            rare[w] = rare.get(w, b"") + i.to_bytes(4, "little")
+                out.append((row, len(words) + 1, len(found) + (b"" in hot), math.fsum(found) + end_log, bytes(known), list(rare), list(rare.values())))
+                row += 1
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary())]
+            columns = [pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["id", "row", "n_tokens", "known", "logs", "classes", "rare", "places"])
+
+    schema = f"id {kind_of(picked, 'id')}, row long, n_tokens long, known long, logs double, classes binary, rare array<binary>, places array<binary>"
+    parts = materialise(picked.mapInArrow(run, schema), "classified")
+    rare = parts.select("row", F.explode(F.arrays_zip("rare", "places")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.places").alias("places"))
+    joined = rare.join(model.counts, "word", "left").select("row", "places", "class", F.coalesce("n", F.lit(0)).alias("n"), (F.octet_length("places") / 4).cast("long").alias("times"))
+    sums = joined.groupBy(F.col("row").alias("r")).agg(
+        F.sum(F.col("times") * F.log10(F.col("n") + ALPHA)).alias("more"),
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known_more"),
+        F.collect_list(F.when(F.col("class").isNotNull(), F.struct("class", "places"))).alias("fixes"),
+    )
+    whole = parts.drop("rare", "places").join(sums, F.col("row") == F.col("r"), "left")
+    return whole.select("id", "n_tokens", (F.col("known") + F.coalesce("known_more", F.lit(0))).cast("long").alias("known"), (F.col("logs") + F.coalesce("more", F.lit(0.0))).alias("logs"), "classes", "fixes.class", "fixes.places")
 
-    size, kinds = np.zeros(classes + 1), np.zeros(classes + 1)
-    for r in counts.mapInArrow(run, "k long, size long, kinds long").groupBy("k").agg(F.sum("size").alias("size"), F.sum("kinds").alias("kinds")).collect():
-        size[r.k], kinds[r.k] = r.size, r.kinds
-    return size, kinds
+
+def _classes(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """Each row's classes, from its last three columns (classes, classes looked up, their places)."""
+    for given, classes, places in zip(*(b.column(i).to_pylist() for i in (-3, -2, -1)), strict=True):
+        out = np.frombuffer(given, np.uint8).astype(np.int64)
+        if classes:
+            out[np.frombuffer(b"".join(places), "<u4")] = np.repeat(classes, [len(p) // 4 for p in places])
+        yield out
+
+
+def _class_pairs(docs: DataFrame, text_col: str, model: ClassModel) -> np.ndarray:
+    """Counts of (class, next class) over all texts, each between two end tokens."""
+    end = int(model.of[-1])
+    every = end + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(every * every, np.int64)
+        for b in batches:
+            for own in _classes(b):
+                line = np.concatenate(([end], own, [end]))
+                total += np.bincount(line[:-1] * every + line[1:], minlength=every * every)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+
+    found = _classified(docs.select(F.lit(0).alias("id"), F.col(text_col).cast("string").alias("body")), model).select("classes", "class", "places")
+    out = np.zeros(every * every)
+    for r in found.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most the square of the classes
+        out[r.cell] = r.n
+    return out.reshape(every, every)
 
 
 def score(docs: DataFrame, model: ClassModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score, perplexity) of each row.
 
     ``base_score`` is the additive unigram model's log10 probability, ``score`` the class model's."""
-    bound_batches(docs)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.hot, model.frequent, model.endings, model.of, model.transition, model.spread))
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"))
+    shared = docs.sparkSession.sparkContext.broadcast((model.transition, model.spread))
+    end = int(model.of[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, frequent, endings, of, transition, spread = shared.value
-        symbols = Symbols(frequent, endings)
-        logs = {w: math.log10(n + ALPHA) for w, n in hot.items()}
-        end_log = logs.get(b"", math.log10(ALPHA))
-        row = TaskContext.get().partitionId() << 40
+        transition, spread = shared.value
         for b in batches:
-            out = []
-            for text in utf8(b.column(1)):
-                words = tokens(text)
-                classes = of[[*map(symbols.__getitem__, words), symbols.end]]
-                before = np.concatenate((of[-1:], classes[:-1]))
-                fixed = float(transition[before, classes].sum() - spread[classes].sum())
-                found = [x for x in map(logs.get, words) if x is not None]
-                rare = Counter(w for w in words if w not in logs) if len(found) < len(words) else {}
-                out.append((row, len(words) + 1, len(found) + (b"" in hot), math.fsum(found) + end_log, fixed, list(rare), list(rare.values())))
-                row += 1
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
-            columns = [pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["id", "row", "n_tokens", "known", "logs", "fixed", "rare", "times"])
-
-    schema = f"id {kind_of(picked, 'id')}, row long, n_tokens long, known long, logs double, fixed double, rare array<binary>, times array<int>"
-    parts = materialise(picked.mapInArrow(run, schema), "scored")
-    rare = parts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
-    joined = rare.join(model.counts, "word", "left").select("row", "times", F.coalesce("n", F.lit(0)).alias("n"))
-    sums = joined.groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + ALPHA)).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known_more"))
-    whole = parts.drop("rare", "times").join(sums.withColumnRenamed("row", "r"), F.col("row") == F.col("r"), "left")
-    logs = F.col("logs") + F.coalesce("more", F.lit(0.0))
+            fixed = []
+            for own in _classes(b):
+                line = np.concatenate(([end], own, [end]))
+                fixed.append(float(transition[line[:-1], line[1:]].sum() - spread[line[1:]].sum()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(fixed, pa.float64())], names=["id", "n_tokens", "known", "logs", "fixed"])
+
+    whole = _classified(picked, model).mapInArrow(run, f"id {kind_of(picked, 'id')}, n_tokens long, known long, logs double, fixed double")
     divisor = math.log10(model.n + ALPHA * (model.distinct + 1))
-    scored = logs + F.col("fixed")
+    scored = F.col("logs") + F.col("fixed")
     return whole.select(
         F.col("id").alias(id_col),
         "n_tokens",
-        (F.col("known") + F.coalesce("known_more", F.lit(0))).cast("long").alias("n_known"),
+        F.col("known").alias("n_known"),
         F.lit(model.n).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * divisor).alias("base_score"),
+        (F.col("logs") - F.col("n_tokens") * divisor).alias("base_score"),
         scored.alias("score"),
         F.pow(F.lit(10.0), -scored / F.col("n_tokens")).alias("perplexity"),
     )

@@ -77,3 +77,47 @@ def test_most_frequent_is_bounded(spark):
     for most in (0, 1, 7, 50, 399, 1000):
         got = {r.n for r in L._most_frequent(counts, most).collect() if r.word}
         assert len(got) <= most and got == set(range(400 - len(got), 400))
+
+
+def test_best_classes_is_one_step_of_exchange():
+    r = np.random.default_rng(5)
+    for _ in range(5):
+        b = r.poisson(2.0, (12, 12))
+        of = np.append(r.integers(0, 3, 11), 3)
+        pairs = np.zeros((4, 4))
+        np.add.at(pairs, (of[:, None], of[None, :]), b)
+        for w in range(11):
+            right, left = (np.bincount(of, weights=x, minlength=4) for x in (b[w], b[:, w]))
+            right[of[w]] -= b[w, w]
+            left[of[w]] -= b[w, w]
+            left[3] += right.sum() - left.sum()  # as in texts, a word has as many before as after it
+            if left[3] < 0:
+                continue
+            b2 = b.copy()
+            b2[11, w] += left[3] - b[11, w]
+            pairs2 = np.zeros((4, 4))
+            np.add.at(pairs2, (of[:, None], of[None, :]), b2)
+            moved = []
+            for k in range(3):
+                other = of.copy()
+                other[w] = k
+                moved.append(likelihood(b2, other))
+            best = int(L.best_classes(right[None], left[None], np.array([float(b[w, w])]), of[w : w + 1], pairs2)[0])
+            assert moved[best] == pytest.approx(max(moved))
+
+
+def test_every_training_word_is_clustered_by_its_neighbours(spark):
+    """Words beyond the frequent ones, of no common ending, get the class of those that stand in the same places."""
+    r = random.Random(6)
+    left, right = ([f"{side}{i:03d}" for i in range(60)] for side in ("x", "y"))
+    r.shuffle(left)
+    often = lambda side: r.choice(side[:8] if r.random() < 0.5 else side)
+    texts = [" ".join(w for _ in range(30) for w in ("the", often(left), "of", often(right))) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    model = L.train(df, frequent=18, endings=16, classes=6, hot=25)
+    table = {bytes(x.word).decode(): x["class"] for x in model.counts.collect()}
+    assert len(table) == 123
+    by_side = [Counter(table[w] for w in side) for side in (left, right)]  # x012 and y012 have one ending
+    assert sum(min(by_side[0][k], by_side[1][k]) for k in range(6)) <= 5
+    words = Counter(w for t in texts for w in t.split())
+    assert {bytes(x.word).decode(): x.n for x in model.counts.collect()} == {**words, "": 40}
