@@ -11,7 +11,7 @@ streamed; the test for that is one dictionary lookup per word.
 
 The items are broadcast only up to ``block_words`` words; a larger benchmark is
 dealt into several automata, and the documents pass them one after the other through
-shared storage.  Every pass is a narrow map without a shuffle.
+shared storage; results don't depend on the number of automata.  Every pass is a narrow map without a shuffle.
 
 Defined cases: a null or empty text has no words, hence no hits; an item with null id, null
 text or no words is never found; equal items are each reported; several rows of one
@@ -23,6 +23,7 @@ names, since it works by position.
 
 from __future__ import annotations
 
+import functools
 import pickle
 import re
 
@@ -30,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pixelloom.llm.arrow import kind_of, map_batches, utf8
 from pixelloom.sources.storage import materialise
@@ -239,7 +241,7 @@ def match(
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, end in sorted(spans):
-        if out and start < out[-1][1]:
+        if out and start <= out[-1][1]:
             out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:
             out.append((start, end))
@@ -251,25 +253,70 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` with hit spans cut out of the text; documents of which more than ``max_coverage`` of the words were hit are dropped.
 
-    Cutting is repeated until no window is left, as the two sides of a cut could make one."""
-    state, at = docs, docs.columns.index(text_col)
-    for k, automaton in enumerate(_blocks(items, item_id_col, item_text_col, window, block_words)):
-        if k:
-            state = materialise(state, "decontaminate")
-        shared = _Shared(docs.sparkSession, automaton)
-
-        def run(b: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            own, texts, keep = _loaded(shared), [], []
-            for given, text in zip(b.column(at).is_valid().to_pylist(), utf8(b.column(at)), strict=True):
-                n, spans, _, _ = own.scan(text)
-                keep.append(sum(e - s for s, e in spans) <= max_coverage * n)
-                while spans:
-                    text = cut(text, spans)
-                    _, spans, _, _ = own.scan(text)
-                texts.append(text if given else None)
-            columns = list(b.columns)
+    Coverage and cuts are those of the spans merged over all blocks.  Cutting is repeated over all blocks until no window is left,
+    as the two sides of a cut could make one."""
+    at = docs.columns.index(text_col)
+    automata = [_Shared(docs.sparkSession, automaton) for automaton in _blocks(items, item_id_col, item_text_col, window, block_words)]
+    if len(automata) > 1:
+        return _decontaminate_blocks(docs, at, automata, max_coverage)
+    shared = automata[0]
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        own, texts, keep = _loaded(shared), [], []
+        for given, text in zip(b.column(at).is_valid().to_pylist(), utf8(b.column(at)), strict=True):
+            n, spans, _, _ = own.scan(text)
+            keep.append(sum(e - s for s, e in spans) <= max_coverage * n)
+            while spans:
+                text = cut(text, spans)
+                _, spans, _, _ = own.scan(text)
+            texts.append(text if given else None)
+        columns = list(b.columns)
+        columns[at] = pa.array(texts, pa.binary()).cast(b.column(at).type)
+        return pa.RecordBatch.from_arrays(columns, names=b.schema.names).filter(pa.array(keep, pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)
+
+
+def _decontaminate_blocks(docs: DataFrame, at: int, automata: list[_Shared], max_coverage: float) -> DataFrame:
+    """Rounds over all blocks: spans are merged block by block, then cut at once; rows without any are done, the others have another round."""
+    pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    plain = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])  # names may clash in a file
+    names = plain.columns
+    kinds = StructType([*plain.schema, *StructType.fromDDL("_spans array<struct<start:long,end:long>>")])
+
+    def scanned(state: DataFrame, shared: _Shared, first: bool) -> DataFrame:
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            own, spans = _loaded(shared), []
+            before = [[]] * b.num_rows if first else b.column(b.num_columns - 1).to_pylist()
+            for text, was in zip(utf8(b.column(at)), before, strict=True):
+                spans.append([{"start": x, "end": y} for x, y in _merged([*own.scan(text)[1], *((x["start"], x["end"]) for x in was)])])
+            columns = [*(b.columns if first else b.columns[:-1]), pa.array(spans, pa.list_(pair))]
+            return pa.RecordBatch.from_arrays(columns, names=kinds.names)
+
+        return materialise(map_batches(state, run, kinds), "decontaminate")
+
+    def cut_all(state: DataFrame, judged: bool) -> DataFrame:
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            texts, keep = [], []
+            for text, found in zip(utf8(b.column(at)), b.column(b.num_columns - 1).to_pylist(), strict=True):
+                spans = [(x["start"], x["end"]) for x in found]
+                keep.append(not judged or sum(e - s for s, e in spans) <= max_coverage * len(words(text)))
+                texts.append(cut(text, spans))
+            columns = list(b.columns[:-1])
             columns[at] = pa.array(texts, pa.binary()).cast(b.column(at).type)
-            return pa.RecordBatch.from_arrays(columns, names=b.schema.names).filter(pa.array(keep, pa.bool_()))
-
-        state = map_batches(state, run, docs.schema)
-    return state
+            return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
+
+        return materialise(map_batches(state, run, plain.schema), "decontaminate")
+
+    done, state, judged = [], plain, True
+    while True:
+        for k, shared in enumerate(automata):
+            state = scanned(state, shared, k == 0)
+        hit = F.size("_spans") > 0
+        done.append(state.where(~hit).select(names))
+        state = state.where(hit)
+        if state.isEmpty():
+            break
+        state, judged = cut_all(state, judged), False
+    out = functools.reduce(DataFrame.unionAll, done)
+    return docs.sparkSession.createDataFrame([], docs.schema).unionAll(out)

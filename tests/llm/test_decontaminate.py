@@ -69,3 +69,20 @@ def test_empty_tables(spark):
     t = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert [tuple(r) for r in D.match(d, t.limit(0)).collect()] == [(1, 2, 0, [], [])]
     assert D.match(d.limit(0), t).count() == 0
+
+
+def test_decontaminate_is_the_same_in_one_or_many_blocks(spark):
+    """Coverage adds up over blocks, and a cut of one block can join a window of another."""
+    items = [(k, " ".join(f"{'abcdef'[k]}{i}" for i in range(10))) for k in range(6)]
+    body = [x.split() for _, x in items]
+    docs = [(1, " ".join([*body[0], *body[1], *body[2], *(f"z{i}" for i in range(15))]), "x")]  # each a quarter or less, together two thirds
+    for i, (a, b) in enumerate([(a, b) for a in range(6) for b in range(6) if a != b]):
+        docs.append((10 + i, " ".join([*(f"z{j}" for j in range(40)), *body[a][:5], *body[b], *body[a][5:]]), "x"))
+    more, others = corpus(4)
+    for d, t in ((docs, items), (more, others)):
+        df, it = spark.createDataFrame(d, "doc_id long, text string, items string"), spark.createDataFrame(t, "item_id long, text string")
+        for most in (0.5, 1.0):
+            one, many = ([tuple(r) for r in D.decontaminate(df, it, max_coverage=most, block_words=k).collect()] for k in (D.BLOCK_WORDS, 20))
+            assert sorted(one, key=str) == sorted(many, key=str)
+        assert all(brute(r[1], t)[1] == 0 for r in many)
+    assert D.decontaminate(df, it, block_words=20).schema == df.schema
