@@ -378,10 +378,16 @@ sums AS (SELECT src, dst, coalesce((SELECT sum(a.n * b.n) FROM bins a JOIN bins
     (SELECT sum(n * n) FROM bins WHERE ord = src) AS aa, (SELECT sum(n * n) FROM bins WHERE ord = dst) AS bb FROM pairs)
 SELECT src, dst, round(greatest(0, (32768.0 * common - 4096) / sqrt(CAST((32768.0 * aa - 4096) * (32768.0 * bb - 4096) AS DOUBLE))), 6) AS correlation FROM sums""")
 def histogram_pearson(spark: SparkSession, sf: str) -> DataFrame:
-    """Sparse bins, closed form over 32768 bins."""
+    """Sparse bins, closed form over 32768 bins; the pairs of every fifth vector, as in its SQL. ``histogram_pearson_all`` has all pairs."""
+    return histogram_pearson_all(spark, sf).where(F.col("src") % 5 == 0)
+
+
+@query()
+def histogram_pearson_all(spark: SparkSession, sf: str) -> DataFrame:
+    """All pairs inside a label. Without SQL, as tests/test_histogram_pearson.py has a brute-force version."""
     one = images(spark, sf).select("gid", "ord", F.explode("v").alias("u")).groupBy("gid", "ord", F.floor((F.col("u") + 1) * 16).cast("int").alias("k")).agg(F.count("*").alias("n"))
     bins = one.groupBy("gid", "ord").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("h"))
-    pairs = blocking.group_pairs(bins, ["gid"], "ord", ["h"]).where(F.col("src") % 5 == 0)
+    pairs = blocking.group_pairs(bins, ["gid"], "ord", ["h"])
     return pairs.select("src", "dst", _r(V.histogram_correlation(F.col("h_a"), F.col("h_b"), 32768)).alias("correlation"))
 
 
