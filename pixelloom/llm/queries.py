@@ -134,6 +134,18 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "lang", F.round("confidence", 6).alias("confidence"), "text_lang")
 
 
+def op5_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's language from its text, its lang attribute and its address, by the text model of the documents."""
+    model = language_id.learn(table(spark, sf_dir, "documents"), "text", "lang", "doc_id")
+    pages = table(spark, sf_dir, "pages").withColumn("text", language_id.page_text(F.col("html")))
+    found = language_id.identify(pages, "page_id", "text", **language_id.page_evidence(F.col("url"), F.col("html")), model=model)
+    return found.select("page_id", "lang", F.round("confidence", 6).alias("confidence"), "text_lang")
+
+
+#: Queries beside the one of an operator.
+MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_language_id_pages": op5_language_id_pages}
+
+
 @query
 def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata and conversion records of every page, read back."""
