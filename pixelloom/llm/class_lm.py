@@ -6,11 +6,11 @@
 The ``frequent`` most frequent words are symbols of their own, any other word starts with the symbol of its ending.
 Bigrams of symbols are counted over all training documents.
 
-*Classes.*  Exchange clustering on the driver moves symbols between classes while the class bigram likelihood
-rises; its input is bounded by the square of the number of symbols, whatever the size of the corpus.  Then every other
-training word is moved on its own: the classes before and after all its occurrences are grouped by word, and it goes to the class
-that raises the same likelihood most, all words at once.  The table of words, counts and classes is distributed.  Class
-bigrams and sizes are counted anew with these classes.  Only words never seen in training have the class of their ending.
+*Classes.*  Exchange clustering on the driver moves symbols between classes until a sweep moves none, so that the class bigram
+likelihood can't rise by any one of them; its input is bounded by the square of the number of symbols, whatever the size of the
+corpus.  Then every other training word is moved on its own: the classes before and after all its occurrences are grouped by word, and it
+goes to the class that raises the same likelihood most, all words at once.  The table of words, counts and classes is distributed.
+Class bigrams and sizes are counted anew with these classes.  Only words never seen in training have the class of their ending.
 
 *Smoothing.*  A class's words get ``alpha`` each, with one more for an unknown word; class transitions are drawn to the
 class frequencies by ``mu`` counts.  Every text ends with an end token, a class of its own, which also is the context
@@ -18,22 +18,24 @@ of the first word, so probabilities of texts sum to one.
 
 *Scoring.*  Counts and classes of the ``hot`` most frequent words are broadcast (a stated bound).  The other words of
 a document are joined with the word table by word, with their places: they are rare by definition, so no key is hot, and the
-frequent words, which would be, never enter the shuffle.
+frequent words, which would be, never enter the shuffle.  ``train_and_score`` looks the words up once for both: the class bigrams of the
+training documents and the scores of all come from one table of classes, a byte a token.
 
 Defined cases: a null or empty text is one end token; a null id belongs to training and carries a null id through;
 repeated ids are scored row by row; texts of any length are scored whole; without any training document counts
-are zero and all words unknown; only the id and text columns are read.
+are zero and all words unknown; only the id and text columns are read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +45,14 @@ from pixelloom.sources.storage import materialise
 
 #: Words with a symbol of their own; symbols of endings; classes besides the end's; broadcast word counts.
 FREQUENT, ENDINGS, CLASSES, HOT = 2048, 1023, 48, 150_000
-ALPHA, MU, SWEEPS = 0.1, 20.0, 6
-#: Rows in which a task sends its bigram counts, and the words that a worker keeps in mind.
-PARTS, MEMO_WORDS = 32, 400_000
-#: Bytes of contexts that a task keeps before it sends them, and that are judged at once.
-MEMO_BYTES, STEP_BYTES = 32 << 20, 1 << 17
+ALPHA, MU = 0.1, 20.0
+#: Sweeps after which exchange stops even if words still move (it ends far below on texts).
+SWEEPS = 1_000
+#: Rows in which a task sends its bigram counts, the words that a worker keeps in mind, and tokens that are looked up at once.
+PARTS, MEMO_WORDS, LINE = 32, 400_000, 1 << 18
+#: Occurrences that a task keeps before it sends their contexts, and words that are judged at once.
+MEMO_CONTEXTS, STEP_WORDS = 8 << 20, 4096
+_END = b""
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -55,27 +60,92 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def _ending(word: bytes, endings: int) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(word[-3:]) % endings
+
+
 class Symbols(dict):
     """word -> symbol: its number among the frequent words, else that of its last three bytes; the end token's is the last."""
 
     def __init__(self, frequent: list[bytes], endings: int):
-        super().__init__({w: i for i, w in enumerate(frequent)})
+        super().__init__()
         self.frequent, self.endings, self.end = frequent, endings, len(frequent) + endings
-        self.room = len(self) + MEMO_WORDS
+        self.forget()
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+    def forget(self) -> None:
+        self.clear()
+        self.update({w: i for i, w in enumerate(self.frequent)} | {_END: self.end})
 
-        if len(self) >= self.room:
-            self.clear()
-            self.update({w: i for i, w in enumerate(self.frequent)})
-        s = self[word] = len(self.frequent) + xxhash.xxh3_64_intdigest(word[-3:]) % self.endings
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= len(self.frequent) + MEMO_WORDS:
+            self.forget()
+        s = self[word] = len(self.frequent) + _ending(word, self.endings)
         return s
 
     def __reduce__(self):
         return Symbols, (self.frequent, self.endings)
 
 
+class Numbers(dict):
+    """word -> number: those of the known words, the end token's next, then new words as they come, with the class of their ending."""
+
+    def __init__(self, known: list[bytes], class_of_ending: np.ndarray):
+        super().__init__()
+        self.known, self.endings, self.end, self.first = known, class_of_ending.tolist(), len(known), len(known) + 1
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.update({w: i for i, w in enumerate(self.known)} | {_END: self.end})
+        self.names: list[bytes] = []
+        self.classes = bytearray()
+
+    def __missing__(self, word: bytes) -> int:
+        k = self[word] = self.first + len(self.names)
+        self.names.append(word)
+        self.classes.append(self.endings[_ending(word, len(self.endings))])
+        return k
+
+    def class_table(self, known: np.ndarray) -> np.ndarray:
+        """Class by number, given those of the known words and the end."""
+        return np.concatenate((known, np.frombuffer(bytes(self.classes), np.uint8)))
+
+
+def _lines(texts: list[bytes], number: Callable[[bytes], int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first text, tokens of each text, numbers of all these tokens) of runs of texts; the last token of a text is the end."""
+    words: list[bytes] = []
+    sizes: list[int] = []
+    first = 0
+    for i, text in enumerate(texts, 1):
+        found = tokens(text)
+        words += found
+        words.append(_END)
+        sizes.append(len(found) + 1)
+        if len(words) > LINE or i == len(texts):
+            yield first, np.array(sizes), np.fromiter(map(number, words), np.int64, len(words))
+            words, sizes, first = [], [], i
+
+
+def _before(line: np.ndarray, end: int) -> np.ndarray:
+    """The token before each one; before the first comes an end, as before every text."""
+    return np.concatenate(([end], line[:-1]))
+
+
+def _binaries(data: bytes, sizes: np.ndarray) -> pa.Array:
+    """A binary column of values of these sizes that follow each other in ``data``."""
+    at = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)])
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes, size of each value) of a binary column without nulls."""
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    data = column.buffers()[2] if len(column) else None
+    return (np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and at[-1] > at[0] else np.zeros(0, np.uint8)), np.diff(at)
+
+
 def held_out(id_col: str | Column) -> Column:
     """Whether a document is kept from training: crc32 of its id as text, a multiple of ten; false for a null id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 10 == 0, F.lit(False))
@@ -94,7 +164,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for b in batches:
             for text in utf8(b.column(0)):
                 found.update(tokens(text))
-            found[b""] += b.num_rows
+            found[_END] += b.num_rows
             if len(found) > MEMO_WORDS:
                 yield batch()
                 found.clear()
@@ -122,14 +192,9 @@ def _bigrams(docs: DataFrame, text_col: str, frequent: list[bytes], endings: int
         symbols = Symbols(shared.value, endings)
         total = np.zeros(PARTS * rows * size, np.int64)
         for b in batches:
-            line = [symbols.end]
-            for text in utf8(b.column(0)):
-                line += map(symbols.__getitem__, tokens(text))
-                line.append(symbols.end)
-                if len(line) > 1 << 20:
-                    _add(total, line, size)
-                    line = [symbols.end]
-            _add(total, line, size)
+            for _, _, line in _lines(utf8(b.column(0)), symbols.__getitem__):
+                cells, n = np.unique(_before(line, symbols.end) * size + line, return_counts=True)
+                total[cells] += n
         salt = TaskContext.get().partitionId() % 16
         for part, own in enumerate(total.reshape(PARTS, -1)):
             yield batch([pack(part, salt, own)])
@@ -153,12 +218,6 @@ def _bigrams(docs: DataFrame, text_col: str, frequent: list[bytes], endings: int
     return out.reshape(-1, size)[:size]
 
 
-def _add(total: np.ndarray, line: list[int], size: int) -> None:
-    s = np.array(line, np.int64)
-    cells, n = np.unique(s[:-1] * size + s[1:], return_counts=True)
-    total[cells] += n
-
-
 def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """The class of each symbol; the last symbol (the end) keeps a class of its own, the last.
 
@@ -176,10 +235,6 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
     out_of, into = member @ b, b @ member.T  # class -> symbol, symbol -> class
     pairs = out_of @ member.T
     total = pairs.sum(1)
-
-    def f(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1.0))
-
     for _ in range(sweeps):
         moved = 0
         for w in order.tolist():
@@ -193,9 +248,10 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             pairs[:, g] -= left
             pairs[g, g] -= own
             total[g] -= freq[w]
-            rows, columns, diagonal = f(pairs + right) - f(pairs), f(pairs + left[:, None]) - f(pairs), np.diagonal(pairs)
+            base = _f(pairs)
+            rows, columns, diagonal = _f(pairs + right) - base, _f(pairs + left[:, None]) - base, np.diagonal(pairs)
             gain = rows.sum(1) + columns.sum(0) - np.diagonal(rows) - np.diagonal(columns)
-            gain += f(diagonal + right + left + own) - f(diagonal) - 2 * (f(total + freq[w]) - f(total))
+            gain += _f(diagonal + right + left + own) - _f(diagonal) - 2 * (_f(total + freq[w]) - _f(total))
             k = int(np.argmax(gain[:classes]))
             if gain[k] <= gain[g] + 1e-6:
                 k = g
@@ -257,71 +313,89 @@ def _contexts(docs: DataFrame, text_col: str, frequent: list[bytes], endings: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, classes_of = shared.value
-        symbols, first, itself = Symbols(words, endings), len(words), int(classes_of[-1]) + 1
-        found: dict[bytes, bytes] = {}
+        numbers, itself = Numbers(words, classes_of[len(words) : -1]), int(classes_of[-1]) + 1
+        known = np.append(classes_of[: len(words)], classes_of[-1])
+        ids: list[np.ndarray] = []
+        codes: list[np.ndarray] = []
         held = 0
 
-        def batches_of() -> Iterator[pa.RecordBatch]:
-            names = list(found)
-            for i in range(0, len(names), 10_000):
-                some = names[i : i + 10_000]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array([found[w] for w in some], pa.binary())], names=["word", "contexts"])
+        def rows() -> Iterator[pa.RecordBatch]:
+            own = np.concatenate(ids)
+            order = np.argsort(own, kind="stable")
+            times = np.bincount(own)
+            there = np.flatnonzero(times)
+            found = pa.RecordBatch.from_arrays([pa.array([numbers.names[k] for k in there.tolist()], pa.binary()), _binaries(np.concatenate(codes)[order].tobytes(), 2 * times[there])], names=["word", "contexts"])
+            for i in range(0, found.num_rows, 10_000):
+                yield found.slice(i, 10_000)
 
         for b in batches:
-            for text in utf8(b.column(0)):
-                line = tokens(text)
-                numbers = np.array([symbols.end, *map(symbols.__getitem__, line), symbols.end])
-                classes = classes_of[numbers]
-                for i in np.flatnonzero((numbers[1:-1] >= first)).tolist():
-                    w = line[i]
-                    before = itself if i and line[i - 1] == w else int(classes[i])
-                    after = itself if i + 1 < len(line) and line[i + 1] == w else int(classes[i + 2])
-                    found[w] = found.get(w, b"") + bytes((before, after))
-                held += 2 * len(line)
-                if len(found) > MEMO_WORDS or held > MEMO_BYTES:
-                    yield from batches_of()
-                    found.clear()
-                    held = 0
-        yield from batches_of()
+            for _, _, line in _lines(utf8(b.column(0)), numbers.__getitem__):
+                classes = numbers.class_table(known)[line]
+                at = np.flatnonzero(line >= numbers.first)
+                same = np.append(line[1:] == line[:-1], False)
+                before = np.where(same[at - 1] & (at > 0), itself, np.where(at > 0, classes[at - 1], classes_of[-1]))
+                after = np.where(same[at], itself, classes[np.minimum(at + 1, len(line) - 1)])  # a text's last word is followed by its end
+                ids.append((line[at] - numbers.first).astype(np.int32))
+                codes.append(np.stack([before, after], axis=1).astype(np.uint8))
+                held += len(at)
+                if held > MEMO_CONTEXTS or len(numbers.names) > MEMO_WORDS:
+                    yield from rows()
+                    numbers.forget()
+                    ids, codes, held = [], [], 0
+        if held:
+            yield from rows()
 
     return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word binary, contexts binary")
 
 
 def _assigned(contexts: DataFrame, frequent: list[bytes], endings: int, of: np.ndarray, pairs: np.ndarray) -> DataFrame:
     """(word, n, class) of the words of ``_contexts``."""
-    shared = contexts.sparkSession.sparkContext.broadcast((frequent, of, pairs))
+    shared = contexts.sparkSession.sparkContext.broadcast((of[len(frequent) : -1], pairs))
     every = len(pairs)
-
-    def judge(words: list[bytes], parts: list[bytes], symbols: Symbols, classes_of: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
-        """Rows of equal words are next to each other."""
-        heads = [i for i, w in enumerate(words) if not i or w != words[i - 1]]
-        names = [words[i] for i in heads]
-        group = np.repeat(np.arange(len(heads)), np.diff([*heads, len(words)]))
-        codes = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64).reshape(-1, 2)
-        at = np.repeat(group, [len(p) // 2 for p in parts]) * (every + 1)
-        left, right = (np.bincount(at + codes[:, i], minlength=len(heads) * (every + 1)).reshape(len(heads), -1).astype(float) for i in (0, 1))
-        now = classes_of[[symbols[w] for w in names]]
-        best = best_classes(right[:, :every], left[:, :every], left[:, every], now, pairs)
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(left.sum(1).astype(np.int64)), pa.array(best.astype(np.int32))], names=["word", "n", "class"])
+    names = ["word", "n", "class"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, classes_of, pairs = shared.value
-        symbols = Symbols(frequent, endings)
-        words: list[bytes] = []
-        parts: list[bytes] = []
-        size = heads = 0
+        class_of_ending, pairs = shared.value
+        once = np.full(((every + 1) * (every + 1) * every,), -1, np.int32)  # best classes of words that occur once, by their context
+
+        def judge(words: list[bytes], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+            now = class_of_ending[[_ending(w, len(class_of_ending)) for w in words]] if words else np.zeros(0, np.int64)
+            n = left.sum(1)
+            code = (left.argmax(1) * (every + 1) + right.argmax(1)) * every + now
+            single = n == 1
+            new, first = np.unique(code[single], return_index=True)
+            first = np.flatnonzero(single)[first][once[new] < 0]
+            at = np.concatenate((np.flatnonzero(~single), first))
+            best = np.empty(len(words), np.int32)
+            best[at] = best_classes(right[at, :every], left[at, :every], left[at, every], now[at], pairs)
+            once[code[first]] = best[first]
+            best[single] = once[code[single]]
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n.astype(np.int64)), pa.array(best)], names=names)
+
+        last, kept = None, np.zeros((2, every + 1))  # a word that may go on in the next rows, and its counts
         for b in batches:
-            for w, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if not words or w != words[-1]:
-                    if size >= STEP_BYTES or heads >= 4096:
-                        yield judge(words, parts, symbols, classes_of, pairs)
-                        words, parts, size, heads = [], [], 0, 0
-                    heads += 1
-                words.append(w)
-                parts.append(p)
-                size += len(p)
-        if words:
-            yield judge(words, parts, symbols, classes_of, pairs)
+            if not b.num_rows:
+                continue
+            column = b.column(0)
+            new = np.concatenate(([True], pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)))
+            heads = np.flatnonzero(new)
+            flat, sizes = _bytes_of(b.column(1))
+            flat, edge = flat.reshape(-1, 2), np.concatenate(([0], np.cumsum(sizes // 2)))
+            for lo in range(0, len(heads), STEP_WORDS):
+                own = heads[lo : lo + STEP_WORDS]
+                to = heads[lo + STEP_WORDS] if lo + STEP_WORDS < len(heads) else b.num_rows
+                words = column.take(pa.array(own)).to_pylist()
+                group = np.repeat(np.cumsum(new[own[0] : to]) - 1, np.diff(edge[own[0] : to + 1])) * (every + 1)
+                sides = np.stack([np.bincount(group + flat[edge[own[0]] : edge[to], i], minlength=len(own) * (every + 1)).reshape(len(own), -1).astype(float) for i in (0, 1)])
+                if words[0] == last:
+                    sides[:, 0] += kept
+                elif last is not None:
+                    yield judge([last], kept[0][None], kept[1][None])
+                last, kept = words[-1], sides[:, -1].copy()
+                if len(words) > 1:
+                    yield judge(words[:-1], sides[0, :-1], sides[1, :-1])
+        if last is not None:
+            yield judge([last], kept[0][None], kept[1][None])
 
     bound_batches(contexts)
     return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word binary, n long, class int")
@@ -340,37 +414,50 @@ class ClassModel:
     endings: int
     of: np.ndarray
     """classes of the frequent words, and of the endings for words never seen"""
-    transition: np.ndarray
+    transition: np.ndarray | None = None
     """log10 P(class | class before)"""
-    spread: np.ndarray
+    spread: np.ndarray | None = None
     """log10 of what a class's word counts plus alpha are divided by"""
 
 
-def train(docs: DataFrame, text_col: str = "text", frequent: int = FREQUENT, endings: int = ENDINGS, classes: int = CLASSES, hot: int = HOT) -> ClassModel:
+def _clustered(docs: DataFrame, text_col: str, frequent: int, endings: int, classes: int, hot: int) -> ClassModel:
+    """The word table of the training documents, still without probabilities."""
     bound_batches(docs)
     spark = docs.sparkSession
     seen = materialise(word_counts(docs, text_col), "word-counts")
     n, distinct = seen.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     top = sorted(((bytes(r.word), r.n) for r in _most_frequent(seen, hot).collect()), key=lambda x: (-x[1], x[0]))
-    ends = dict(top).get(b"", 0)
+    ends = dict(top).get(_END, 0)
     top = [x for x in top if x[0]][:frequent]
     words = [w for w, _ in top]
     bigrams = _bigrams(docs, text_col, words, endings)
     of = exchange(bigrams, classes)
     member = np.zeros((classes + 1, len(of)))
     member[of, np.arange(len(of))] = 1
-    own = spark.createDataFrame([(b"", ends, classes), *((w, k, int(c)) for (w, k), c in zip(top, of, strict=False))], "word binary, n long, class int")
+    own = spark.createDataFrame([(_END, ends, classes), *((w, k, int(c)) for (w, k), c in zip(top, of, strict=False))], "word binary, n long, class int")
     rest = _assigned(_contexts(docs, text_col, words, endings, of), words, endings, of, member @ bigrams @ member.T)
     counts = materialise(own.unionByName(rest), "word-classes")
     table = {bytes(r.word): (r.n, r["class"]) for r in _most_frequent(counts, hot).collect()}
-    pairs = _class_pairs(docs, text_col, ClassModel(counts, n, distinct, table, words, endings, of, np.empty(0), np.empty(0)))
-    size, kinds = np.zeros(classes + 1), np.zeros(classes + 1)
-    for r in counts.groupBy("class").agg(F.sum("n").alias("size"), F.count(F.when(F.col("n") > 0, 1)).alias("kinds")).collect():
+    return ClassModel(counts, n, distinct, table, words, endings, of)
+
+
+def _fitted(model: ClassModel, training: DataFrame) -> ClassModel:
+    """The model with its probabilities, from the rows of ``_classified`` of the training documents."""
+    every = int(model.of[-1]) + 1
+    size, kinds = np.zeros(every), np.zeros(every)
+    for r in model.counts.groupBy("class").agg(F.sum("n").alias("size"), F.count(F.when(F.col("n") > 0, 1)).alias("kinds")).collect():
         size[r["class"]], kinds[r["class"]] = r["size"], r.kinds
+    pairs = _class_pairs(training, every)
     spread = size + ALPHA * (kinds + 1)
     share = spread / spread.sum()
-    transition = np.log10((pairs + MU * share) / (pairs.sum(1, keepdims=True) + MU))
-    return ClassModel(counts, n, distinct, table, words, endings, of, transition, np.log10(spread))
+    model.transition = np.log10((pairs + MU * share) / (pairs.sum(1, keepdims=True) + MU))
+    model.spread = np.log10(spread)
+    return model
+
+
+def train(docs: DataFrame, text_col: str = "text", frequent: int = FREQUENT, endings: int = ENDINGS, classes: int = CLASSES, hot: int = HOT) -> ClassModel:
+    model = _clustered(docs, text_col, frequent, endings, classes, hot)
+    return _fitted(model, _classified(docs.select(F.lit(0).alias("id"), F.col(text_col).cast("string").alias("body"), F.lit(True).alias("training")), model))
 
 
 def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -388,40 +475,45 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
 
 
 def _classified(picked: DataFrame, model: ClassModel) -> DataFrame:
-    """(id, row, n_tokens, known, logs, classes, fixes) of each row of (id, body).
+    """(id, training, n_tokens, known, logs, classes), written once, of each row of (id, body, training).
 
-    ``classes`` holds a byte a token; ``fixes`` are (class, places) of the words that had to be looked up in the table."""
+    ``classes`` holds a byte a token, the end's too; ``logs`` sums the tokens' log10(n + alpha)."""
     bound_batches(picked)
-    shared = picked.sparkSession.sparkContext.broadcast((model.hot, model.frequent, model.endings, model.of))
+    hot = sorted(w for w in model.hot if w)
+    end = int(model.of[-1])
+    ends = model.hot.get(_END, (0, 0))[0]
+    times = np.array([*(model.hot[w][0] for w in hot), ends], float)
+    shared = picked.sparkSession.sparkContext.broadcast((hot, times, np.array([*(model.hot[w][1] for w in hot), end], np.uint8), model.of[len(model.frequent) : -1]))
+    names = ["id", "training", "row", "n_tokens", "known", "logs", "classes", "rare", "places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, frequent, endings, of = shared.value
-        symbols = Symbols(frequent, endings)
-        logs = {w: math.log10(n + ALPHA) for w, (n, _) in hot.items() if w}
-        class_of = {w: k for w, (_, k) in hot.items() if w}
-        end_log = math.log10(hot.get(b"", (0, 0))[0] + ALPHA)
+        words, counts, known, class_of_ending = shared.value
+        numbers = Numbers(words, class_of_ending)
+        logs = np.append(np.log10(counts + ALPHA), 0.0)  # looked up later for the words beyond
+        seen = np.append(counts > 0, False).astype(np.int64)
         row = TaskContext.get().partitionId() << 40
         for b in batches:
-            out = []
-            for text in utf8(b.column(1)):
-                words = tokens(text)
-                known = list(map(class_of.get, words))
-                found = [x for x in map(logs.get, words) if x is not None]
-                rare: dict[bytes, bytes] = {}
-                if len(found) < len(words):
-                    for i, k in enumerate(known):
-                        if k is None:
-                            w = words[i]
-                            known[i] = of[symbols[w]]
-                            rare[w] = rare.get(w, b"") + i.to_bytes(4, "little")
-                out.append((row, len(words) + 1, len(found) + (b"" in hot), math.fsum(found) + end_log, bytes(known), list(rare), list(rare.values())))
-                row += 1
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary())]
-            columns = [pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["id", "row", "n_tokens", "known", "logs", "classes", "rare", "places"])
-
-    schema = f"id {kind_of(picked, 'id')}, row long, n_tokens long, known long, logs double, classes binary, rare array<binary>, places array<binary>"
-    parts = materialise(picked.mapInArrow(run, schema), "classified")
+            for first, sizes, line in _lines(utf8(b.column(1)), numbers.__getitem__):
+                start = np.cumsum(sizes) - sizes
+                short = np.minimum(line, numbers.first)
+                at = np.flatnonzero(line >= numbers.first)
+                text = np.repeat(np.arange(len(sizes)), sizes)[at]
+                order = np.lexsort((line[at], text))  # stable: places of a word ascend
+                at, text = at[order], text[order]
+                head = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (line[at][1:] != line[at][:-1]))) if len(at) else np.zeros(0, bool))
+                rare = pa.array([numbers.names[k] for k in (line[at[head]] - numbers.first).tolist()], pa.binary())
+                places = _binaries((at - start[text]).astype("<u4").tobytes(), 4 * np.diff(np.append(head, len(at))))
+                edge = pa.array(np.concatenate(([0], np.cumsum(np.bincount(text[head], minlength=len(sizes))))).astype(np.int32))
+                classes = _binaries(numbers.class_table(known)[line].astype(np.uint8).tobytes(), sizes)
+                own = b.slice(first, len(sizes))
+                columns = [own.column(0), own.column(2), pa.array(row + np.arange(len(sizes))), pa.array(sizes.astype(np.int64)), pa.array(np.add.reduceat(seen[short], start)), pa.array(np.add.reduceat(logs[short], start)), classes]
+                yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(edge, rare), pa.ListArray.from_arrays(edge, places)], names=names)
+                row += len(sizes)
+                if len(numbers.names) > MEMO_WORDS:
+                    numbers.forget()
+
+    schema = f"id {kind_of(picked, 'id')}, training boolean, row long, n_tokens long, known long, logs double, classes binary, rare array<binary>, places array<binary>"
+    parts = materialise(picked.mapInArrow(run, schema), "looked-up")
     rare = parts.select("row", F.explode(F.arrays_zip("rare", "places")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.places").alias("places"))
     joined = rare.join(model.counts, "word", "left").select("row", "places", "class", F.coalesce("n", F.lit(0)).alias("n"), (F.octet_length("places") / 4).cast("long").alias("times"))
     sums = joined.groupBy(F.col("row").alias("r")).agg(
@@ -430,57 +522,51 @@ def _classified(picked: DataFrame, model: ClassModel) -> DataFrame:
         F.collect_list(F.when(F.col("class").isNotNull(), F.struct("class", "places"))).alias("fixes"),
     )
     whole = parts.drop("rare", "places").join(sums, F.col("row") == F.col("r"), "left")
-    return whole.select("id", "n_tokens", (F.col("known") + F.coalesce("known_more", F.lit(0))).cast("long").alias("known"), (F.col("logs") + F.coalesce("more", F.lit(0.0))).alias("logs"), "classes", "fixes.class", "fixes.places")
+    whole = whole.select("id", "training", "n_tokens", (F.col("known") + F.coalesce("known_more", F.lit(0))).cast("long").alias("known"), (F.col("logs") + F.coalesce("more", F.lit(0.0))).alias("logs"), "classes", F.col("fixes.class").alias("fixed"), F.col("fixes.places").alias("places"))
 
+    def fix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for given, classes, places in zip(*(b.column(i).to_pylist() for i in (5, 6, 7)), strict=True):
+                if classes:
+                    own = np.frombuffer(given, np.uint8).copy()
+                    own[np.frombuffer(b"".join(places), "<u4")] = np.repeat(classes, [len(p) // 4 for p in places])
+                    given = own.tobytes()
+                out.append(given)
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(out, pa.binary())], names=["id", "training", "n_tokens", "known", "logs", "classes"])
 
-def _classes(b: pa.RecordBatch) -> Iterator[np.ndarray]:
-    """Each row's classes, from its last three columns (classes, classes looked up, their places)."""
-    for given, classes, places in zip(*(b.column(i).to_pylist() for i in (-3, -2, -1)), strict=True):
-        out = np.frombuffer(given, np.uint8).astype(np.int64)
-        if classes:
-            out[np.frombuffer(b"".join(places), "<u4")] = np.repeat(classes, [len(p) // 4 for p in places])
-        yield out
+    return materialise(whole.mapInArrow(fix, f"id {kind_of(picked, 'id')}, training boolean, n_tokens long, known long, logs double, classes binary"), "classified")
 
 
-def _class_pairs(docs: DataFrame, text_col: str, model: ClassModel) -> np.ndarray:
+def _class_pairs(classified: DataFrame, every: int) -> np.ndarray:
     """Counts of (class, next class) over all texts, each between two end tokens."""
-    end = int(model.of[-1])
-    every = end + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(every * every, np.int64)
         for b in batches:
-            for own in _classes(b):
-                line = np.concatenate(([end], own, [end]))
-                total += np.bincount(line[:-1] * every + line[1:], minlength=every * every)
+            line = _bytes_of(b.column(0))[0].astype(np.int64)
+            total += np.bincount(_before(line, every - 1) * every + line, minlength=every * every) if len(line) else 0
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
-    found = _classified(docs.select(F.lit(0).alias("id"), F.col(text_col).cast("string").alias("body")), model).select("classes", "class", "places")
     out = np.zeros(every * every)
-    for r in found.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most the square of the classes
+    for r in classified.select("classes").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most the square of the classes
         out[r.cell] = r.n
     return out.reshape(every, every)
 
 
-def score(docs: DataFrame, model: ClassModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, n_known, train_tokens, base_score, score, perplexity) of each row.
-
-    ``base_score`` is the additive unigram model's log10 probability, ``score`` the class model's."""
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"))
-    shared = docs.sparkSession.sparkContext.broadcast((model.transition, model.spread))
-    end = int(model.of[-1])
+def _scored(classified: DataFrame, model: ClassModel, id_col: str) -> DataFrame:
+    shared = classified.sparkSession.sparkContext.broadcast((model.transition, model.spread))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transition, spread = shared.value
         for b in batches:
-            fixed = []
-            for own in _classes(b):
-                line = np.concatenate(([end], own, [end]))
-                fixed.append(float(transition[line[:-1], line[1:]].sum() - spread[line[1:]].sum()))
+            line, sizes = _bytes_of(b.column(4))
+            cost = transition[_before(line, len(spread) - 1), line] - spread[line]
+            fixed = np.add.reduceat(cost, np.cumsum(sizes) - sizes) if len(sizes) else cost
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(fixed, pa.float64())], names=["id", "n_tokens", "known", "logs", "fixed"])
 
-    whole = _classified(picked, model).mapInArrow(run, f"id {kind_of(picked, 'id')}, n_tokens long, known long, logs double, fixed double")
+    whole = classified.drop("training").mapInArrow(run, f"id {kind_of(classified, 'id')}, n_tokens long, known long, logs double, fixed double")
     divisor = math.log10(model.n + ALPHA * (model.distinct + 1))
     scored = F.col("logs") + F.col("fixed")
     return whole.select(
@@ -492,3 +578,19 @@ def score(docs: DataFrame, model: ClassModel, id_col: str = "doc_id", text_col:
         scored.alias("score"),
         F.pow(F.lit(10.0), -scored / F.col("n_tokens")).alias("perplexity"),
     )
+
+
+def score(docs: DataFrame, model: ClassModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, n_known, train_tokens, base_score, score, perplexity) of each row.
+
+    ``base_score`` is the additive unigram model's log10 probability, ``score`` the class model's."""
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"), F.lit(False).alias("training"))
+    return _scored(_classified(picked, model), model, id_col)
+
+
+def train_and_score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, endings: int = ENDINGS, classes: int = CLASSES, hot: int = HOT) -> DataFrame:
+    """What ``score`` gives for all ``docs`` with the model that ``train`` makes of those that aren't ``held``; words are looked up once for both."""
+    kept = F.coalesce(held, F.lit(False))
+    model = _clustered(docs.where(~kept), text_col, frequent, endings, classes, hot)
+    found = _classified(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"), (~kept).alias("training")), model)
+    return _scored(found, _fitted(model, found.where("training")), id_col)

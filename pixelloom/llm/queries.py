@@ -73,8 +73,7 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document scored by a class bigram model of those not held out."""
     docs = table(spark, sf_dir, "documents")
-    model = class_lm.train(docs.where(~class_lm.held_out("doc_id")))
-    scored = class_lm.score(docs, model)
+    scored = class_lm.train_and_score(docs, class_lm.held_out("doc_id"))
     return scored.select("doc_id", class_lm.held_out("doc_id").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 

@@ -121,3 +121,58 @@ def test_every_training_word_is_clustered_by_its_neighbours(spark):
     assert sum(min(by_side[0][k], by_side[1][k]) for k in range(6)) <= 5
     words = Counter(w for t in texts for w in t.split())
     assert {bytes(x.word).decode(): x.n for x in model.counts.collect()} == {**words, "": 40}
+
+
+def test_score_equals_brute_force(spark):
+    """Class pairs, sizes and probabilities from the texts and the word table alone; one pass for training and scoring gives the same."""
+    rows = corpus()
+    df = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, n int").repartition(4)
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
+    sizes = {"frequent": 5, "endings": 16, "classes": 4, "hot": 4}
+    model = L.train(df.where(~L.held_out("doc_id")), **sizes)
+    table = {bytes(r.word): (r.n, r["class"]) for r in model.counts.collect()}
+    symbols = L.Symbols(model.frequent, model.endings)
+    known = lambda w: table.get(w) or (0, int(model.of[symbols[w]]))
+    line = lambda t: [b"", *(t or "").encode().lower().split(), b""]
+    pairs = Counter((known(a)[1], known(b)[1]) for i, t in rows if not held(i) for a, b in itertools.pairwise(line(t)))
+    before = Counter()
+    for (a, _), n in pairs.items():
+        before[a] += n
+    spread = [sum(n for n, c in table.values() if c == k) + L.ALPHA * (sum(c == k and n > 0 for n, c in table.values()) + 1) for k in range(5)]
+
+    def score(t):
+        out = 0.0
+        for a, b in itertools.pairwise(line(t)):
+            (n, k), c = known(b), known(a)[1]
+            out += math.log10((pairs[c, k] + L.MU * spread[k] / sum(spread)) / (before[c] + L.MU)) + math.log10((n + L.ALPHA) / spread[k])
+        return out
+
+    want = sorted((str(i), round(score(t), 6)) for i, t in rows)
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in L.score(df, model).collect()) == want
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in L.train_and_score(df, L.held_out("doc_id"), **sizes).collect()) == want
+    assert L.train_and_score(df.limit(0), L.held_out("doc_id")).count() == 0
+
+
+def test_contexts_and_classes_equal_brute_force(spark, monkeypatch):
+    """Every word beyond the frequent ones goes where one step of exchange would take it, whatever the cuts of batches and memos."""
+    for limits in ({}, {"LINE": 7, "MEMO_WORDS": 5, "STEP_WORDS": 2}):
+        for name, value in limits.items():
+            monkeypatch.setattr(L, name, value)
+        rows = corpus() + [(600, "x x x y"), (601, "y y"), (602, "x")]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        words = [b"the", b"der"]
+        of = np.array([0, 1, *(i % 3 for i in range(16)), 3])
+        symbols = L.Symbols(words, 16)
+        left, right, pairs = {}, {}, np.zeros((4, 4))
+        for _, t in rows:
+            line = [b"", *(t or "").encode().lower().split(), b""]
+            for a, b in itertools.pairwise(line):
+                pairs[of[symbols[a]], of[symbols[b]]] += 1
+                if b not in words and b:
+                    left.setdefault(b, Counter())[4 if a == b else of[symbols[a]]] += 1
+                if a not in words and a:
+                    right.setdefault(a, Counter())[4 if a == b else of[symbols[b]]] += 1
+        vec = lambda c: np.array([float(c[k]) for k in range(5)])
+        want = {w: (sum(left[w].values()), int(L.best_classes(vec(right[w])[None, :4], vec(left[w])[None, :4], vec(left[w])[4:], of[[symbols[w]]], pairs)[0])) for w in left}
+        found = L._assigned(L._contexts(df, "text", words, 16, of), words, 16, of, pairs).collect()
+        assert {bytes(r.word): (r.n, r["class"]) for r in found} == want and len(found) == len(want)
