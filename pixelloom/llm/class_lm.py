@@ -16,6 +16,8 @@ Class bigrams and sizes are counted anew with these classes.  Only words never s
 class frequencies by ``mu`` counts.  Every text ends with an end token, a class of its own, which also is the context
 of the first word, so probabilities of texts sum to one.
 
+*Words* are known by 64-bit hashes, so that texts become arrays of numbers in every pass and no table holds strings.
+
 *Scoring.*  Counts and classes of the ``hot`` most frequent words are broadcast (a stated bound).  The other words of
 a document are joined with the word table by word, with their places: they are rare by definition, so no key is hot, and the
 frequent words, which would be, never enter the shuffle.  ``train_and_score`` looks the words up once for both: the class bigrams of the
@@ -29,13 +31,12 @@ are zero and all words unknown; only the id and text columns are read; an empty
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,84 +49,74 @@ FREQUENT, ENDINGS, CLASSES, HOT = 2048, 1023, 48, 150_000
 ALPHA, MU = 0.1, 20.0
 #: Sweeps after which exchange stops even if words still move (it ends far below on texts).
 SWEEPS = 1_000
-#: Rows in which a task sends its bigram counts, the words that a worker keeps in mind, and tokens that are looked up at once.
-PARTS, MEMO_WORDS, LINE = 32, 400_000, 1 << 18
+#: Rows in which a task sends its bigram counts, and words that it counts before it sends them.
+PARTS, MEMO_WORDS = 32, 400_000
 #: Occurrences that a task keeps before it sends their contexts, and words that are judged at once.
-MEMO_CONTEXTS, STEP_WORDS = 8 << 20, 4096
-_END = b""
-
+MEMO_CONTEXTS, STEP_WORDS = 4 << 20, 4096
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words between ASCII white space, ASCII letters lowered; the end token isn't among them."""
-    return text.lower().split()
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _ending(word: bytes, endings: int) -> int:
-    import xxhash
+def word_hash(word: bytes) -> int:
+    """How a word is known everywhere: a 64-bit hash, of V words two share one with a probability of V * V / 2**65."""
+    return int(np.array([xxhash.xxh3_64_intdigest(word)], np.uint64).view(np.int64)[0])
 
-    return xxhash.xxh3_64_intdigest(word[-3:]) % endings
 
+#: The end token, as the empty word.
+END = word_hash(b"")
 
-class Symbols(dict):
-    """word -> symbol: its number among the frequent words, else that of its last three bytes; the end token's is the last."""
 
-    def __init__(self, frequent: list[bytes], endings: int):
-        super().__init__()
-        self.frequent, self.endings, self.end = frequent, endings, len(frequent) + endings
-        self.forget()
+def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens of each text, hash of each token, last three bytes of each token as a number) of all texts in a row.
 
-    def forget(self) -> None:
-        self.clear()
-        self.update({w: i for i, w in enumerate(self.frequent)} | {_END: self.end})
+    Tokens are words between ASCII white space, ASCII letters lowered, then one end."""
+    raw = b" ".join(texts).lower()
+    a = np.frombuffer(b" " + raw + b" ", np.uint8)
+    blank = _SPACE[a]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    start, end = edge[::2], edge[1::2]
+    begins = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    sizes = np.diff(np.searchsorted(start, begins))
+    found = np.fromiter(map(xxhash.xxh3_64_intdigest, raw.split()), np.uint64, len(start)).view(np.int64)
+    last = a[end - 1].astype(np.uint32)
+    for k in (2, 3):
+        last |= np.where(end - start >= k, a[end - k], 0).astype(np.uint32) << np.uint32(8 * (k - 1))
+    at = np.arange(len(found)) + np.repeat(np.arange(len(texts)), sizes)
+    words, tails = np.full(len(found) + len(texts), END), np.zeros(len(found) + len(texts), np.uint32)
+    words[at], tails[at] = found, last
+    return sizes + 1, words, tails
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= len(self.frequent) + MEMO_WORDS:
-            self.forget()
-        s = self[word] = len(self.frequent) + _ending(word, self.endings)
-        return s
 
-    def __reduce__(self):
-        return Symbols, (self.frequent, self.endings)
+def ending(tails: np.ndarray, endings: int) -> np.ndarray:
+    """The class of ending, one of ``endings``, of last bytes."""
+    return (tails * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % endings
 
 
-class Numbers(dict):
-    """word -> number: those of the known words, the end token's next, then new words as they come, with the class of their ending."""
+class Known:
+    """Hashes of known words with a value for each."""
 
-    def __init__(self, known: list[bytes], class_of_ending: np.ndarray):
-        super().__init__()
-        self.known, self.endings, self.end, self.first = known, class_of_ending.tolist(), len(known), len(known) + 1
-        self.forget()
+    def __init__(self, words: list[int] | np.ndarray, values: np.ndarray):
+        words = np.asarray(words, np.int64)
+        order = np.argsort(words)
+        self.keys, self.values = words[order], values[order]
 
-    def forget(self) -> None:
-        self.clear()
-        self.update({w: i for i, w in enumerate(self.known)} | {_END: self.end})
-        self.names: list[bytes] = []
-        self.classes = bytearray()
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(value, whether the word is known) of each word; a word that isn't has any value."""
+        at = np.searchsorted(self.keys, words)
+        at[at == len(self.keys)] = 0
+        return self.values[at], self.keys[at] == words
 
-    def __missing__(self, word: bytes) -> int:
-        k = self[word] = self.first + len(self.names)
-        self.names.append(word)
-        self.classes.append(self.endings[_ending(word, len(self.endings))])
-        return k
 
-    def class_table(self, known: np.ndarray) -> np.ndarray:
-        """Class by number, given those of the known words and the end."""
-        return np.concatenate((known, np.frombuffer(bytes(self.classes), np.uint8)))
+def _symbols(frequent: list[int], endings: int) -> Known:
+    """Symbols of the frequent words and, the last one, of the end; between them are those of endings."""
+    return Known([*frequent, END], np.array([*range(len(frequent)), len(frequent) + endings]))
 
 
-def _lines(texts: list[bytes], number: Callable[[bytes], int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first text, tokens of each text, numbers of all these tokens) of runs of texts; the last token of a text is the end."""
-    words: list[bytes] = []
-    sizes: list[int] = []
-    first = 0
-    for i, text in enumerate(texts, 1):
-        found = tokens(text)
-        words += found
-        words.append(_END)
-        sizes.append(len(found) + 1)
-        if len(words) > LINE or i == len(texts):
-            yield first, np.array(sizes), np.fromiter(map(number, words), np.int64, len(words))
-            words, sizes, first = [], [], i
+def symbols(words: np.ndarray, tails: np.ndarray, known: Known, endings: int) -> np.ndarray:
+    """Each token's symbol: the frequent words' own, else that of its last three bytes."""
+    own, hit = known.find(words)
+    return np.where(hit, own, len(known.keys) - 1 + ending(tails, endings))
 
 
 def _before(line: np.ndarray, end: int) -> np.ndarray:
@@ -133,6 +124,11 @@ def _before(line: np.ndarray, end: int) -> np.ndarray:
     return np.concatenate(([end], line[:-1]))
 
 
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+
+
 def _binaries(data: bytes, sizes: np.ndarray) -> pa.Array:
     """A binary column of values of these sizes that follow each other in ``data``."""
     at = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
@@ -141,8 +137,10 @@ def _binaries(data: bytes, sizes: np.ndarray) -> pa.Array:
 
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, size of each value) of a binary column without nulls."""
-    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
-    data = column.buffers()[2] if len(column) else None
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
     return (np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and at[-1] > at[0] else np.zeros(0, np.uint8)), np.diff(at)
 
 
@@ -152,28 +150,30 @@ def held_out(id_col: str | Column) -> Column:
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n) over all texts; the end token is the empty word."""
-
+    """(word, n) over all texts, the end token among them."""
     bound_batches(docs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
+        words, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(times)], names=["word", "n"])
 
         for b in batches:
-            for text in utf8(b.column(0)):
-                found.update(tokens(text))
-            found[_END] += b.num_rows
-            if len(found) > MEMO_WORDS:
+            found, n = np.unique(coded(utf8(b.column(0)))[1], return_counts=True)
+            words = np.concatenate((words, found))
+            order = np.argsort(words, kind="stable")
+            head = _runs(words[order])
+            words, times = words[order][head], np.add.reduceat(np.concatenate((times, n))[order], head) if len(head) else times
+            if len(words) > MEMO_WORDS:
                 yield batch()
-                found.clear()
+                words, times = words[:0], times[:0]
         yield batch()
 
-    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _bigrams(docs: DataFrame, text_col: str, frequent: list[bytes], endings: int) -> np.ndarray:
+def _bigrams(docs: DataFrame, text_col: str, frequent: list[int], endings: int) -> np.ndarray:
     """Counts of (symbol, next symbol) over all texts, each between two end tokens."""
     size = len(frequent) + endings + 1
     rows = -(-size // PARTS)
@@ -189,12 +189,13 @@ def _bigrams(docs: DataFrame, text_col: str, frequent: list[bytes], endings: int
         return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)], names=["part", "salt", "cells", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = Symbols(shared.value, endings)
+        known = _symbols(shared.value, endings)
         total = np.zeros(PARTS * rows * size, np.int64)
         for b in batches:
-            for _, _, line in _lines(utf8(b.column(0)), symbols.__getitem__):
-                cells, n = np.unique(_before(line, symbols.end) * size + line, return_counts=True)
-                total[cells] += n
+            _, words, tails = coded(utf8(b.column(0)))
+            line = symbols(words, tails, known, endings)
+            cells, n = np.unique(_before(line, size - 1) * size + line, return_counts=True)
+            total[cells] += n
         salt = TaskContext.get().partitionId() % 16
         for part, own in enumerate(total.reshape(PARTS, -1)):
             yield batch([pack(part, salt, own)])
@@ -307,60 +308,53 @@ def best_classes(right: np.ndarray, left: np.ndarray, own: np.ndarray, now: np.n
     return np.where(gain[m, best] > stay + 1e-6, best, now)
 
 
-def _contexts(docs: DataFrame, text_col: str, frequent: list[bytes], endings: int, of: np.ndarray) -> DataFrame:
-    """(word, contexts) of all words that aren't frequent: two bytes an occurrence, the classes before and after it, or the number of classes for the word itself."""
+def _contexts(docs: DataFrame, text_col: str, frequent: list[int], endings: int, of: np.ndarray) -> DataFrame:
+    """(word, ending, contexts) of all words that aren't frequent: two bytes an occurrence, the classes before and after it, or the number of classes for the word itself."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent, of))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, classes_of = shared.value
-        numbers, itself = Numbers(words, classes_of[len(words) : -1]), int(classes_of[-1]) + 1
-        known = np.append(classes_of[: len(words)], classes_of[-1])
-        ids: list[np.ndarray] = []
-        codes: list[np.ndarray] = []
-        held = 0
+        frequent, of = shared.value
+        known, end, itself = _symbols(frequent, endings), int(of[-1]), int(of[-1]) + 1
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def rows() -> Iterator[pa.RecordBatch]:
-            own = np.concatenate(ids)
-            order = np.argsort(own, kind="stable")
-            times = np.bincount(own)
-            there = np.flatnonzero(times)
-            found = pa.RecordBatch.from_arrays([pa.array([numbers.names[k] for k in there.tolist()], pa.binary()), _binaries(np.concatenate(codes)[order].tobytes(), 2 * times[there])], names=["word", "contexts"])
+            words, kinds, codes = map(np.concatenate, zip(*held, strict=True))
+            held.clear()
+            order = np.argsort(words, kind="stable")
+            head = _runs(words[order])
+            times = np.diff(np.append(head, len(words)))
+            found = pa.RecordBatch.from_arrays([pa.array(words[order][head]), pa.array(kinds[order][head]), _binaries(codes[order].tobytes(), 2 * times)], names=["word", "ending", "contexts"])
             for i in range(0, found.num_rows, 10_000):
                 yield found.slice(i, 10_000)
 
         for b in batches:
-            for _, _, line in _lines(utf8(b.column(0)), numbers.__getitem__):
-                classes = numbers.class_table(known)[line]
-                at = np.flatnonzero(line >= numbers.first)
-                same = np.append(line[1:] == line[:-1], False)
-                before = np.where(same[at - 1] & (at > 0), itself, np.where(at > 0, classes[at - 1], classes_of[-1]))
-                after = np.where(same[at], itself, classes[np.minimum(at + 1, len(line) - 1)])  # a text's last word is followed by its end
-                ids.append((line[at] - numbers.first).astype(np.int32))
-                codes.append(np.stack([before, after], axis=1).astype(np.uint8))
-                held += len(at)
-                if held > MEMO_CONTEXTS or len(numbers.names) > MEMO_WORDS:
-                    yield from rows()
-                    numbers.forget()
-                    ids, codes, held = [], [], 0
+            _, words, tails = coded(utf8(b.column(0)))
+            line = symbols(words, tails, known, endings)
+            classes = of[line]
+            at = np.flatnonzero((line >= len(frequent)) & (words != END))
+            same = np.append(words[1:] == words[:-1], False)  # a text's last word is followed by its end
+            before = np.where(same[at - 1] & (at > 0), itself, _before(classes, end)[at])
+            after = np.where(same[at], itself, classes[np.minimum(at + 1, len(line) - 1)])
+            held.append((words[at], (line[at] - len(frequent)).astype(np.int32), np.stack([before, after], axis=1).astype(np.uint8)))
+            if sum(len(x) for x, _, _ in held) > MEMO_CONTEXTS:
+                yield from rows()
         if held:
             yield from rows()
 
-    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word binary, contexts binary")
+    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word long, ending int, contexts binary")
 
 
-def _assigned(contexts: DataFrame, frequent: list[bytes], endings: int, of: np.ndarray, pairs: np.ndarray) -> DataFrame:
+def _assigned(contexts: DataFrame, class_of_ending: np.ndarray, pairs: np.ndarray) -> DataFrame:
     """(word, n, class) of the words of ``_contexts``."""
-    shared = contexts.sparkSession.sparkContext.broadcast((of[len(frequent) : -1], pairs))
+    shared = contexts.sparkSession.sparkContext.broadcast((class_of_ending, pairs))
     every = len(pairs)
-    names = ["word", "n", "class"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         class_of_ending, pairs = shared.value
         once = np.full(((every + 1) * (every + 1) * every,), -1, np.int32)  # best classes of words that occur once, by their context
 
-        def judge(words: list[bytes], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-            now = class_of_ending[[_ending(w, len(class_of_ending)) for w in words]] if words else np.zeros(0, np.int64)
-            n = left.sum(1)
+        def judge(words: np.ndarray, kinds: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+            now, n = class_of_ending[kinds], left.sum(1)
             code = (left.argmax(1) * (every + 1) + right.argmax(1)) * every + now
             single = n == 1
             new, first = np.unique(code[single], return_index=True)
@@ -370,47 +364,46 @@ def _assigned(contexts: DataFrame, frequent: list[bytes], endings: int, of: np.n
             best[at] = best_classes(right[at, :every], left[at, :every], left[at, every], now[at], pairs)
             once[code[first]] = best[first]
             best[single] = once[code[single]]
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n.astype(np.int64)), pa.array(best)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(n.astype(np.int64)), pa.array(best)], names=["word", "n", "class"])
 
-        last, kept = None, np.zeros((2, every + 1))  # a word that may go on in the next rows, and its counts
+        kept = None  # a word that may go on in the next rows, and its counts
         for b in batches:
             if not b.num_rows:
                 continue
-            column = b.column(0)
-            new = np.concatenate(([True], pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)))
-            heads = np.flatnonzero(new)
-            flat, sizes = _bytes_of(b.column(1))
+            names, kinds = b.column(0).to_numpy(), b.column(1).to_numpy()
+            heads = _runs(names)
+            flat, sizes = _bytes_of(b.column(2))
             flat, edge = flat.reshape(-1, 2), np.concatenate(([0], np.cumsum(sizes // 2)))
             for lo in range(0, len(heads), STEP_WORDS):
                 own = heads[lo : lo + STEP_WORDS]
                 to = heads[lo + STEP_WORDS] if lo + STEP_WORDS < len(heads) else b.num_rows
-                words = column.take(pa.array(own)).to_pylist()
-                group = np.repeat(np.cumsum(new[own[0] : to]) - 1, np.diff(edge[own[0] : to + 1])) * (every + 1)
+                words, first = names[own], kinds[own]
+                group = np.repeat(np.arange(len(own)), np.diff(edge[np.append(own, to)])) * (every + 1)
                 sides = np.stack([np.bincount(group + flat[edge[own[0]] : edge[to], i], minlength=len(own) * (every + 1)).reshape(len(own), -1).astype(float) for i in (0, 1)])
-                if words[0] == last:
-                    sides[:, 0] += kept
-                elif last is not None:
-                    yield judge([last], kept[0][None], kept[1][None])
-                last, kept = words[-1], sides[:, -1].copy()
+                if kept is not None and kept[0][0] == words[0]:
+                    sides[:, 0] += kept[2][:, 0]
+                elif kept is not None:
+                    yield judge(kept[0], kept[1], *kept[2])
+                kept = words[-1:], first[-1:], sides[:, -1:].copy()
                 if len(words) > 1:
-                    yield judge(words[:-1], sides[0, :-1], sides[1, :-1])
-        if last is not None:
-            yield judge([last], kept[0][None], kept[1][None])
+                    yield judge(words[:-1], first[:-1], *sides[:, :-1])
+        if kept is not None:
+            yield judge(kept[0], kept[1], *kept[2])
 
     bound_batches(contexts)
-    return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word binary, n long, class int")
+    return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word long, n long, class int")
 
 
 @dataclass
 class ClassModel:
-    """A trained model: ``counts`` (word, n, class) is a table, the rest is bounded by the parameters."""
+    """A trained model: ``counts`` (word, n, class) is a table, the rest is bounded by the parameters.  Words are their hashes."""
 
     counts: DataFrame
     n: int
     distinct: int
-    hot: dict[bytes, tuple[int, int]]
-    """word -> its count and class"""
-    frequent: list[bytes]
+    hot: np.ndarray
+    """(word, count, class) of the most frequent words and the end"""
+    frequent: list[int]
     endings: int
     of: np.ndarray
     """classes of the frequent words, and of the endings for words never seen"""
@@ -426,19 +419,20 @@ def _clustered(docs: DataFrame, text_col: str, frequent: int, endings: int, clas
     spark = docs.sparkSession
     seen = materialise(word_counts(docs, text_col), "word-counts")
     n, distinct = seen.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    top = sorted(((bytes(r.word), r.n) for r in _most_frequent(seen, hot).collect()), key=lambda x: (-x[1], x[0]))
-    ends = dict(top).get(_END, 0)
-    top = [x for x in top if x[0]][:frequent]
+    top = sorted(((r.word, r.n) for r in _most_frequent(seen, hot).collect()), key=lambda x: (-x[1], x[0]))
+    ends = dict(top).get(END, 0)
+    top = [x for x in top if x[0] != END][:frequent]
     words = [w for w, _ in top]
     bigrams = _bigrams(docs, text_col, words, endings)
     of = exchange(bigrams, classes)
     member = np.zeros((classes + 1, len(of)))
     member[of, np.arange(len(of))] = 1
-    own = spark.createDataFrame([(_END, ends, classes), *((w, k, int(c)) for (w, k), c in zip(top, of, strict=False))], "word binary, n long, class int")
-    rest = _assigned(_contexts(docs, text_col, words, endings, of), words, endings, of, member @ bigrams @ member.T)
+    own = spark.createDataFrame([(END, ends, classes), *((w, k, int(c)) for (w, k), c in zip(top, of, strict=False))], "word long, n long, class int")
+    rest = _assigned(_contexts(docs, text_col, words, endings, of), of[len(words) : -1], member @ bigrams @ member.T)
     counts = materialise(own.unionByName(rest), "word-classes")
-    table = {bytes(r.word): (r.n, r["class"]) for r in _most_frequent(counts, hot).collect()}
-    return ClassModel(counts, n, distinct, table, words, endings, of)
+    table = {r.word: (r.n, r["class"]) for r in _most_frequent(counts, hot).collect()}
+    table.setdefault(END, (0, classes))
+    return ClassModel(counts, n, distinct, np.array([(w, *x) for w, x in table.items()], np.int64), words, endings, of)
 
 
 def _fitted(model: ClassModel, training: DataFrame) -> ClassModel:
@@ -471,7 +465,7 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
         if above > most:
             break
         least = r.step
-    return counts.where((F.octet_length("word") == 0) & (F.col("n") > 0) | (F.col("n") > 0) & (step >= least))
+    return counts.where((F.col("word") == END) & (F.col("n") > 0) | (F.col("n") > 0) & (step >= least))
 
 
 def _classified(picked: DataFrame, model: ClassModel) -> DataFrame:
@@ -479,40 +473,34 @@ def _classified(picked: DataFrame, model: ClassModel) -> DataFrame:
 
     ``classes`` holds a byte a token, the end's too; ``logs`` sums the tokens' log10(n + alpha)."""
     bound_batches(picked)
-    hot = sorted(w for w in model.hot if w)
-    end = int(model.of[-1])
-    ends = model.hot.get(_END, (0, 0))[0]
-    times = np.array([*(model.hot[w][0] for w in hot), ends], float)
-    shared = picked.sparkSession.sparkContext.broadcast((hot, times, np.array([*(model.hot[w][1] for w in hot), end], np.uint8), model.of[len(model.frequent) : -1]))
+    shared = picked.sparkSession.sparkContext.broadcast((model.hot, model.of[len(model.frequent) : -1]))
     names = ["id", "training", "row", "n_tokens", "known", "logs", "classes", "rare", "places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts, known, class_of_ending = shared.value
-        numbers = Numbers(words, class_of_ending)
-        logs = np.append(np.log10(counts + ALPHA), 0.0)  # looked up later for the words beyond
-        seen = np.append(counts > 0, False).astype(np.int64)
+        hot, class_of_ending = shared.value
+        known = Known(hot[:, 0], np.arange(len(hot)))
+        logs, seen, class_of = np.log10(hot[:, 1] + ALPHA), (hot[:, 1] > 0).astype(np.int64), hot[:, 2]
         row = TaskContext.get().partitionId() << 40
         for b in batches:
-            for first, sizes, line in _lines(utf8(b.column(1)), numbers.__getitem__):
-                start = np.cumsum(sizes) - sizes
-                short = np.minimum(line, numbers.first)
-                at = np.flatnonzero(line >= numbers.first)
-                text = np.repeat(np.arange(len(sizes)), sizes)[at]
-                order = np.lexsort((line[at], text))  # stable: places of a word ascend
-                at, text = at[order], text[order]
-                head = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (line[at][1:] != line[at][:-1]))) if len(at) else np.zeros(0, bool))
-                rare = pa.array([numbers.names[k] for k in (line[at[head]] - numbers.first).tolist()], pa.binary())
-                places = _binaries((at - start[text]).astype("<u4").tobytes(), 4 * np.diff(np.append(head, len(at))))
-                edge = pa.array(np.concatenate(([0], np.cumsum(np.bincount(text[head], minlength=len(sizes))))).astype(np.int32))
-                classes = _binaries(numbers.class_table(known)[line].astype(np.uint8).tobytes(), sizes)
-                own = b.slice(first, len(sizes))
-                columns = [own.column(0), own.column(2), pa.array(row + np.arange(len(sizes))), pa.array(sizes.astype(np.int64)), pa.array(np.add.reduceat(seen[short], start)), pa.array(np.add.reduceat(logs[short], start)), classes]
-                yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(edge, rare), pa.ListArray.from_arrays(edge, places)], names=names)
-                row += len(sizes)
-                if len(numbers.names) > MEMO_WORDS:
-                    numbers.forget()
-
-    schema = f"id {kind_of(picked, 'id')}, training boolean, row long, n_tokens long, known long, logs double, classes binary, rare array<binary>, places array<binary>"
+            if not b.num_rows:
+                continue
+            sizes, line, tails = coded(utf8(b.column(1)))
+            number, hit = known.find(line)
+            start = np.cumsum(sizes) - sizes
+            classes = np.where(hit, class_of[number], class_of_ending[ending(tails, len(class_of_ending))])
+            at = np.flatnonzero(~hit)
+            text = np.repeat(np.arange(len(sizes)), sizes)[at]
+            order = np.lexsort((line[at], text))  # stable: places of a word ascend
+            at, text, words = at[order], text[order], line[at][order]
+            head = np.union1d(_runs(text), _runs(words))
+            edge = pa.array(np.concatenate(([0], np.cumsum(np.bincount(text[head], minlength=len(sizes))))).astype(np.int32))
+            places = _binaries((at - start[text]).astype("<u4").tobytes(), 4 * np.diff(np.append(head, len(at))))
+            sums = [np.add.reduceat(np.where(hit, x[number], 0), start) for x in (seen, logs)]
+            columns = [b.column(0), b.column(2), pa.array(row + np.arange(len(sizes))), pa.array(sizes.astype(np.int64)), *map(pa.array, sums), _binaries(classes.astype(np.uint8).tobytes(), sizes)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(edge, pa.array(words[head])), pa.ListArray.from_arrays(edge, places)], names=names)
+            row += len(sizes)
+
+    schema = f"id {kind_of(picked, 'id')}, training boolean, row long, n_tokens long, known long, logs double, classes binary, rare array<long>, places array<binary>"
     parts = materialise(picked.mapInArrow(run, schema), "looked-up")
     rare = parts.select("row", F.explode(F.arrays_zip("rare", "places")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.places").alias("places"))
     joined = rare.join(model.counts, "word", "left").select("row", "places", "class", F.coalesce("n", F.lit(0)).alias("n"), (F.octet_length("places") / 4).cast("long").alias("times"))

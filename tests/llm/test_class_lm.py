@@ -10,6 +10,17 @@ import pytest
 from pixelloom.llm import class_lm as L
 
 
+def named(rows, *texts):
+    """The word table with words for hashes."""
+    words = {L.word_hash(w): w for t in texts for w in [b"", *(t or "").encode().lower().split()]}
+    return {words[r.word]: r for r in rows}
+
+
+def symbol_of(model):
+    known = L._symbols(model.frequent, model.endings)
+    return lambda w: int(L.symbols(*L.coded([w])[1:], known, model.endings)[0]) if w else len(model.of) - 1
+
+
 def corpus():
     r = random.Random(3)
     kinds = [["the", "dog", "runs", "fast"], ["der", "hund", "rennt", "é"]]
@@ -35,11 +46,11 @@ def test_probabilities_sum_to_one(spark):
     """All texts of up to two words, with one stand-in for unknown words of each class, and what is longer."""
     df = spark.createDataFrame([(1, "a b a c"), (2, "b b c a"), (3, "c a")], "doc_id long, text string")
     model = L.train(df, frequent=3, endings=2, classes=2)
-    seen, symbols = {bytes(r.word): r.n for r in model.counts.collect()}, L.Symbols(model.frequent, model.endings)
+    seen, symbol = {w: r.n for w, r in named(model.counts.collect(), "a b c").items()}, symbol_of(model)
     for before in range(3):
         total = 0.0
         for k in range(3):
-            words = [n for w, n in seen.items() if model.of[symbols[w] if w else symbols.end] == k] + [0]
+            words = [n for w, n in seen.items() if model.of[symbol(w)] == k] + [0]
             total += sum(10 ** (model.transition[before, k] + math.log10(n + L.ALPHA) - model.spread[k]) for n in words)
         assert total == pytest.approx(1)
 
@@ -73,9 +84,9 @@ def test_no_training_rows(spark):
 
 
 def test_most_frequent_is_bounded(spark):
-    counts = spark.createDataFrame([(b"", 1)] + [(b"w%d" % i, i) for i in range(1, 400)], "word binary, n long")
+    counts = spark.createDataFrame([(L.END, 1)] + [(i, i) for i in range(1, 400)], "word long, n long")
     for most in (0, 1, 7, 50, 399, 1000):
-        got = {r.n for r in L._most_frequent(counts, most).collect() if r.word}
+        got = {r.n for r in L._most_frequent(counts, most).collect() if r.word != L.END}
         assert len(got) <= most and got == set(range(400 - len(got), 400))
 
 
@@ -115,12 +126,13 @@ def test_every_training_word_is_clustered_by_its_neighbours(spark):
     texts = [" ".join(w for _ in range(30) for w in ("the", often(left), "of", often(right))) for _ in range(40)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     model = L.train(df, frequent=18, endings=16, classes=6, hot=25)
-    table = {bytes(x.word).decode(): x["class"] for x in model.counts.collect()}
+    found = {w.decode(): x for w, x in named(model.counts.collect(), *texts).items()}
+    table = {w: x["class"] for w, x in found.items()}
     assert len(table) == 123
     by_side = [Counter(table[w] for w in side) for side in (left, right)]  # x012 and y012 have one ending
     assert sum(min(by_side[0][k], by_side[1][k]) for k in range(6)) <= 5
     words = Counter(w for t in texts for w in t.split())
-    assert {bytes(x.word).decode(): x.n for x in model.counts.collect()} == {**words, "": 40}
+    assert {w: x.n for w, x in found.items()} == {**words, "": 40}
 
 
 def test_score_equals_brute_force(spark):
@@ -130,9 +142,9 @@ def test_score_equals_brute_force(spark):
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
     sizes = {"frequent": 5, "endings": 16, "classes": 4, "hot": 4}
     model = L.train(df.where(~L.held_out("doc_id")), **sizes)
-    table = {bytes(r.word): (r.n, r["class"]) for r in model.counts.collect()}
-    symbols = L.Symbols(model.frequent, model.endings)
-    known = lambda w: table.get(w) or (0, int(model.of[symbols[w]]))
+    table = {w: (r.n, r["class"]) for w, r in named(model.counts.collect(), *(t for _, t in rows)).items()}
+    symbol = symbol_of(model)
+    known = lambda w: table.get(w) or (0, int(model.of[symbol(w)]))
     line = lambda t: [b"", *(t or "").encode().lower().split(), b""]
     pairs = Counter((known(a)[1], known(b)[1]) for i, t in rows if not held(i) for a, b in itertools.pairwise(line(t)))
     before = Counter()
@@ -155,14 +167,15 @@ def test_score_equals_brute_force(spark):
 
 def test_contexts_and_classes_equal_brute_force(spark, monkeypatch):
     """Every word beyond the frequent ones goes where one step of exchange would take it, whatever the cuts of batches and memos."""
-    for limits in ({}, {"LINE": 7, "MEMO_WORDS": 5, "STEP_WORDS": 2}):
+    for limits in ({}, {"MEMO_CONTEXTS": 7, "STEP_WORDS": 2}):
         for name, value in limits.items():
             monkeypatch.setattr(L, name, value)
         rows = corpus() + [(600, "x x x y"), (601, "y y"), (602, "x")]
         df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
         words = [b"the", b"der"]
         of = np.array([0, 1, *(i % 3 for i in range(16)), 3])
-        symbols = L.Symbols(words, 16)
+        symbol = symbol_of(L.ClassModel(None, 0, 0, None, [L.word_hash(w) for w in words], 16, of))
+        symbols = {w: symbol(w) for _, t in rows for w in [b"", *(t or "").encode().lower().split()]}
         left, right, pairs = {}, {}, np.zeros((4, 4))
         for _, t in rows:
             line = [b"", *(t or "").encode().lower().split(), b""]
@@ -174,5 +187,15 @@ def test_contexts_and_classes_equal_brute_force(spark, monkeypatch):
                     right.setdefault(a, Counter())[4 if a == b else of[symbols[b]]] += 1
         vec = lambda c: np.array([float(c[k]) for k in range(5)])
         want = {w: (sum(left[w].values()), int(L.best_classes(vec(right[w])[None, :4], vec(left[w])[None, :4], vec(left[w])[4:], of[[symbols[w]]], pairs)[0])) for w in left}
-        found = L._assigned(L._contexts(df, "text", words, 16, of), words, 16, of, pairs).collect()
-        assert {bytes(r.word): (r.n, r["class"]) for r in found} == want and len(found) == len(want)
+        found = L._assigned(L._contexts(df, "text", [L.word_hash(w) for w in words], 16, of), of[2:-1], pairs).collect()
+        assert {w: (r.n, r["class"]) for w, r in named(found, *(t for _, t in rows)).items()} == want and len(found) == len(want)
+
+
+def test_coded_texts():
+    texts = [b"", b" ", b"Aa bB\tc\x0bdd\x0cee\r\n", "É é x".encode(), b"abcd", b"\x00 \x1f"]
+    sizes, words, tails = L.coded(texts)
+    want = [t.lower().split() for t in texts]
+    assert sizes.tolist() == [len(w) + 1 for w in want]
+    assert words.tolist() == [h for w in want for h in (*map(L.word_hash, w), L.END)]
+    assert tails.tolist() == [int.from_bytes(x[-3:][::-1], "little") for w in want for x in (*w, b"")]
+    assert [len(x) for x in L.coded([])] == [0, 0, 0]
