@@ -10,7 +10,10 @@ Both carry WARC-Refers-To with the response's identifier, its target address and
 their own.  Identifiers are name-based UUIDs, so a retried task writes the same records.  All steps are narrow maps;
 ``write`` packs records into gzip members of Parquet rows, which any store that Spark writes can hold.
 
-Defined cases: null html is an empty body; a null address leaves WARC-Target-URI out; control characters in header
+Pages are read in one pass (``html.py``), so a page of unclosed tags takes no longer than another of its length.
+
+Defined cases: a record without a Content-Length, or with none that is a number, has all that follows its headers as its block; a record that isn't a
+response or has no identifier gives no derivatives (nulls), as nothing could refer to it; null html is an empty body; a null address leaves WARC-Target-URI out; control characters in header
 values are percent-encoded, so no value can begin a new header; a block that isn't HTTP has no status and headers, and all of it is its
 payload; texts are converted whole; repeated rows give equal records; empty tables give no rows; other columns are ignored.
 """
@@ -29,17 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pixelloom.llm import html as markup
 from pixelloom.llm.arrow import bound_batches, kind_of, map_batches
 
 #: Date of records whose source table has none.
 NO_DATE = "1970-01-01T00:00:00Z"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:pixelloom:warc")
-_GONE = re.compile(r"(?is)<(script|style|head|template|noscript)\b.*?</\1\s*>|<!--.*?-->|<!DOCTYPE[^>]*>")
-_BLOCK = re.compile(r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|nav|footer|header|main|blockquote|pre)\b[^>]*>")
-_TAG = re.compile(r"<[^>]*>")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-_LANG = re.compile(r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)")
-_LINK = re.compile(r"(?i)<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_BLOCK = re.compile(r"(?ia)/?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|nav|footer|header|main|blockquote|pre)\b")
+_LINK, _HREF = re.compile(r"(?ia)a\s"), re.compile(r"(?ia)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))")
 
 
 def digest(data: bytes) -> str:
@@ -62,7 +62,8 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "replace").split("\r\n")[1:]
     headers = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-    return headers, rest[: int(headers["Content-Length"])]
+    size = headers.get("Content-Length", "")
+    return headers, rest[: int(size)] if re.fullmatch("[0-9]{1,18}", size) else rest
 
 
 def response(name: str, url: str | None, html: str | None, date: str = NO_DATE) -> bytes:
@@ -72,11 +73,24 @@ def response(name: str, url: str | None, html: str | None, date: str = NO_DATE)
     return record("response", name, headers, block)
 
 
+def _text_and_links(html: str) -> tuple[str, list[str]]:
+    """The visible text, and where its links lead."""
+    out, links = [], []
+    for text, tag in markup.parts(markup.without_hidden(html)):
+        out.append(text)
+        if tag is None:
+            continue
+        if _BLOCK.match(tag):
+            out.append("\n")
+        elif _LINK.match(tag) and (href := _HREF.search(tag)):
+            links.append(html_lib.unescape(next(x for x in (*href.groups(), "") if x is not None)))
+    lines = (" ".join(x.split()) for x in html_lib.unescape("".join(out)).split("\n"))
+    return "\n".join(x for x in lines if x), links
+
+
 def plain_text(html: str) -> str:
     """The visible text: blocks on lines of their own, entities resolved, white space collapsed."""
-    text = html_lib.unescape(_TAG.sub("", _BLOCK.sub("\n", _GONE.sub(" ", html))))
-    lines = (" ".join(x.split()) for x in text.split("\n"))
-    return "\n".join(x for x in lines if x)
+    return _text_and_links(html)[0]
 
 
 def _http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
@@ -87,20 +101,23 @@ def _http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return first, [(k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in lines)], body
 
 
-def derive(source: bytes) -> tuple[bytes, bytes]:
-    """(metadata record, conversion record) of a response record."""
+def derive(source: bytes) -> tuple[bytes, bytes] | tuple[None, None]:
+    """(metadata record, conversion record) of a response record; nulls for any other."""
     own, block = parse_record(source)
+    if own.get("WARC-Type") != "response" or not own.get("WARC-Record-ID"):
+        return None, None
     status, http, body = _http(block)
     html = body.decode("utf-8", "replace")
     payload = own.get("WARC-Payload-Digest") or digest(body)
-    title, lang = _TITLE.search(html), _LANG.search(html)
+    title, lang = markup.title(html), markup.language(html)
+    text, links = _text_and_links(html)
     fields = [("status", status), *((f"http-{k}", v) for k, v in http), ("source-payload-digest", payload), ("source-block-digest", own.get("WARC-Block-Digest", ""))]
-    fields += [("title", " ".join(html_lib.unescape(title[1]).split()))] if title else []
-    fields += [("language", lang[1])] if lang else []
-    fields += [("outlink", html_lib.unescape(next(x for x in (*m.groups(), "") if x is not None))) for m in _LINK.finditer(html)]
+    fields += [("title", " ".join(html_lib.unescape(title).split()))] if title is not None else []
+    fields += [("language", lang)] if lang else []
+    fields += [("outlink", x) for x in links]
     about = [("WARC-Refers-To", own["WARC-Record-ID"]), ("WARC-Refers-To-Target-URI", own.get("WARC-Target-URI")), ("WARC-Refers-To-Date", own.get("WARC-Date")), ("WARC-Target-URI", own.get("WARC-Target-URI")), ("WARC-Date", own.get("WARC-Date"))]
     metadata = "".join(f"{k}: {_value(v)}\r\n" for k, v in fields).encode()
-    text = plain_text(html).encode()
+    text = text.encode("utf-8", "replace")  # an entity can stand for half a character
     return (
         record("metadata", own["WARC-Record-ID"], [*about, ("Content-Type", "application/warc-fields")], metadata),
         record("conversion", own["WARC-Record-ID"], [*about, ("Content-Type", "text/plain; charset=utf-8"), ("WARC-Payload-Digest", digest(text)), ("WARC-Source-Payload-Digest", payload)], text),
@@ -119,7 +136,7 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
 
 def derivatives(found: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """(id, record, metadata, conversion): each response record with those derived from it; a null record gives nulls."""
+    """(id, record, metadata, conversion): each response record with those derived from it; a null record, or one that has no derivatives, gives nulls."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         made = [derive(x) if x is not None else (None, None) for x in b.column(1).to_pylist()]
@@ -143,7 +160,7 @@ def read_back(found: DataFrame, id_col: str = "page_id") -> DataFrame:
         return pa.RecordBatch.from_arrays([b.column(0), *(pa.array([o[i] for o in out], k) for i, k in enumerate(kinds))], names=names)
 
     kinds = ["string"] * 8 + ["long", "string"]
-    picked = found.where("record is not null").select(F.col(id_col), "record", "metadata", "conversion")
+    picked = found.where("metadata is not null and conversion is not null").select(F.col(id_col), "record", "metadata", "conversion")
     return map_batches(picked, run, f"`{id_col}` {kind_of(picked, id_col)}, " + ", ".join(f"{n} {k}" for n, k in zip(names[1:], kinds, strict=True)))
 
 
@@ -151,6 +168,7 @@ def write(found: DataFrame, path: str) -> None:
     """The derived records as gzip members, one a record, in Parquet rows (id, kind, member)."""
 
     bound_batches(found)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, kind in ((2, "metadata"), (3, "conversion")):

@@ -2,6 +2,8 @@ import base64
 import gzip
 import hashlib
 import re
+import time
+from html.parser import HTMLParser
 
 from pixelloom.llm import warc as W
 
@@ -40,3 +42,73 @@ def test_frames(spark, tmp_path):
     assert W.read_back(W.derivatives(W.responses(df.limit(0)))).count() == 0
     none = spark.createDataFrame([(1, None)], "page_id long, record binary")
     assert W.derivatives(none).first().metadata is None
+
+
+def test_malformed_records(spark):
+    """No identifier, no length, no header at all, another type, a cut record: a defined result, never an error."""
+    good = W.response("1 u", "http://a/", PAGE)
+    assert W.derive(b"") == W.derive(b"\r\n\r\n") == W.derive(b"WARC/1.1\r\nWARC-Type: response\r\n\r\nx") == (None, None)
+    assert W.derive(good.replace(b"WARC-Type: response", b"WARC-Type: request")) == (None, None)
+    assert W.parse_record(b"WARC/1.1\r\nContent-Length: -3\r\n\r\nabc")[1] == W.parse_record(b"WARC/1.1\r\n\r\nabc")[1] == b"abc"
+    for cut in range(0, len(good), 7):
+        metadata, conversion = W.derive(good[:cut])
+        assert (metadata is None) == (conversion is None)
+    no_length = re.sub(rb"Content-Length: \d+\r\n\r\nHTTP", b"\r\nHTTP", good)
+    assert b"Hello world" in W.derive(no_length)[1]
+    df = spark.createDataFrame([(1, bytearray(good)), (2, bytearray(b"")), (3, bytearray(b"junk")), (4, None)], "page_id long, record binary")
+    made = W.derivatives(df)
+    assert sorted(r.page_id for r in made.where("metadata is null").collect()) == [2, 3, 4]
+    assert [r.page_id for r in W.read_back(made).collect()] == [1]
+
+
+class Seen(HTMLParser):
+    """An independent reading of a page: its visible text by the standard library's parser."""
+
+    HIDDEN = {"script", "style", "head", "template", "noscript"}
+    BLOCKS = {"p", "div", "br", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "table", "section", "article", "nav", "footer", "header", "main", "blockquote", "pre"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.links, self.inside = [], [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.HIDDEN:
+            self.inside.append(tag)
+        elif not self.inside:
+            self.out.append("\n" if tag in self.BLOCKS else "")
+            if tag == "a" and "href" in dict(attrs):
+                self.links.append(dict(attrs)["href"])
+
+    def handle_endtag(self, tag):
+        if self.inside and tag == self.inside[-1]:
+            self.inside.pop()
+            self.out.append(" ")
+        elif not self.inside and tag in self.BLOCKS:
+            self.out.append("\n")
+
+    def handle_data(self, data):
+        if not self.inside:
+            self.out.append(data)
+
+
+def test_pages_equal_an_independent_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r for r in W.read_back(W.derivatives(W.responses(pages))).collect()}
+    rows = pages.collect()
+    assert len(rows) == len(got)
+    for r in rows:
+        seen = Seen()
+        seen.feed(r.html or "")
+        seen.close()
+        lines = [" ".join(x.split()) for x in "".join(seen.out).split("\n")]
+        own = got[r.page_id]
+        assert own.text == "\n".join(x for x in lines if x) and own.outlinks == len(seen.links)
+        assert own.target_uri == r.url and own.source_digest == sha((r.html or "").encode()) and own.text_digest == sha(own.text.encode())
+        assert own.metadata_refers_to == own.conversion_refers_to == own.response_id
+
+
+def test_hostile_pages_take_linear_time():
+    for page in ("<script>" * 130_000, "<" * 1_000_000, "<!--" * 250_000, "<a " * 330_000, "<title>" * 150_000, "<html " * 160_000, "<p" * 400_000, "<a href=" * 120_000, "lang=" * 100_000):
+        began = time.time()
+        W.derive(W.response("1", "u", page))
+        assert time.time() - began < 5
