@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -39,8 +40,8 @@ def test_rules_and_verdicts(spark):
         assert rule == want
         if want:
             assert verdict == what
-        elif i == 24 or i >= 30:
-            assert (i, host, verdict) == (i, host, "block" if i == 24 or i >= 60 else "allow")
+        elif i in (20, 21, 24) or i >= 30:
+            assert (i, host, verdict) == (i, host, "block" if i in (20, 21, 24) or i >= 60 else "allow")
     assert U.judge(df.limit(0)).count() == 0
 
 
@@ -59,7 +60,7 @@ def test_viterbi_equals_brute_force():
 
 
 def test_scores_equal_brute_force(spark):
-    urls = [(i, u) for i, u in URLS if i >= 20] * 3
+    urls = [(i, u) for i, u in URLS if i >= 20] * 3 + [(90, "http://pills4garden.org/a/a/a/7/7"), (91, "http://gärten24.org/ä/a_b")]
     df = spark.createDataFrame([(i, u, "the free my cheap garden pills bets") for i, u in urls], "page_id long, url string, html string")
     words = Counter("the free my cheap garden pills bets".split() * len(urls))
     total = sum(words.values())
@@ -67,11 +68,33 @@ def test_scores_equal_brute_force(spark):
     rows = []
     for _, u in urls:
         host, path = plain_split(u)
-        h = [w for n in re.split("[^a-z]+", host) if n for w in U.viterbi(n, known, total)]
-        rows.append((list(set(h)), ["#" if t.isdigit() else t for t in re.split("[^a-z0-9]+", path.lower()) if t]))
+        tokens = lambda x: re.findall(r"[^\W\d_]+|\d+", x)
+        h = [w for n in tokens(host) for w in (["#"] if n.isdigit() else U.viterbi(n, known, total))]
+        rows.append((h, ["#" if t.isdigit() else t for t in tokens(path.lower())]))
     bad = [bool(set(h) & set(U.SEEDS)) for h, _ in rows]
-    side = {b: Counter(t for (h, p), x in zip(rows, bad) if x == b for t in h + p) for b in (True, False)}
-    v = len(side[True] | side[False])
-    log = lambda b, t: math.log((side[b][t] + 1) / (sum(side[b].values()) + v))
-    want = sorted(round(math.log(sum(bad) / (len(bad) - sum(bad))) + sum(log(True, t) - log(False, t) for t in h + p), 6) for h, p in rows)
+    side = {(k, b): Counter(t for r, x in zip(rows, bad) if x == b for t in r[k]) for b in (True, False) for k in (0, 1)}
+    log = lambda k, b, t: math.log((side[k, b][t] + U.ALPHA) / (sum(side[k, b].values()) + U.ALPHA * len(side[k, True] | side[k, False])))
+    odds = lambda k, tokens: sum(log(k, True, t) - log(k, False, t) for t in tokens)
+    want = sorted(round(math.log(sum(bad) / (len(bad) - sum(bad))) + odds(0, h) + odds(1, p), 6) for h, p in rows)
     assert sorted(round(r.score, 6) for r in U.judge(df).collect()) == want
+
+
+def test_words_of_blocked_hosts_find_hosts_whose_seeds_are_withheld(spark):
+    """A seed that the model isn't told of: hosts with it are blocked for the words that they share with others, clean ones aren't."""
+    r = random.Random(9)
+    text = "win free cheap bonus pills casino poker garden house river music the"
+    lure, clean = ["win", "free", "cheap", "bonus"], ["garden", "house", "river", "music"]
+    urls = [(f"http://{r.choice(lure)}{r.choice(lure)}{r.choice(['pills', 'casino'])}{i % 5}.org/go/{i}", "told") for i in range(80)]
+    urls += [(f"http://www.{r.choice(clean)}-{r.choice(clean)}.org/de/{i}", "clean") for i in range(400)]
+    urls += [(f"http://{r.choice(lure)}{r.choice(lure)}poker.org/go/{i}", "withheld") for i in range(40)]
+    df = spark.createDataFrame([(i, u, text, k) for i, (u, k) in enumerate(urls)], "page_id long, url string, html string, kind string")
+    got = {x.page_id: x.verdict for x in U.judge(df, rules=[], seeds=[s for s in U.SEEDS if s != "poker"]).collect()}
+    share = {k: sum(got[i] == "block" for i, (_, x) in enumerate(urls) if x == k) / sum(x == k for _, x in urls) for k in ("told", "clean", "withheld")}
+    assert share["told"] == 1 and share["clean"] == 0 and share["withheld"] >= 0.7  # they also count as examples to allow
+
+
+def test_hostile_pages_take_linear_time():
+    for page in ("<script>" * 130_000, "<" * 1_000_000, "<!--" * 250_000, "<a " * 330_000, "<title>" * 150_000, "<html " * 160_000, "</script" * 120_000 + "<script>" * 10):
+        began = time.time()
+        U.text_words(page)
+        assert time.time() - began < 5
