@@ -4,8 +4,8 @@ A row's language is the most probable one given four kinds of evidence, taken as
 
     P(l | row)  ~  P(text | l) * P(declared | l) * P(suffix | l) * P(l | host)
 
-*Text*: multinomial over hashed byte trigrams, learned from at most ``SAMPLE`` labelled rows of each language (the ones of smallest
-id hash).  A text's mean log likelihood counts for at most ``WEIGHT`` trigrams, as neighbours aren't independent.
+*Text*: multinomial over hashed byte trigrams, learned from at most ``SAMPLE`` labelled rows of each of the ``LANGUAGES`` most frequent
+labels (the ones of smallest id hash).  A text's mean log likelihood counts for at most ``WEIGHT`` trigrams, as neighbours aren't independent.
 An undetermined language, uniform over trigrams, stands for text in none of the languages.
 
 *Declared* markup language and *address suffix*: shares of each value among the rows whose text alone suggests the language,
@@ -31,10 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pixelloom.llm import html as markup
 from pixelloom.llm.arrow import bound_batches, kind_of, utf8
 from pixelloom.sources.storage import materialise
 
 SAMPLE, WEIGHT, ALPHA, KAPPA = 1_000, 40, 0.5, 20.0
+#: Labels that count as languages.
+LANGUAGES = 256
 #: Hashed trigrams; the undetermined language and its prior weight in rows.
 TRIGRAMS, UNKNOWN, UNKNOWN_PRIOR = 1 << 15, "und", 0.001
 
@@ -51,14 +54,19 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 
 
 def learn(df: DataFrame, text_col: str, label_col: str, id_col: str, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages and (languages, trigrams) log probabilities from at most ``sample`` rows of each label."""
+    """Languages and (languages, trigrams) log probabilities from at most ``sample`` rows of each label.
+
+    Labels are counted first; then only ids whose hash is below a share of the label's, four times the sample if it has more rows, are ranked."""
     bound_batches(df)
-    salt = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64))  # a label may hold most rows: its candidates are cut in 64 parts first
-    by = lambda *keys: F.row_number().over(Window.partitionBy("label", *keys).orderBy(F.xxhash64("id"), "id"))
+    by = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
     rows = df.select(F.lower(F.col(label_col).cast("string")).alias("label"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body")).where("label is not null and body is not null")
-    parts = rows.select("label", "id").withColumn("salt", salt).withColumn("n", by("salt")).where(F.col("n") <= sample)
-    picked = parts.withColumn("n", by()).where(F.col("n") <= sample).select("label", "id").distinct()
-    chosen = rows.join(F.broadcast(picked), ["label", "id"])  # at most ``sample`` ids of each language
+    sizes = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
+    if not sizes:
+        return [], np.zeros((0, TRIGRAMS))
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r.label, min(1.0, 4 * sample / r["count"]))])
+    below = (F.xxhash64("id").cast("double") / 2.0**64 + 0.5) <= F.try_element_at(share, F.col("label"))
+    picked = rows.where(below).select("label", "id").distinct().withColumn("n", by).where(F.col("n") <= sample).select("label", "id")
+    chosen = rows.join(F.broadcast(picked), ["label", "id"])  # at most ``sample`` ids of each of at most LANGUAGES languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -170,9 +178,10 @@ def page_evidence(url: Column, html: Column) -> dict[str, Column]:
     """Evidence expressions of a web page: its lang attribute, and the suffix, domain and host of its address."""
     host = F.nullif(F.lower(F.regexp_extract(url, r"^[^:/?#]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     labels = F.split(host, "\\.")
-    declared = F.nullif(F.regexp_extract(html, r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z]+)", 1), F.lit(""))
+    declared = F.nullif(F.regexp_extract(html, r"(?i)<html\b[^<>]*?\slang\s*=\s*[\"']?([A-Za-z]+)", 1), F.lit(""))
     return {"declared": declared, "suffix": F.element_at(labels, -1), "domain": F.when(F.size(labels) > 1, F.array_join(F.slice(labels, -2, 2), ".")).otherwise(host), "host": host}
 
 
 def page_text(html: Column) -> Column:
-    return F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    """The visible text of pages, null for null."""
+    return F.pandas_udf(lambda pages: pages.map(markup.words_of, na_action="ignore"), "string")(html)

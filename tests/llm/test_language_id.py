@@ -71,3 +71,54 @@ def test_fusion_equals_hand_sum(spark):
         fused = score + np.append(share + np.log((1 - L.UNKNOWN_PRIOR) * prior), -math.log(3) + math.log(L.UNKNOWN_PRIOR))
         p = np.exp(fused - fused.max())
         assert got[i] == pytest.approx(1 / p.sum())
+
+
+def test_fusion_of_all_evidence_equals_brute_force(spark):
+    """Text, declaration, suffix, and host priors over suffix, domain and host; the labels are those of another table."""
+    import math
+    from collections import Counter
+
+    import numpy as np
+
+    r = random.Random(11)
+    learned = [(i, " ".join(r.choice(WORDS[x]) for _ in range(20)), x) for i, x in enumerate(list(WORDS) * 30)]
+    model = names, table = L.learn(spark.createDataFrame(learned, "doc_id long, text string, lang string"), "text", "lang", "doc_id")
+    rows = []
+    for i in range(300):
+        lang, suffix = r.choice(list(WORDS)), r.choice(["de", "fr", "org"])
+        text = r.choice([None, "", "12"] + [" ".join(r.choice(WORDS[lang]) for _ in range(r.choice([1, 2, 9])))] * 5)
+        host = r.choice([f"h{i % 4}.site{i % 3}.{suffix}", f"www.site{i % 3}.{suffix}", None])
+        rows.append((i, text, r.choice([None, "xx", lang, "de"]), host and suffix, host and f"site{i % 3}.{suffix}", host))
+    df = spark.createDataFrame(rows, "page_id long, text string, declared string, suffix string, domain string, host string").repartition(3)
+    got = {x.page_id: x for x in L.identify(df, "page_id", "text", F.col("declared"), F.col("suffix"), F.col("domain"), F.col("host"), model=model).collect()}
+    n = len(names)
+    scores, text_lang = {}, {}
+    for i, text, *_ in rows:
+        counts = L.trigrams((text or "").encode())
+        k = int(counts.sum())
+        scores[i] = np.append(table @ counts, -math.log(L.TRIGRAMS) * k) * (min(1, L.WEIGHT / k) if k else 0)
+        text_lang[i] = names[int(scores[i][:-1].argmax())] if k else None
+    shares = lambda some: np.array([sum(text_lang[x[0]] == y for x in some) for y in names], float)
+    overall = (shares(rows) + 1) / (shares(rows).sum() + n)
+    logs = {}
+    for c in (2, 3):
+        seen = Counter((x[c] if x[c] in names else "", text_lang[x[0]]) for x in rows if x[c] is not None and text_lang[x[0]])
+        t = np.array([[seen[v, y] for y in names] for v in [*names, ""]], float) + L.ALPHA
+        logs[c] = np.log(t / t.sum(0))
+    found = 0
+    for x in rows:
+        i, _, *evidence = x
+        prior = overall
+        if x[5] is not None and shares([y for y in rows if y[3:] == x[3:]]).sum():
+            for c in (4, 5, 6):
+                own = shares([y for y in rows if y[5] is not None and y[3:c] == x[3:c]])
+                prior = (own + L.KAPPA * prior) / (own.sum() + L.KAPPA)
+        fused = scores[i] + np.append(np.log((1 - L.UNKNOWN_PRIOR) * prior), math.log(L.UNKNOWN_PRIOR))
+        for c, value in zip((2, 3), evidence):
+            if value is not None:
+                fused += np.append(logs[c][names.index(value) if value in names else n], -math.log(n + 1))
+        p = np.exp(fused - fused.max())
+        assert got[i].confidence == pytest.approx(1 / p.sum()) and got[i].text_lang == text_lang[i]
+        assert got[i].lang == [*names, L.UNKNOWN][int(fused.argmax())]
+        found += text_lang[i] is None and got[i].lang != names[int(overall.argmax())]
+    assert found  # evidence beside the text decides rows without any

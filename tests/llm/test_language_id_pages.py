@@ -5,7 +5,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_page_is_judged(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
-    out = entry.queries()["op5_language_id_pages"](spark, SF).collect()
+    out = entry.queries()["op5_language_id"](spark, SF).collect()
     assert sorted(r.page_id for r in out) == sorted(r.page_id for r in pages.select("page_id").collect())
     assert all(r.lang and 0 < r.confidence <= 1 for r in out)
 
@@ -17,5 +17,11 @@ def test_suffix_is_evidence(spark, tmp_path):
     rows = [(i, f"http://h{i}.{'en' if i % 2 else 'de'}/", f"<p>{docs[1 - i % 2][1]}</p>") for i in range(200)]
     rows += [(1000, "http://new.en/", "<p>1 2 3</p>"), (1001, "http://new.de/", "<p>1 2 3</p>")]
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
-    got = {r.page_id: r.lang for r in entry.queries()["op5_language_id_pages"](spark, str(tmp_path)).collect()}
+    got = {r.page_id: r.lang for r in entry.queries()["op5_language_id"](spark, str(tmp_path)).collect()}
     assert got[1000] == got[1] == "en" and got[1001] == got[0] == "de"
+
+
+def test_every_document_is_judged(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = entry.queries()["op5_language_id_documents"](spark, SF).collect()
+    assert sorted(r.doc_id for r in out) == sorted(r.doc_id for r in docs.select("doc_id").collect())

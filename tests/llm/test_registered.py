@@ -11,7 +11,7 @@ COLUMNS = {
     "op2_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op3_url_filter": "page_id host path rule verdict",
     "op4_ngram_join": "doc_id n_shingles component_id",
-    "op5_language_id": "doc_id lang",
+    "op5_language_id": "page_id lang confidence",
     "op6_class_lm": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op7_token_files": "doc_id start n_tokens ids_crc32",
     "op8_warc_derivatives": "page_id linked",
