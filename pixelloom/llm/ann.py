@@ -1,20 +1,25 @@
 """Approximate nearest neighbours on shifted space-filling curves (operator 9).
 
 Every vector is projected several times onto a few random orthonormal directions, shifted, quantised and put
-in the order of the Hilbert curve.  Each curve's order is cut into blocks of about equal numbers of rows by approximate
-quantiles; a query is compared with its own block and the blocks on either side, on every curve, and
+in the order of the Hilbert curve.  Each curve's order is cut into blocks of about ``BLOCK_ROWS`` rows by approximate
+quantiles; a query is compared with its own block and ``reach`` blocks on either side, on every curve, and
 the curves' best are merged.  Inner products are computed in double precision on the original vectors.
 
 For the largest inner product, vectors are scaled by the largest norm and get one more coordinate that completes them
 to unit length, while queries are scaled to unit length; near on the sphere then means a large inner product.
 
-*Scale.*  A row is shuffled once a curve.  Blocks that are too large for one task, such as that of a vector with very
+*Reach.*  How far along a curve neighbours lie depends on the vectors: a few blocks where they have structure, a share of all blocks
+where they are spread evenly over the sphere.  So it is measured: the exact neighbours of ``SAMPLE`` queries (those of smallest id hash) are
+found among all rows, and the reach is the smallest at which ``TARGET`` of them are within it on some curve.
+Every row is indexed, whatever the sample.
+
+*Scale.*  A row is shuffled once a curve.  Blocks have a fixed size up to ``MOST_BLOCKS`` of them, which bounds what the driver sees: block
+bounds, block sizes and the sample's neighbours.  Blocks that are too large for one task, such as that of a vector with very
 many copies, are split by hash into chunks of at most about ``CHUNK_ROWS`` rows, and each chunk serves the block's queries
-in batches.  A chunk returns a query's ``k`` best, never all pairs.  What the driver sees are block bounds and sizes.
+in batches.  Equal bounds are one, so no block is empty for a key that holds several quantiles.  A chunk returns a query's ``k`` best, never all pairs.
 
-*Recall.*  With ``CURVES`` curves and ``BLOCKS`` blocks a query meets about half of all rows when vectors are spread evenly
-over the sphere, as in the test tables; ``tests/llm/test_ann.py`` measures recall against brute force.  Below ``BLOCK_ROWS`` rows a block
-the order is cut less, so small tables are searched in full.
+*Recall.*  ``tests/llm/test_ann.py`` measures it against brute force, on vectors with and without structure and on those of the test table.
+Below two blocks of rows the order isn't cut, so small tables are searched in full.
 
 Defined cases: vectors that are null, zero, or hold a null, NaN or infinity take no part, nor do those whose
 dimension isn't the most frequent one or whose id is null; rows of a query's
@@ -24,6 +29,7 @@ own id are not its neighbours; ties go to the smaller id; of repeated ids the be
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +40,12 @@ from pyspark.sql import functions as F
 from pixelloom.llm.arrow import bound_batches
 from pixelloom.sources.storage import materialise
 
-#: Curves; projected dimensions and bits each (at most 62 in all); blocks of a curve; blocks searched on either side.
-CURVES, DIMENSIONS, BITS, BLOCKS, REACH = 10, 10, 6, 20, 1
-#: Least rows of a block, most rows of a chunk, queries compared at once.
-BLOCK_ROWS, CHUNK_ROWS, QUERY_BATCH = 2_000, 20_000, 512
+#: Curves; projected dimensions and bits each (at most 62 in all).
+CURVES, DIMENSIONS, BITS = 10, 10, 6
+#: Rows of a block, most blocks of a curve, most rows of a chunk, queries compared at once, rows handed on at once.
+BLOCK_ROWS, MOST_BLOCKS, CHUNK_ROWS, QUERY_BATCH, DEALT_ROWS = 2_000, 4_096, 20_000, 512, 10_000
+#: Queries whose exact neighbours set the reach, and the share of these that has to be met.
+SAMPLE, TARGET = 128, 0.96
 SEED = 20
 
 
@@ -105,13 +113,78 @@ def _usable(df: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int
     return rows.where(F.size("v") == dims.dim).mapInArrow(pack, "id long, vec binary"), dims.dim, dims.norm
 
 
-def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", curves: int = CURVES, blocks: int = BLOCKS, reach: int = REACH) -> DataFrame:
+def _best(query_ids: np.ndarray, queries: np.ndarray, own: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position of the query, position in ``x``, score) of each query's ``k`` best rows of different ids, ties to the smaller id; its own id is none."""
+    score = queries @ x.T
+    score[query_ids[:, None] == own[None, :]] = -np.inf
+    by_id = score
+    if len(own) > k and len(first := np.flatnonzero(np.concatenate(([True], np.diff(np.sort(own)) > 0)))) < len(own):  # an id counts once
+        by_id = np.maximum.reduceat(score[:, np.argsort(own, kind="stable")], first, axis=1)
+    least = np.partition(by_id, -k, axis=1)[:, -k] if by_id.shape[1] > k else np.full(len(query_ids), -np.inf)
+    out = []
+    for i, q in enumerate(query_ids.tolist()):
+        at = np.flatnonzero((score[i] >= least[i] - 1e-9 * max(1.0, abs(least[i]))) & (own != q))
+        exact = (queries[i] * x[at]).sum(1)  # the same sum for equal vectors wherever they lie
+        order = np.lexsort((own[at], -exact))
+        order = order[np.sort(np.unique(own[at][order], return_index=True)[1])[:k]]
+        out.append((np.full(len(order), i), at[order], exact[order]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
+def _bounds(table: DataFrame, curves: int, parts: int) -> list[np.ndarray]:
+    """Keys at which each curve's blocks begin; equal quantiles are one bound."""
+    if parts < 2:
+        return [np.zeros(0, np.int64)] * curves
+    shares = [i / parts for i in range(1, parts)]
+    found = table.select(F.posexplode("keys").alias("curve", "key")).groupBy("curve").agg(F.percentile_approx("key", shares, max(10_000, 10 * parts)).alias("b"))
+    bounds = {r.curve: np.unique(np.array(r.b, np.int64)) for r in found.collect()}
+    return [bounds.get(c, np.zeros(0, np.int64)) for c in range(curves)]
+
+
+def _block_of(bounds: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return np.searchsorted(bounds, keys, "right")
+
+
+def _keys_of(column: pa.Array, curves: int) -> np.ndarray:
+    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.int64).reshape(-1, curves)
+
+
+def _reach(table: DataFrame, bounds: list[np.ndarray], k: int, dim: int) -> int:
+    """The least number of blocks on either side that holds TARGET of the exact neighbours of a sample of queries."""
+    curves = len(bounds)
+    sample = table.where("asked").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id", "vec", "query_keys").collect()
+    if not sample or not any(len(b) for b in bounds):
+        return 0
+    ids, vectors = np.array([r.id for r in sample]), np.stack([np.frombuffer(r.vec, "<f8") for r in sample])
+    shared = table.sparkSession.sparkContext.broadcast((ids, vectors))
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, vectors = shared.value
+        for b in batches:
+            if b.num_rows:
+                q, at, score = _best(ids, vectors, b.column(0).to_numpy(), _matrix(b.column(1), dim), k)
+                yield pa.RecordBatch.from_arrays([pa.array(q), b.column(0).take(pa.array(at)), pa.array(score), b.column(2).take(pa.array(at))], names=["q", "id", "score", "keys"])
+
+    near = table.select("id", "vec", "keys").mapInArrow(exact, "q long, id long, score double, keys array<long>")
+    w = Window.partitionBy("q").orderBy(F.desc("score"), "id")
+    found = near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("q", "keys").collect()  # SAMPLE * k rows
+    if not found:
+        return 0
+    asked = np.stack([np.array(r.query_keys, np.int64) for r in sample])[[r.q for r in found]]
+    keys = np.stack([np.array(r["keys"], np.int64) for r in found])
+    apart = np.stack([np.abs(_block_of(b, keys[:, c]) - _block_of(b, asked[:, c])) for c, b in enumerate(bounds)], axis=1).min(1)
+    return int(np.sort(apart)[min(len(apart) - 1, math.ceil(TARGET * len(apart)))])
+
+
+def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", curves: int = CURVES, reach: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best found for every query row, by inner product; ids are long integers.
 
-    ``is_query`` is a condition on the id column of ``df``; candidates are all rows of another id than the query's."""
+    ``is_query`` is a condition on the id column of ``df``; candidates are all rows of another id than the query's.  Without ``reach`` it is measured."""
     bound_batches(df)
     spark = df.sparkSession
     usable, dim, norm = _usable(df, id_col, vector_col)
+    if not dim:
+        return usable.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     directions, shifts = _directions(dim, curves, DIMENSIONS)
     bits = min(BITS, 62 // directions.shape[2])
 
@@ -124,52 +197,54 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
             own = [keys(u, directions, shifts, bits) for u in (stored, asked)]
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(list(o), pa.list_(pa.int64())) for o in own)], names=["id", "vec", "keys", "query_keys"])
 
-    indexed = usable.mapInArrow(index, "id long, vec binary, keys array<long>, query_keys array<long>") if dim else usable.select("id", F.lit(None).cast("binary").alias("vec"), F.lit(None).cast("array<long>").alias("keys"), F.lit(None).cast("array<long>").alias("query_keys")).limit(0)
-    table = materialise(indexed, "curves")
+    table = materialise(usable.mapInArrow(index, "id long, vec binary, keys array<long>, query_keys array<long>"), "curves")
     asked = df.where(is_query).select(F.col(id_col).cast("long").alias("query")).distinct()
     table = table.join(asked, F.col("id") == F.col("query"), "left").select("id", "vec", "keys", "query_keys", F.col("query").isNotNull().alias("asked"))
-    n = table.count()
-    parts = max(1, min(blocks, n // BLOCK_ROWS))
-    by_curve = table.select(F.posexplode("keys").alias("curve", "key"))
-    bounds = np.zeros((curves, parts - 1), np.int64)
-    if parts > 1:
-        for r in by_curve.groupBy("curve").agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], 10_000).alias("b")).collect():
-            bounds[r.curve] = r.b
-    cut = F.array(*[F.array(*[F.lit(int(x)) for x in b]) for b in bounds]) if parts > 1 else None
-
-    def block(curve: Column, key: Column) -> Column:
-        return F.lit(0) if cut is None else F.aggregate(F.element_at(cut, curve + 1), F.lit(0), lambda a, x: a + (x <= key).cast("int"))
-
-    found = by_curve.groupBy("curve", block(F.col("curve"), F.col("key")).alias("block")).count().collect()  # curves * blocks rows
-    chunks = np.ones((curves, parts), np.int64)
-    for r in found:
-        chunks[r.curve, r.block] = -(-r["count"] // CHUNK_ROWS)
-    shared = spark.sparkContext.broadcast((bounds, chunks))
+    bounds = _bounds(table, curves, max(1, min(MOST_BLOCKS, table.count() // BLOCK_ROWS)))
+    reach = _reach(table, bounds, k, dim) if reach is None else reach
+    limits = spark.sparkContext.broadcast(bounds)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = [np.zeros(len(b) + 1, np.int64) for b in limits.value]
+        for b in batches:
+            own = _keys_of(b.column(0), curves)
+            for c, n in enumerate(total):
+                n += np.bincount(_block_of(limits.value[c], own[:, c]), minlength=len(n))
+        for c, n in enumerate(total):
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), c)), pa.array(at), pa.array(n[at])], names=["curve", "block", "n"])
+
+    chunks = [np.ones(len(b) + 1, np.int64) for b in bounds]
+    for r in table.select("keys").mapInArrow(count, "curve long, block long, n long").groupBy("curve", "block").agg(F.sum("n").alias("n")).collect():  # a row a block
+        chunks[r.curve][r.block] = -(-r.n // CHUNK_ROWS)
+    shared = spark.sparkContext.broadcast(chunks)
     schema = "curve int, block int, chunk int, asks boolean, id long, vec binary"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        limits, many = shared.value
-        names = ["curve", "block", "chunk", "asks", "id", "vec"]
+        many = shared.value
         for b in batches:
-            own = np.stack(b.column(2).to_pylist()) if b.num_rows else np.zeros((0, curves), np.int64)
-            query = np.stack(b.column(3).to_pylist()) if b.num_rows else own
+            own, query = _keys_of(b.column(2), curves), _keys_of(b.column(3), curves)
             ids, asks = b.column(0).to_numpy(), np.flatnonzero(b.column(4).to_numpy(zero_copy_only=False))
             spread = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
-            for c in range(curves):
-                at = np.searchsorted(limits[c], own[:, c], "right")
-                yield batch(c, at, spread % many[c][at], False, np.arange(b.num_rows), b, names)
-                home = np.searchsorted(limits[c], query[asks, c], "right")
+            for c, limit in enumerate(limits.value):
+                at = _block_of(limit, own[:, c])
+                yield from dealt_rows(c, at, spread % many[c][at], False, np.arange(b.num_rows), b)
+                home = _block_of(limit, query[asks, c])
                 for near in range(-reach, reach + 1):
-                    there = (home + near >= 0) & (home + near < len(many[c]))
-                    times = many[c][home[there] + near]
-                    rows = np.repeat(asks[there], times)
-                    chunk = np.arange(len(rows)) - np.repeat(np.cumsum(times) - times, times)
-                    yield batch(c, np.repeat(home[there] + near, times), chunk, True, rows, b, names)
-
-    def batch(c: int, at: np.ndarray, chunk: np.ndarray, asks: bool, rows: np.ndarray, b: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
-        take = pa.array(rows)
-        columns = [pa.array(np.full(len(rows), c, np.int32)), pa.array(at.astype(np.int32)), pa.array(chunk.astype(np.int32)), pa.array(np.full(len(rows), asks)), b.column(0).take(take), b.column(1).take(take)]
-        return pa.RecordBatch.from_arrays(columns, names=names)
+                    there = np.flatnonzero((home + near >= 0) & (home + near < len(many[c])))
+                    for lo in range(0, len(there), QUERY_BATCH):
+                        some = there[lo : lo + QUERY_BATCH]
+                        times = many[c][home[some] + near]
+                        for k in range(int(times.max(initial=0))):  # a block of many chunks: one after the other
+                            has = some[times > k]
+                            yield from dealt_rows(c, home[has] + near, np.full(len(has), k), True, asks[has], b)
+
+    def dealt_rows(c: int, at: np.ndarray, chunk: np.ndarray, asks: bool, rows: np.ndarray, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(rows), DEALT_ROWS):
+            cut = slice(lo, lo + DEALT_ROWS)
+            take = pa.array(rows[cut])
+            columns = [pa.array(np.full(len(take), c, np.int32)), pa.array(at[cut].astype(np.int32)), pa.array(chunk[cut].astype(np.int32)), pa.array(np.full(len(take), asks)), b.column(0).take(take), b.column(1).take(take)]
+            yield pa.RecordBatch.from_arrays(columns, names=["curve", "block", "chunk", "asks", "id", "vec"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, ids, rows = None, [], []  # the chunk's candidates, which come before its queries
@@ -192,23 +267,10 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
                     if x is None:
                         x, own = np.concatenate(rows), np.concatenate(ids)
                         rows, ids = [x], [own]
-                    for q in range(0, part.num_rows, QUERY_BATCH):
-                        some = part.slice(q, QUERY_BATCH)
-                        yield best(some.column(4).to_numpy(), _matrix(some.column(5), dim), own, x)
-
-    def best(query_ids: np.ndarray, queries: np.ndarray, own: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-        score = queries @ x.T
-        score[query_ids[:, None] == own[None, :]] = -np.inf
-        least = np.partition(score, -k, axis=1)[:, -k] if len(own) > k else np.full(len(query_ids), -np.inf)
-        out = [[], [], []]
-        for i, q in enumerate(query_ids.tolist()):
-            at = np.flatnonzero((score[i] >= least[i] - 1e-9 * max(1.0, abs(least[i]))) & (own != q))
-            exact = (queries[i] * x[at]).sum(1)  # the same sum for equal vectors wherever they lie
-            order = np.lexsort((own[at], -exact))[:k]
-            out[0] += [q] * len(order)
-            out[1] += own[at][order].tolist()
-            out[2] += exact[order].tolist()
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+                    for lo_q in range(0, part.num_rows, QUERY_BATCH):
+                        some = part.slice(lo_q, QUERY_BATCH)
+                        q, at, score = _best(some.column(4).to_numpy(), _matrix(some.column(5), dim), own, x, k)
+                        yield pa.RecordBatch.from_arrays([some.column(4).take(pa.array(q)), pa.array(own[at]), pa.array(score)], names=["query_id", "vec_id", "score"])
 
     dealt = table.mapInArrow(deal, schema).repartition("curve", "block", "chunk").sortWithinPartitions("curve", "block", "chunk", "asks")
     pairs = dealt.mapInArrow(search, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

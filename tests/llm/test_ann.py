@@ -26,9 +26,9 @@ def brute(rows, k):
     return out
 
 
-@pytest.mark.parametrize("blocks,least", [(20, 2_000), (6, 20)])
-def test_equals_brute_force_and_recall(spark, monkeypatch, blocks, least):
-    monkeypatch.setattr(ann, "BLOCK_ROWS", least)
+@pytest.mark.parametrize("block_rows", [2_000, 20])
+def test_equals_brute_force_and_recall(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", block_rows)
     monkeypatch.setattr(ann, "CHUNK_ROWS", 64)
     r = np.random.default_rng(1)
     centres = r.normal(size=(12, 8))
@@ -47,7 +47,7 @@ def test_equals_brute_force_and_recall(spark, monkeypatch, blocks, least):
         scores = [(-x[2], x[1]) for x in got[q]]
         assert scores == sorted(scores)
         hits += len({i for _, i in best} & {x[1] for x in got[q]})
-        if blocks == 20:  # one block: all candidates are met
+        if block_rows == 2_000:  # one block: all candidates are met
             assert [x[1] for x in got[q]] == [i for _, i in best]
     assert hits / (20 * len(want)) >= 0.9
 
@@ -56,3 +56,50 @@ def test_few_rows_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0])], "vec_id long, embedding array<float>")
     assert [tuple(x) for x in ann.nearest(df, F.col("vec_id") % 20 == 0).collect()] == [(0, 1, 1, 0.5)]
     assert ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_repeated_ids_count_once(spark, monkeypatch):
+    """An id 25 times among 35 others: its best row counts, and the others still fill the ranks, in one chunk or in several."""
+    r = np.random.default_rng(5)
+    rows = [(0, [1.0] * 8)] + [(7, [2.0 - 0.01 * i] * 8) for i in range(25)] + [(10 + i, r.normal(size=8).tolist()) for i in range(35)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    best = {}
+    for i, v in rows[1:]:
+        best[i] = max(best.get(i, -1e9), float(np.sum(v)))
+    want = sorted(((-s, i) for i, s in best.items()))[:20]
+    for chunk in (20_000, 9):
+        monkeypatch.setattr(ann, "CHUNK_ROWS", chunk)
+        got = ann.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()
+        assert [x.rank for x in got] == list(range(1, 21)) and [x.vec_id for x in got] == [i for _, i in want]
+        assert [x.score for x in got] == pytest.approx([-s for s, _ in want])
+
+
+def _recall(spark, x, **how):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, **how).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, len(x), 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-score, kind="stable")[:20].tolist()))
+    return hits / (20 * len(got))
+
+
+def test_recall_on_the_tables_vectors(spark, monkeypatch):
+    """The vectors of the test table, which are spread evenly, in blocks of fixed size: the reach grows until the recall is there."""
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 100)
+    x = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()], float)
+    assert _recall(spark, x) >= 0.9
+
+
+def test_reach_is_small_where_vectors_have_structure(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 50)
+    r = np.random.default_rng(3)
+    centres = r.normal(size=(40, 16))
+    x = centres[np.arange(2_000) % 40] + 0.05 * r.normal(size=(2_000, 16))
+    found = []
+    measured = ann._reach
+    monkeypatch.setattr(ann, "_reach", lambda *a: found.append(measured(*a)) or found[-1])
+    assert _recall(spark, x) >= 0.9 and found[0] <= 2  # of 40 blocks
