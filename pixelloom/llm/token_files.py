@@ -24,7 +24,6 @@ are read.
 
 from __future__ import annotations
 
-import gc
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -143,25 +142,21 @@ def _raw_blocks(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str
             columns = [pa.array([part], pa.int32()), pa.array([start], pa.int64()), pa.array([names], pa.list_(id_type) if id_type else None), pa.array([sizes], pa.list_(pa.int64())), pa.array([b"".join(ids)], pa.binary()), pa.nulls(1, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["part", "part_start", "doc_ids", "sizes", "ids", "counts"])
 
-        gc.disable()  # nothing here is cyclic, and the collector would walk the memo again and again
-        try:
-            for b in batches:
-                for name, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                    packed = encode(text.as_py()) + end
-                    names.append(name)
-                    sizes.append(len(packed) // len(end))
-                    ids.append(packed)
-                    n += sizes[-1]
-                    if n >= block_ids:
-                        yield block()
-                        start, names, sizes, ids, n = start + n, [], [], [], 0
-            if names:
-                yield block()
-            there = np.flatnonzero(counts)
-            columns = [*(pa.nulls(1, k) for k in kinds[:5]), pa.array([np.stack([there, counts[there]]).astype("<i8").tobytes()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "part_start", "doc_ids", "sizes", "ids", "counts"])
-        finally:
-            gc.enable()
+        for b in batches:
+            for name, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                packed = encode(text.as_py()) + end
+                names.append(name)
+                sizes.append(len(packed) // len(end))
+                ids.append(packed)
+                n += sizes[-1]
+                if n >= block_ids:
+                    yield block()
+                    start, names, sizes, ids, n = start + n, [], [], [], 0
+        if names:
+            yield block()
+        there = np.flatnonzero(counts)
+        columns = [*(pa.nulls(1, k) for k in kinds[:5]), pa.array([np.stack([there, counts[there]]).astype("<i8").tobytes()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "part_start", "doc_ids", "sizes", "ids", "counts"])
 
     return picked.repartitionByRange("id").sortWithinPartitions("id", "body").mapInArrow(run, _RAW.format(kind=kind))
 
