@@ -26,12 +26,23 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+#: Bytes that ``map_batches`` works on at once: what a worker holds beside a batch is in proportion to these.
+SLICE_BYTES = 1 << 20
+
+
+def slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about SLICE_BYTES, of a row at least."""
+    step = max(1, b.num_rows * SLICE_BYTES // max(1, b.nbytes))
+    for lo in range(0, b.num_rows, step):
+        yield b.slice(lo, step)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``fn`` over every batch of ``df``; ``fn`` returns a batch in the order of ``schema``."""
+    """``fn`` over every batch of ``df``, slice by slice; ``fn`` returns a batch in the order of ``schema``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield fn(b)
+            yield from map(fn, slices(b))
 
     bound_batches(df)
     return df.mapInArrow(run, schema)

@@ -148,7 +148,7 @@ MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_language_id_do
 @query
 def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata and conversion records of every page, read back."""
-    made = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    made = warc.records(table(spark, sf_dir, "pages"))
     got = warc.read_back(made)
     return got.select(
         "page_id",

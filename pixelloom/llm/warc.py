@@ -124,27 +124,43 @@ def derive(source: bytes) -> tuple[bytes, bytes] | tuple[None, None]:
     )
 
 
+def _responses(b: pa.RecordBatch) -> list[bytes]:
+    """The response records of a batch of (id, address, html), named by id and address."""
+    return [response(f"{i} {u}", u, h) for i, u, h in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)]
+
+
+def _derived(names: list[str], ids: pa.Array, records: list[bytes | None]) -> pa.RecordBatch:
+    made = [derive(x) if x is not None else (None, None) for x in records]
+    return pa.RecordBatch.from_arrays([ids, *(pa.array(x, pa.binary()) for x in (records, [m[0] for m in made], [m[1] for m in made]))], names=names)
+
+
+def _pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    return pages.select(F.col(id_col), F.col(url_col).cast("string"), F.col(html_col).cast("string"))
+
+
 def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, record): each page as a response record, named by its id and address."""
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array([response(f"{i} {u}", u, h) for i, u, h in rows], pa.binary())], names=[id_col, "record"])
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(_responses(b), pa.binary())], names=[id_col, "record"])
 
-    picked = pages.select(F.col(id_col), F.col(url_col).cast("string"), F.col(html_col).cast("string"))
+    picked = _pages(pages, id_col, url_col, html_col)
     return map_batches(picked, run, f"`{id_col}` {kind_of(picked, id_col)}, record binary")
 
 
+def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """What ``derivatives`` gives for the ``responses`` of pages, in one pass and by one set of workers."""
+    names = [id_col, "record", "metadata", "conversion"]
+    picked = _pages(pages, id_col, url_col, html_col)
+    return map_batches(picked, lambda b: _derived(names, b.column(0), _responses(b)), f"`{id_col}` {kind_of(picked, id_col)}, record binary, metadata binary, conversion binary")
+
+
 def derivatives(found: DataFrame, id_col: str = "page_id") -> DataFrame:
     """(id, record, metadata, conversion): each response record with those derived from it; a null record, or one that has no derivatives, gives nulls."""
 
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        made = [derive(x) if x is not None else (None, None) for x in b.column(1).to_pylist()]
-        columns = [b.column(0), b.column(1), *(pa.array([m[i] for m in made], pa.binary()) for i in (0, 1))]
-        return pa.RecordBatch.from_arrays(columns, names=[id_col, "record", "metadata", "conversion"])
-
+    names = [id_col, "record", "metadata", "conversion"]
     picked = found.select(F.col(id_col), "record")
-    return map_batches(picked, run, f"`{id_col}` {kind_of(picked, id_col)}, record binary, metadata binary, conversion binary")
+    return map_batches(picked, lambda b: _derived(names, b.column(0), b.column(1).to_pylist()), f"`{id_col}` {kind_of(picked, id_col)}, record binary, metadata binary, conversion binary")
 
 
 def read_back(found: DataFrame, id_col: str = "page_id") -> DataFrame:

@@ -34,6 +34,7 @@ def test_frames(spark, tmp_path):
     rows = [(1, "http://a/", PAGE, 0), (2, None, None, 0), (3, "u", "", 0), (3, "u", "", 0), (None, "v", "<p>x" * 50_000, 0)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, record int")
     made = W.derivatives(W.responses(df))
+    assert sorted(map(repr, W.records(df).collect())) == sorted(map(repr, made.collect()))
     got = sorted(((r.page_id, r.target_uri, r.outlinks, r.text) for r in W.read_back(made).collect()), key=str)
     assert got == sorted([(1, "http://a/", 2, W.plain_text(PAGE)), (2, None, 0, ""), (3, "u", 0, ""), (3, "u", 0, ""), (None, "v", 0, "\n".join("x" * 50_000))], key=str)
     W.write(made, f"file://{tmp_path}/w")
