@@ -2,15 +2,16 @@
 
 Every vector is projected several times onto a few random orthonormal directions, shifted, quantised and put
 in the order of the Hilbert curve.  Each curve's order is cut into blocks of about ``BLOCK_ROWS`` rows by approximate
-quantiles; a query is compared with its own block and ``reach`` blocks on either side, on every curve, and
-the curves' best are merged.  Inner products are computed in double precision on the original vectors.
+quantiles, and as many of these as the reach says are merged into one window; a query is compared with its own window and the
+neighbouring ones, on every curve, and the curves' best are merged.  Inner products are computed in double precision on the original vectors.
 
 For the largest inner product, vectors are scaled by the largest norm and get one more coordinate that completes them
 to unit length, while queries are scaled to unit length; near on the sphere then means a large inner product.
 
 *Reach.*  How far along a curve neighbours lie depends on the vectors: a few blocks where they have structure, a share of all blocks
 where they are spread evenly over the sphere.  So it is measured: the exact neighbours of ``SAMPLE`` queries (those of smallest id hash) are
-found among all rows, and the reach is the smallest at which ``TARGET`` of them are within it on some curve.
+found among all rows, and the reach is the smallest number of blocks at which ``TARGET`` of them are within it on some curve, one at least.
+What a query gives and takes is in proportion to three windows a curve whatever the reach.
 Every row is indexed, whatever the sample.
 
 *Scale.*  A row is shuffled once a curve.  Blocks have a fixed size up to ``MOST_BLOCKS`` of them, which bounds what the driver sees: block
@@ -201,7 +202,8 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
     asked = df.where(is_query).select(F.col(id_col).cast("long").alias("query")).distinct()
     table = table.join(asked, F.col("id") == F.col("query"), "left").select("id", "vec", "keys", "query_keys", F.col("query").isNotNull().alias("asked"))
     bounds = _bounds(table, curves, max(1, min(MOST_BLOCKS, table.count() // BLOCK_ROWS)))
-    reach = _reach(table, bounds, k, dim) if reach is None else reach
+    reach = max(1, _reach(table, bounds, k, dim) if reach is None else reach)
+    bounds = [b[reach - 1 :: reach] for b in bounds]  # windows of ``reach`` blocks: what is within the reach is in a neighbouring one
     limits = spark.sparkContext.broadcast(bounds)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +232,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
                 at = _block_of(limit, own[:, c])
                 yield from dealt_rows(c, at, spread % many[c][at], False, np.arange(b.num_rows), b)
                 home = _block_of(limit, query[asks, c])
-                for near in range(-reach, reach + 1):
+                for near in (-1, 0, 1):
                     there = np.flatnonzero((home + near >= 0) & (home + near < len(many[c])))
                     for lo in range(0, len(there), QUERY_BATCH):
                         some = there[lo : lo + QUERY_BATCH]
