@@ -1,7 +1,11 @@
-"""Similarity functions as Spark columns: no Python in any of them.  Tags name the rows of the operator inventory."""
+"""Similarity functions as Spark columns; only ``local_similarity`` runs Python, over Arrow batches.  Tags name the rows of the operator inventory."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +16,11 @@ def _zero() -> Column:
     return F.lit(0.0)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once: inside a lambda, an outer expression would be worked out for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), _zero(), lambda s, x: s + x)
 
@@ -22,8 +31,7 @@ def norm(a: Column) -> Column:
 
 def normalise(a: Column) -> Column:
     """Unit vector; a zero vector stays."""
-    size = norm(a)
-    return F.transform(a, lambda x: F.when(size == 0, x.cast("double")).otherwise(x / size))
+    return let(norm(a), lambda size: F.transform(a, lambda x: F.when(size == 0, x.cast("double")).otherwise(x / size)))
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -44,12 +52,15 @@ def color_cosine(a: Column, b: Column) -> Column:
 
 def binarise(v: Column, share: float = 0.6) -> Column:
     """X1, last step: a bit for each value above the linear percentile of its own vector."""
-    ordered = F.array_sort(F.transform(v, lambda x: x.cast("double")))
     at = (F.size(v) - 1) * share
     low = F.floor(at).cast("int")
-    a, b = F.get(ordered, low), F.get(ordered, F.least(low + 1, F.size(v) - 1))
-    cut = a + (b - a) * (at - low)
-    return F.transform(v, lambda x: (x.cast("double") > cut).cast("tinyint"))
+
+    def cut(ordered: Column) -> Column:
+        a, b = F.get(ordered, low), F.get(ordered, F.least(low + 1, F.size(v) - 1))
+        return a + (b - a) * (at - low)
+
+    # sort_array compares natively; array_sort would call an interpreted comparator for every pair
+    return let(let(F.sort_array(v.cast("array<double>")), cut), lambda c: F.transform(v, lambda x: (x.cast("double") > c).cast("tinyint")))
 
 
 def pack_bits(bits: Column) -> Column:
@@ -104,17 +115,54 @@ def color_match(similarity: Column, global_cosine: Column, least: float = 0.7, r
     return F.coalesce(similarity >= least - relief * F.coalesce(global_cosine, _zero()), F.lit(False))
 
 
+def _ratio_share(a: np.ndarray, b: np.ndarray, ratio: float, sure: int) -> float:
+    """X20 of two descriptor matrices, in blocks of a's rows, so that memory is bounded by b."""
+    n = len(a)
+    if not n or not len(b):
+        return 0.0
+    good = few = 0.0
+    for lo in range(0, n, step := max(1, (1 << 20) // max(1, b.size))):
+        d = np.sqrt(((a[lo : lo + step, None] - b[None]) ** 2).sum(2))
+        if n < 2 or len(b) < 2:
+            few += (1 / (1 + d.min(1))).sum()
+        else:
+            two = np.partition(d, 1, axis=1)
+            good += (two[:, 0] < ratio * two[:, 1]).sum()
+    return float(few / n if n < 2 or len(b) < 2 else good / n * min(1.0, n / sure))
+
+
 def local_similarity(a: Column, b: Column, ratio: float = 0.75, sure: int = 10) -> Column:
     """Share of a's descriptors whose nearest in b is below ``ratio`` of the second nearest, times min(1, n / ``sure``).
 
-    With fewer than two descriptors on a side: the mean of 1 / (1 + nearest distance).  0 if a side has none."""
-    distances = lambda x: F.array_sort(F.transform(b, lambda y: l2(x, y)))
-    near = F.transform(a, lambda x: F.slice(distances(x), 1, 2))
-    n = F.size(a)
-    few = F.aggregate(near, _zero(), lambda s, d: s + 1 / (1 + F.get(d, F.lit(0)))) / n
-    good = F.aggregate(near, F.lit(0), lambda s, d: s + (F.get(d, F.lit(0)) < ratio * F.get(d, F.lit(1))).cast("int"))
-    score = F.when((n < 2) | (F.size(b) < 2), few).otherwise(good / n * F.least(F.lit(1.0), n / sure))
-    return F.when((n > 0) & (F.size(b) > 0), score).otherwise(_zero())
+    With fewer than two descriptors on a side: the mean of 1 / (1 + nearest distance).  0 if a side has none or is missing, or if
+    descriptors differ in length.  An Arrow function: pairs of one shape are scored together, in steps of bounded memory."""
+
+    def matrix(x: object) -> np.ndarray | None:
+        try:
+            out = np.array([np.asarray(r, float) for r in x]) if x is not None and len(x) else np.zeros((0, 0))
+        except (ValueError, TypeError):
+            return None
+        return out if out.ndim == 2 else None
+
+    def run(left: pd.Series, right: pd.Series) -> pd.Series:
+        out, shapes = np.zeros(len(left)), {}
+        for i, (x, y) in enumerate(zip(map(matrix, left), map(matrix, right), strict=True)):
+            if x is not None and y is not None and x.size and y.size and x.shape[1] == y.shape[1]:
+                shapes.setdefault((x.shape, y.shape), []).append((i, x, y))
+        for (shape, other), rows in shapes.items():
+            cells = shape[0] * other[0] * shape[1]
+            if cells > 1 << 18 or min(shape[0], other[0]) < 2:
+                for i, x, y in rows:
+                    out[i] = _ratio_share(x, y, ratio, sure)
+                continue
+            for lo in range(0, len(rows), step := max(1, (1 << 20) // cells)):
+                some = rows[lo : lo + step]
+                x, y = np.stack([r[1] for r in some]), np.stack([r[2] for r in some])
+                two = np.partition(np.sqrt(((x[:, :, None] - y[:, None]) ** 2).sum(3)), 1, axis=2)
+                out[[r[0] for r in some]] = (two[..., 0] < ratio * two[..., 1]).sum(1) / shape[0] * min(1.0, shape[0] / sure)
+        return pd.Series(out)
+
+    return F.pandas_udf(run, "double")(a, b)
 
 
 def quality(stored: Column, vector: Column, sharpness: Column, path: Column) -> Column:
