@@ -8,8 +8,9 @@ next one's ``docs``.  All but the last return the columns of ``documents``.
 * ``decontamination`` cuts benchmark windows out of the texts, and drops documents that mostly consist of them.
 * ``byte_bpe`` encodes the texts and decodes the ids again.
 
-Defined cases: documents without text are kept with their declared language and end with no tokens; of rows
-of equal id, a stage drops all or none; null ids are never dropped by id; empty tables give empty tables.
+Defined cases: documents without text are kept with their declared language and end with no tokens; the language stage judges
+rows, whatever their ids, and rows of equal text, language and source alike; the near-duplicate stage goes by ids: of rows of equal id it drops all or
+none, and it keeps rows without one; empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -22,12 +23,18 @@ from pyspark.sql import functions as F
 from pixelloom.llm import bpe, decontaminate, language_id, ngram_join
 from pixelloom.sources.storage import materialise
 
+#: The language stage's key of a row, while it runs.
+KEY = "_language_evidence"
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language_id.identify(docs, "doc_id", "text", declared=F.col("lang"), host=F.col("source"), label_col="lang")
-    kept = (F.col("lang") != language_id.UNKNOWN) & (F.col("confidence") >= 0.5)
-    gone = found.groupBy(F.col("doc_id").alias("gone")).agg(F.max(kept).alias("kept")).where("not kept").select("gone")
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    evidence = [F.col(c) for c in ("text", "lang", "source")]
+    key = F.concat_ws("-", *[F.hex(F.xxhash64(F.lit(seed), *evidence, *[c.isNull() for c in evidence])) for seed in (1, 2)])  # 128 bits of all that is judged
+    keyed = docs.withColumn(KEY, key)
+    model = language_id.learn(docs, "text", "lang", "doc_id")
+    found = language_id.identify(keyed, KEY, "text", declared=F.col("lang"), host=F.col("source"), model=model)
+    gone = found.where((F.col("lang") == language_id.UNKNOWN) | (F.col("confidence") < 0.5)).select(F.col(KEY).alias("_gone")).distinct()
+    return keyed.join(gone, F.col(KEY) == F.col("_gone"), "left_anti").select(*[keyed[c] for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
