@@ -68,3 +68,13 @@ def test_undetermined_language_goes(spark, folder):
     noise = spark.createDataFrame([(900, "жзик гдшщ ъыьэ юячс " * 50, None, None, 12)], docs.schema)
     kept = corpus_pipeline.identify_language(spark, docs.unionByName(noise), path)
     assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_rejection_goes_by_row(spark, folder):
+    """Undetermined rows without an id, or with the id of a kept row, go; the kept row stays, and so do extra columns."""
+    path, _, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet").selectExpr("*", "doc_id as id", "text as body")
+    noise = "жзик гдшщ ъыьэ юячс " * 50
+    more = spark.createDataFrame([(None, noise, None, None, 12, None, "x"), (0, noise, None, "s1", 12, 0, "x"), (0, noise, None, None, 12, 0, "x")], docs.schema)
+    kept = corpus_pipeline.identify_language(spark, docs.unionByName(more), path)
+    assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
