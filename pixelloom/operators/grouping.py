@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelloom.operators.components import connected_components
+from pixelloom.operators.numbering import numbered
 
 
 def components_of(members: DataFrame, edges: DataFrame, gid: str = "gid") -> DataFrame:
@@ -27,17 +28,11 @@ def with_size(members: DataFrame, gid: str = "gid") -> DataFrame:
 
 
 def number_groups(members: DataFrame, gid: str = "gid", has_hash: Column | None = None) -> DataFrame:
-    """``group_id`` counts from 1 by the first ord of a group, groups with a hash first.
-
-    The window runs over groups, in ranges of their order: each range is numbered on its own and moved by the sizes before it."""
-    first = F.min("ord").alias("first")
-    groups = members.groupBy(F.col(gid).alias("_g")).agg(first, (F.max(has_hash.cast("int")) if has_hash is not None else F.lit(1)).alias("hash"))
-    ranged = groups.repartitionByRange(F.desc("hash"), F.asc("first")).withColumn("part", F.spark_partition_id())
-    own = Window.partitionBy("part").orderBy(F.desc("hash"), "first")
-    local = ranged.withColumn("n", F.row_number().over(own))
-    before = local.groupBy("part").agg(F.count("*").alias("m")).withColumn("before", F.coalesce(F.sum("m").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = local.join(F.broadcast(before.select("part", "before")), "part").select("_g", (F.col("n") + F.col("before")).alias("group_id"))  # a row a partition
-    return members.join(numbered, F.col(gid).eqNullSafe(F.col("_g"))).drop("_g")
+    """``group_id`` counts from 1 by the first ord of a group, groups with a hash first."""
+    flag = F.max(has_hash.cast("int")) if has_hash is not None else F.lit(1)
+    groups = members.groupBy(F.col(gid).alias("_g")).agg(F.min("ord").alias("_first"), flag.alias("_hash"))
+    placed = numbered(groups, [F.desc("_hash"), F.asc("_first")]).select("_g", (F.col("n") + 1).alias("group_id"))
+    return members.join(placed, F.col(gid).eqNullSafe(F.col("_g"))).drop("_g")
 
 
 def chunks(members: DataFrame, n: int, gid: str = "gid", drop_single: bool = False) -> DataFrame:
@@ -100,13 +95,11 @@ def directed_reach(members: DataFrame, edges: DataFrame, keys: list[str]) -> Dat
     return members.join(found.select(F.col("ord").alias("_o"), "reach"), F.col("ord") == F.col("_o")).drop("_o")
 
 
-def merge_by_first(groups: Iterable[list[str]]) -> list[list[str]]:
-    """A list whose first member is already placed is absorbed there; any other is added, and its members then belong to it.
-
-    For the lists of one parent group (at most a stage's cap); the identity on disjoint lists."""
+def _merged_by_first(lists: Iterable[list[str]]) -> list[list[str]]:
+    """G6 for the lists of one parent group: one whose first member is already placed is absorbed there; any other is added, and its members then belong to it."""
     out: list[list[str]] = []
     home: dict[str, int] = {}
-    for own in groups:
+    for own in lists:
         if not own:
             continue
         at = home.get(own[0])
@@ -118,3 +111,18 @@ def merge_by_first(groups: Iterable[list[str]]) -> list[list[str]]:
             out[at] += [p for p in own if p not in out[at]]
             home.update({p: home.get(p, at) for p in own})
     return out
+
+
+def merge_by_first(lists: DataFrame, parent: str = "gid", order: str = "k", members: str = "members") -> DataFrame:
+    """(parent, subgroup, position, member) of the lists (parent, order, members) after merging by first member; the identity on disjoint lists.
+
+    The lists of one parent are those of a group within a stage's cap, so one parent is a bounded task; parents run in parallel.
+    Empty lists and null members are left out."""
+    kind, item = lists.schema[parent].dataType.simpleString(), lists.schema[members].dataType.elementType.simpleString()
+
+    def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        found = _merged_by_first([[m for m in own if m is not None] for own in rows.sort_values("_k")["_m"] if own is not None])
+        return pd.DataFrame([(key[0], g, i, m) for g, own in enumerate(found) for i, m in enumerate(own)], columns=[parent, "subgroup", "position", "member"])
+
+    picked = lists.select(F.col(parent), F.col(order).alias("_k"), F.col(members).alias("_m"))
+    return picked.groupBy(parent).applyInPandas(merge, f"`{parent}` {kind}, subgroup long, position long, member {item}")

@@ -1,4 +1,4 @@
-"""Group statistics, thresholds, best members and reports."""
+"""Group statistics, thresholds, best members and reports."""
 
 from __future__ import annotations
 
@@ -35,6 +35,23 @@ def adaptive_thresholds(statistics: DataFrame, global_: float = 0.85, local: flo
     return statistics.select(F.when(big, F.least(F.lit(0.95), g * 1.05)).otherwise(g).alias("global_threshold"), F.when(big, F.least(F.lit(0.9), loc * 1.05)).otherwise(loc).alias("local_threshold"))
 
 
+def thresholds_by_mean_size(sizes: DataFrame, global_: float = 0.85, local: float = 0.75, size: str = "size") -> DataFrame:
+    """The older rule, from the mean group size: over 10 raises the global threshold by a tenth, under 3 lowers it by a tenth.
+
+    Its local threshold is a number of matches that never falls below 10 or 6; with a share such as 0.75 it is therefore 10, 6 or unchanged."""
+    mean = F.col("mean_size")
+    return sizes.agg(F.avg(size).alias("mean_size")).select(
+        F.when(mean > 10, global_ * 1.1).when(mean < 3, global_ * 0.9).otherwise(F.lit(global_)).alias("global_threshold"),
+        F.when(mean > 10, F.greatest(F.lit(local), F.lit(10.0))).when(mean < 3, F.greatest(F.lit(local - 2), F.lit(6.0))).otherwise(F.lit(local)).alias("local_threshold"),
+    )
+
+
+def summary(members: DataFrame, scores: DataFrame, gid: str = "gid") -> DataFrame:
+    """One row: groups, duplicates, sizes and the mean of all known similarities (null without any)."""
+    sizes = group_sizes(members, gid).agg(F.count("*").alias("groups"), F.coalesce(F.sum(F.col("size") - 1), F.lit(0)).alias("duplicates"), F.avg("size").alias("mean_size"), F.max("size").alias("max_size"), F.min("size").alias("min_size"))
+    return sizes.join(scores.agg(F.avg("score").alias("mean_similarity")))  # one row each
+
+
 def with_status(members: DataFrame, gid: str = "gid", quality: str = "quality") -> DataFrame:
     """A4: ``status`` Best for the first of the highest quality in a group (by ord), else Duplicate; ``size`` of the group.
 
@@ -92,8 +109,11 @@ def largest_groups(members: DataFrame, gid: str = "gid", n: int = 3, shown: int
     """The ``n`` largest groups, then smallest id, with their first members by ord."""
     top = group_sizes(members, gid).orderBy(F.desc("size"), gid).limit(n).select(F.col(gid).alias("_g"), "size")
     rows = members.join(F.broadcast(top), F.col(gid) == F.col("_g"))  # n rows
-    ranked = rows.withColumn("position", F.row_number().over(Window.partitionBy(gid).orderBy("ord")))
-    return ranked.where(F.col("position") <= shown).select(gid, "size", "position", "path")
+    first = F.array_sort(F.collect_list(F.struct("ord", "path")))
+    parts = rows.withColumn("_salt", F.pmod(F.xxhash64("ord"), F.lit(64)))  # a group may hold a third of all rows: its parts are cut first
+    ranked = parts.withColumn("_k", F.row_number().over(Window.partitionBy(gid, "_salt").orderBy("ord"))).where(F.col("_k") <= shown)
+    kept = ranked.groupBy(gid, "size").agg(F.slice(first, 1, shown).alias("_f"))
+    return kept.select(gid, "size", F.posexplode("_f").alias("_at", "_m")).select(gid, "size", (F.col("_at") + 1).alias("position"), "_m.path")
 
 
 def status_counts(rows: DataFrame, status: str = "Status") -> DataFrame:
@@ -128,13 +148,3 @@ def newest(rows: DataFrame, key: str, seq: str, most: int) -> DataFrame:
     The cut is found on the keys alone, so only a bounded number of sequence numbers is sorted."""
     last = rows.groupBy(key).agg(F.max(seq).alias(seq))
     return last.orderBy(F.desc(seq), key).limit(most)
-
-
-def moving_average(rows: DataFrame, partition: str, order: list[str], value: str, n: int = 100) -> DataFrame:
-    """Mean of the last ``n`` values."""
-    return rows.withColumn("moving_average", F.avg(value).over(Window.partitionBy(partition).orderBy(*order).rowsBetween(-(n - 1), 0)))
-
-
-def round_robin(rows: DataFrame, ord_col: str, n: int) -> DataFrame:
-    """Worker ``ord mod n``; ord numbers the rows, so no global sort is needed."""
-    return rows.withColumn("worker", F.pmod(F.col(ord_col), F.lit(n)))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pixelloom.functions.paths import is_image
 from pixelloom.functions.vectors import path_key
+from pixelloom.operators.numbering import numbered
 
 FEATURES = T.StructType(
     [
@@ -33,12 +34,7 @@ def list_images(spark: SparkSession, root: str, prefix: str | None = None) -> Da
 
 def with_ord(catalog: DataFrame, order: str = "path") -> DataFrame:
     """(.., ord): an explicit order, numbered range by range so that no task sorts the whole catalog."""
-    ranged = catalog.repartitionByRange(order).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1)
-    counts = local.groupBy(F.col("_part").alias("_p")).agg(F.count("*").alias("_m"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_m").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_before")
-    numbered = local.join(F.broadcast(before), F.col("_part") == F.col("_p"))  # a row a partition
-    return numbered.withColumn("ord", (F.col("_n") + F.col("_before")).cast("long")).drop("_part", "_n", "_p", "_before")
+    return numbered(catalog, [order], name="ord")
 
 
 def read_images(spark: SparkSession, root: str, drop_invalid: bool = False) -> DataFrame:
@@ -66,9 +62,9 @@ def image_pairs(pairs: DataFrame, images: DataFrame) -> DataFrame:
     return both.withColumn("a", F.when(fine, F.col("a"))).withColumn("b", F.when(fine, F.col("b")))
 
 
-def read_listing(spark: SparkSession, path: str) -> DataFrame:
-    """C4: (path, timestamp) of a JSON listing cache."""
-    found = spark.read.schema("timestamp string, blobs array<string>").json(path, multiLine=True)
+def read_listing(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """C4: (path, timestamp) of a JSON listing cache: one document, or one in each line."""
+    found = spark.read.schema("timestamp string, blobs array<string>").json(path, multiLine=not lines)
     return found.select(F.explode("blobs").alias("path"), F.to_timestamp("timestamp").alias("timestamp"))
 
 
@@ -116,6 +112,13 @@ def having_features(catalog: DataFrame, store: DataFrame, feature: str | None =
     return catalog.join(own.select(F.col("path").alias("_k")).distinct(), F.col("path") == F.col("_k"), "left_semi")
 
 
+def with_feature(images: DataFrame, *columns: str) -> DataFrame:
+    """rows that have every one of the features."""
+    for c in columns:
+        images = images.where(F.col(c).isNotNull())
+    return images
+
+
 def missing_from(report: DataFrame, catalog: DataFrame, shown: int | None = None) -> DataFrame:
     """Catalog paths that a report lacks."""
     out = remaining(catalog.select("path"), report.select(F.col("`Image Path`").alias("path")))

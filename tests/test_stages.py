@@ -145,9 +145,18 @@ def test_greedy_directed_and_veto(spark):
     assert [0] in kept and list(range(8, 16)) in kept and [16] in kept
 
 
-def test_merge_by_first():
-    assert grouping.merge_by_first([["a", "b"], ["c"], ["d", "e"]]) == [["a", "b"], ["c"], ["d", "e"]]
-    assert grouping.merge_by_first([["a", "b"], ["b", "c"], ["x", "a"], ["a", "y"], []]) == [["a", "b", "c"], ["x", "a", "y"]]
+def test_merge_by_first(spark):
+    def merged(*lists):
+        rows = [(g, k, own) for g in (1, 2) for k, own in enumerate(lists)]
+        out = {}
+        for r in grouping.merge_by_first(spark.createDataFrame(rows, "gid long, k int, members array<string>").repartition(3)).orderBy("gid", "subgroup", "position").collect():
+            out.setdefault(r.gid, {}).setdefault(r.subgroup, []).append(r.member)
+        assert not out or out[1] == out[2]
+        return list(out[1].values()) if out else []
+
+    assert merged(["a", "b"], ["c"], ["d", "e"]) == [["a", "b"], ["c"], ["d", "e"]]
+    assert merged(["a", "b"], ["b", "c"], ["x", "a"], ["a", "y"], [], None, [None, "z"]) == [["a", "b", "c"], ["x", "a", "y"], ["z"]]
+    assert merged([]) == []
 
 
 def test_color_methods(spark):
