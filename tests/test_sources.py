@@ -101,7 +101,7 @@ def test_reports_progress_and_copies(spark, tmp_path):
     members = spark.createDataFrame([("a/x.jpg", "Duplicate")], "path string, status string")
     assert sorted(r.dest for r in sinks.organise_plan(whole, members, "b", "d").collect()) == ["b/z.jpg", "d/x.jpg"]
     nested = sinks.nested_report(spark.createDataFrame([("p", 1, "Best", 2.0), ("q", 1, "Duplicate", 1.0)], "path string, group_id long, status string, quality double")).first()
-    assert [m["path"] for m in json.loads(nested.members)] == ["p", "q"] and nested.size == 2
+    assert [m["path"] for m in json.loads(nested.members)] == ["p", "q"] and (nested.size, nested.part) == (2, 0)
     (tmp_path / "list.json").write_text(json.dumps({"timestamp": "2024-01-02T03:04:05", "blobs": ["a", "b"]}, indent=1))
     assert sorted(r.path for r in catalog.read_listing(spark, f"{base}/list.json").collect()) == ["a", "b"]
     (tmp_path / "progress.json").write_text(json.dumps({"total_images": 5, "downloaded": 3, "processed": 2, "saved": 2, "processed_files": ["a", "b"], "timestamp": "2024-01-02T03:04:05"}))
