@@ -59,7 +59,32 @@ def multithreaded() -> DedupConfig:
     return base()
 
 
+# Fixed values of the lookup by logical cores: most cores, class, workers (None: as many as cores), groups a chunk, careful with memory.
+MACHINES = (
+    (2, "low_end", 2, 3, True),
+    (4, "entry_level", None, 5, True),
+    (8, "mid_range", None, 8, False),
+    (16, "high_end", 12, 12, False),
+    (None, "server_class", 16, 15, False),
+)
+
+
+def machine_settings(cores: int, memory_gb: float, platform: str = "Linux") -> dict[str, object]:
+    """Class, workers, chunk size and memory care for a machine: by cores, then less for little memory, then by platform."""
+    kind, most, chunk, careful = next((k, w, c, m) for limit, k, w, c, m in MACHINES if limit is None or cores <= limit)
+    workers = most if most is not None and kind == "low_end" else min(most or cores, cores)
+    if memory_gb < 8:
+        workers, chunk, careful = min(workers, 4), min(chunk, 5), True
+    elif memory_gb < 16:
+        workers, chunk = min(workers, 8), min(chunk, 10)
+    if platform == "Windows":
+        workers = max(1, workers - 1)
+    elif platform == "Darwin" and cores > 8:
+        workers = min(workers, 8)
+    return {"config_class": kind, "max_workers": workers, "chunk_size": chunk, "memory_conservative": careful}
+
+
 def sized_for(cores: int, memory_gb: float) -> dict[str, int]:
-    """Partition and batch counts for a machine: the lookup that sizes parallelism, as Spark settings."""
-    chunk = 1000 if memory_gb >= 32 else 500 if memory_gb >= 16 else 250 if memory_gb >= 8 else 100
-    return {"spark.sql.shuffle.partitions": max(8, 3 * cores), "spark.sql.execution.arrow.maxRecordsPerBatch": chunk}
+    """The same as Spark settings: a shuffle partition for each worker's share of three, and rows of an Arrow batch by chunk size."""
+    found = machine_settings(cores, memory_gb)
+    return {"spark.sql.shuffle.partitions": max(8, 3 * cores), "spark.sql.execution.arrow.maxRecordsPerBatch": 100 * int(found["chunk_size"])}

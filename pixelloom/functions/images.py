@@ -90,15 +90,26 @@ def channel_histograms(image: np.ndarray, bins: int = 256) -> np.ndarray:
     return np.concatenate(found) / max(1, image.shape[0] * image.shape[1])
 
 
-def edge_histogram(image: np.ndarray, bins: int = 32) -> np.ndarray:
-    """X4, per image: shares of Sobel magnitudes."""
+def _edges(image: np.ndarray) -> np.ndarray:
+    """Sobel magnitudes."""
     g = np.pad(gray(image), 1, mode="reflect")
     dx = g[:-2, 2:] + 2 * g[1:-1, 2:] + g[2:, 2:] - g[:-2, :-2] - 2 * g[1:-1, :-2] - g[2:, :-2]
     dy = g[2:, :-2] + 2 * g[2:, 1:-1] + g[2:, 2:] - g[:-2, :-2] - 2 * g[:-2, 1:-1] - g[:-2, 2:]
-    m = np.hypot(dx, dy)
+    return np.hypot(dx, dy)
+
+
+def edge_histogram(image: np.ndarray, bins: int = 32) -> np.ndarray:
+    """X4, per image: shares of Sobel magnitudes."""
+    m = _edges(image)
     return np.histogram(m, bins, (0, max(float(m.max()), 1e-9)))[0] / m.size
 
 
+def largest_edges(image: np.ndarray) -> float:
+    """Share of pixels with the largest Sobel magnitude."""
+    m = _edges(image)
+    return float((m >= m.max() - 1e-9).mean())
+
+
 def preprocess(image: np.ndarray, side: int = 224) -> np.ndarray:
     """Resized and scaled to 0..1."""
     return resize(image.astype(float), side, side) / 255
@@ -145,6 +156,27 @@ def pixel_difference(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.abs(lab(resize(a.astype(float), h, w)) - lab(resize(b.astype(float), h, w))).mean())
 
 
+# Means and standard deviations by which a global network's input is normalised, and the sides of both networks' inputs.
+CHANNEL_MEAN, CHANNEL_STD = (0.485, 0.456, 0.406), (0.229, 0.224, 0.225)
+GLOBAL_SIDE, LOCAL_SIDE = 600, 800
+
+
+def global_vector(image: np.ndarray, network: Callable[[np.ndarray], np.ndarray], side: int = GLOBAL_SIDE) -> np.ndarray:
+    """The network's feature maps (channels, height, width) of the resized, normalised image (3, side, side), averaged over the picture, as a unit vector.
+
+    The network is any function on arrays, such as an onnxruntime session; a zero vector stays zero."""
+    x = (resize(image.astype(float), side, side) / 255 - CHANNEL_MEAN) / CHANNEL_STD
+    maps = np.asarray(network(np.ascontiguousarray(x.transpose(2, 0, 1), np.float32)), np.float64)
+    pooled = maps.reshape(len(maps), -1).mean(1)
+    return (pooled / max(float(np.sqrt((pooled * pooled).sum())), 1e-12)).astype(np.float32)
+
+
+def local_features(image: np.ndarray, detector: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], side: int = LOCAL_SIDE) -> dict[str, np.ndarray]:
+    """Keypoints (n, 2) and descriptors (n, d) that a detector finds in the gray image (side, side) of values 0..1; a single descriptor is one row."""
+    points, descriptors = detector((resize(gray(image), side, side) / 255).astype(np.float32))
+    return {"keypoints": np.atleast_2d(np.asarray(points, np.float32)), "descriptors": np.atleast_2d(np.asarray(descriptors, np.float32))}
+
+
 def color_bins(image: np.ndarray, per_channel: int = 32) -> dict[int, int]:
     """X17's histogram: counts of joint colour bins in the middle 80 % of the image."""
     h, w = image.shape[:2]

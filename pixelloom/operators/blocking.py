@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pixelloom.functions import vectors as V
+from pixelloom.sources.storage import materialise
+
 
 def lsh_buckets(df: DataFrame, hash_col: str, ord_col: str = "ord", bands: int = 2, width: int = 16, band_in_key: bool = False) -> DataFrame:
     """(bucket, ord) for each band of ``width`` leading positions; bands that overrun the hash are left out.
@@ -15,11 +18,14 @@ def lsh_buckets(df: DataFrame, hash_col: str, ord_col: str = "ord", bands: int =
     return df.where(F.col(hash_col).isNotNull()).select(F.explode(F.array_compact(F.array(*keys))).alias("bucket"), F.col(ord_col).alias("ord"))
 
 
-def bucket_pairs(buckets: DataFrame, bucket_cap: int = 1000, pair_cap: int = 50_000) -> DataFrame:
+def bucket_pairs(buckets: DataFrame, bucket_cap: int | None = 1000, pair_cap: int | None = 50_000) -> DataFrame:
     """Distinct (src, dst), src < dst, from buckets of at most ``bucket_cap`` entries.
 
     The first ``pair_cap`` pairs of a bucket count, in the order of entries (by ord); an entry's rank is known in closed
-    form, so no second sort is needed.  The cap bounds a bucket, so the join is at most quadratic in the cap."""
+    form, so no second sort is needed.  The caps are part of the method that this stands for; they bound a bucket, so the join is at most
+    quadratic in the cap.  Without caps (None) all pairs of every bucket are given, and ``exact_edges`` is the way that stays linear in equal hashes."""
+    buckets = materialise(buckets, "buckets")  # read four times below
+    bucket_cap, pair_cap = (1 << 62 if c is None else c for c in (bucket_cap, pair_cap))
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("m")).where((F.col("m") > 1) & (F.col("m") <= bucket_cap))
     kept = buckets.join(sizes, "bucket")
     at = F.row_number().over(Window.partitionBy("bucket").orderBy("ord")) - 1
@@ -32,6 +38,20 @@ def bucket_pairs(buckets: DataFrame, bucket_cap: int = 1000, pair_cap: int = 50_
     return pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
+def exact_edges(images: DataFrame, hash_col: str, threshold: float, ord_col: str = "ord", bands: int = 2, width: int = 16, band_in_key: bool = False) -> DataFrame:
+    """J2 without caps: (src, dst) links of images that share a bucket and are at least ``threshold`` alike, with the components of all such pairs.
+
+    Images of equal hashes are one class, tied to its smallest ord, so that copies make no pairs; only classes meet in buckets."""
+    known = images.where(F.col(hash_col).isNotNull()).select(F.col(ord_col).alias("ord"), F.col(hash_col).alias("h"), F.array_join(hash_col, "").alias("key"))
+    classes = materialise(known.groupBy("key").agg(F.min("ord").alias("rep"), F.first("h").alias("h")), "classes")
+    copies = known.join(classes.select(F.col("key").alias("_k"), "rep"), F.col("key") == F.col("_k")).where("ord <> rep").select(F.col("rep").alias("src"), F.col("ord").alias("dst"))
+    pairs = bucket_pairs(lsh_buckets(classes.select(F.col("rep").alias("ord"), "h"), "h", "ord", bands, width, band_in_key), None, None)
+    words = classes.select("rep", V.pack_bits(F.col("h")).alias("w"), F.size("h").alias("n"))
+    a, b = words.toDF("_a", "_wa", "_na"), words.toDF("_b", "_wb", "_nb")
+    scored = pairs.join(a, F.col("src") == F.col("_a")).join(b, F.col("dst") == F.col("_b")).where("_na = _nb")
+    return copies.unionByName(scored.where(V.hamming_words(F.col("_wa"), F.col("_wb"), F.col("_na")) >= threshold).select("src", "dst"))
+
+
 def group_pairs(df: DataFrame, keys: list[str], ord_col: str, values: list[str]) -> DataFrame:
     """All pairs (src < dst by ord) inside groups of ``keys``; value columns get _a and _b.
 
@@ -55,9 +75,7 @@ def approximate_pairs(df: DataFrame, vector_col: str, ord_col: str, threshold: f
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
-    from pixelloom.functions.vectors import normalise
-
-    rows = df.where(F.col(vector_col).isNotNull()).select(F.col(ord_col).alias("ord"), array_to_vector(normalise(F.col(vector_col))).alias("v"))
+    rows = df.where(F.col(vector_col).isNotNull()).select(F.col(ord_col).alias("ord"), array_to_vector(V.normalise(F.col(vector_col))).alias("v"))
     model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length, numHashTables=tables, seed=seed).fit(rows)
     found = model.approxSimilarityJoin(rows, rows, (2 - 2 * threshold) ** 0.5 + 1e-9, "distance")
     pairs = found.select(F.col("datasetA.ord").alias("src"), F.col("datasetB.ord").alias("dst"), (1 - F.col("distance") ** 2 / 2).alias("score"))
