@@ -9,16 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelloom.config import IMAGE_EXTENSIONS, DedupConfig
+from pixelloom.functions import images as I
 from pixelloom.functions import paths as P
 from pixelloom.functions import vectors as V
-from pixelloom.operators import blocking, grouping, matching, statistics
+from pixelloom.operators import blocking, grouping, matching, numbering, statistics
 from pixelloom.plans import stages
 from pixelloom.sources import catalog, sinks
+from pixelloom.sources.storage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -373,24 +376,36 @@ def dominant_color_distance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {_IMAGES}, bins AS (SELECT gid, ord, CAST(floor((u + 1) * 16) AS INTEGER) AS k, count(*) AS n FROM (SELECT gid, ord, unnest(v) AS u FROM images) GROUP BY ALL),
-pairs AS (SELECT x.ord AS src, y.ord AS dst FROM images x JOIN images y ON x.gid = y.gid AND x.ord < y.ord WHERE x.ord % 5 = 0),
-sums AS (SELECT src, dst, coalesce((SELECT sum(a.n * b.n) FROM bins a JOIN bins b ON a.k = b.k WHERE a.ord = src AND b.ord = dst), 0) AS common,
-    (SELECT sum(n * n) FROM bins WHERE ord = src) AS aa, (SELECT sum(n * n) FROM bins WHERE ord = dst) AS bb FROM pairs)
+squares AS (SELECT ord, sum(n * n) AS s FROM bins GROUP BY ord),
+shared AS (SELECT a.ord AS src, b.ord AS dst, sum(a.n * b.n) AS common FROM bins a JOIN bins b ON a.gid = b.gid AND a.k = b.k AND a.ord < b.ord GROUP BY ALL),
+sums AS (SELECT x.ord AS src, y.ord AS dst, coalesce(common, 0) AS common, p.s AS aa, q.s AS bb FROM images x JOIN images y ON x.gid = y.gid AND x.ord < y.ord
+    LEFT JOIN shared ON src = x.ord AND dst = y.ord JOIN squares p ON p.ord = x.ord JOIN squares q ON q.ord = y.ord)
 SELECT src, dst, round(greatest(0, (32768.0 * common - 4096) / sqrt(CAST((32768.0 * aa - 4096) * (32768.0 * bb - 4096) AS DOUBLE))), 6) AS correlation FROM sums""")
 def histogram_pearson(spark: SparkSession, sf: str) -> DataFrame:
-    """Sparse bins, closed form over 32768 bins; the pairs of every fifth vector, as in its SQL. ``histogram_pearson_all`` has all pairs."""
-    return histogram_pearson_all(spark, sf).where(F.col("src") % 5 == 0)
-
-
-@query()
-def histogram_pearson_all(spark: SparkSession, sf: str) -> DataFrame:
-    """All pairs inside a label. Without SQL, as tests/test_histogram_pearson.py has a brute-force version."""
+    """Sparse bins, closed form over 32768 bins, all pairs inside a label."""
     one = images(spark, sf).select("gid", "ord", F.explode("v").alias("u")).groupBy("gid", "ord", F.floor((F.col("u") + 1) * 16).cast("int").alias("k")).agg(F.count("*").alias("n"))
     bins = one.groupBy("gid", "ord").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("h"))
     pairs = blocking.group_pairs(bins, ["gid"], "ord", ["h"])
     return pairs.select("src", "dst", _r(V.histogram_correlation(F.col("h_a"), F.col("h_b"), 32768)).alias("correlation"))
 
 
+@query(f"""WITH {_IN_LABEL}, n AS (SELECT ord, sqrt(list_dot_product(v, v)) AS n FROM images)
+SELECT x.ord AS src, y.ord AS dst, round(coalesce(list_dot_product(x.v, y.v) / nullif(a.n * b.n, 0), 0), 6) AS raw,
+    round(CASE WHEN a.n * b.n > 0 THEN (list_dot_product(x.v, y.v) / (a.n * b.n) + 1) / 2 ELSE 0 END, 6) AS moved
+FROM images x JOIN images y ON x.gid = y.gid AND x.ord < y.ord JOIN n a ON a.ord = x.ord JOIN n b ON b.ord = y.ord""")
+def cosine_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Plain cosine, and the one moved to 0..1."""
+    a, b = F.col("v_a"), F.col("v_b")
+    return blocking.group_pairs(images(spark, sf), ["gid"], "ord", ["v"]).select("src", "dst", _r(V.raw_cosine(a, b)).alias("raw"), _r(V.color_cosine(a, b)).alias("moved"))
+
+
+@query(f"WITH {_IMAGES} SELECT ord, round(v[1] / sqrt(list_dot_product(v, v)), 6) AS first, round(sqrt(list_dot_product(v, v)), 4) AS size FROM (SELECT ord, list_transform(v, lambda x: 3 * x) AS v FROM images)")
+def unit_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors brought to unit length."""
+    three = F.transform("v", lambda x: 3 * x)
+    return images(spark, sf).select("ord", _r(F.get(V.normalise(three), F.lit(0))).alias("first"), F.round(V.norm(three), 4).alias("size"))
+
+
 # ---- stage 4 ---------------------------------------------------------------------------------------------------------------
 
 _LOCAL = f"""{_IMAGES}, d AS (SELECT gid, ord, i, v[4 * i + 1 : 4 * i + 4] AS d FROM images, range(16) AS r(i)),
@@ -425,7 +440,7 @@ forth AS (SELECT *, row_number() OVER w AS k, lead(l) OVER w AS l2 FROM near WIN
 back AS (SELECT *, row_number() OVER w AS k, lead(l) OVER w AS l2 FROM near WINDOW w AS (PARTITION BY pair, j ORDER BY l, i))
 SELECT f.pair, f.i, f.j, round(f.l, 6) AS distance FROM forth f JOIN back b ON f.pair = b.pair AND f.i = b.i AND f.j = b.j WHERE f.k = 1 AND b.k = 1 AND f.l < 0.8 * f.l2 AND b.l < 0.8 * b.l2""")
 def mutual_ratio_matches(spark: SparkSession, sf: str) -> DataFrame:
-    """Descriptors of neighbouring vectors matched both ways."""
+    """Descriptors matched both ways for given pairs of images; the given pairs are (2n, 2n + 1), which take every vector once."""
     rows = described(spark, sf).select("ord", F.posexplode("descriptors").alias("idx", "vec"))
     even = rows.where("ord % 2 = 0").withColumn("pair", F.col("ord"))
     odd = rows.where("ord % 2 = 1").withColumn("pair", F.col("ord") - 1)
@@ -552,16 +567,16 @@ def fifo_cache(spark: SparkSession, sf: str) -> DataFrame:
     return statistics.newest(table(spark, sf, "events"), "user_id", "event_id", 200)
 
 
-@query("SELECT worker, count(*) AS n FROM (SELECT event_id % 10 AS worker FROM events) GROUP BY worker")
+@query("SELECT event_id, (row_number() OVER (ORDER BY ts, event_id) - 1) % 10 AS worker FROM events")
 def round_robin(spark: SparkSession, sf: str) -> DataFrame:
-    """W12, W13, R11."""
-    return statistics.round_robin(table(spark, sf, "events"), "event_id", 10).groupBy("worker").agg(F.count("*").alias("n"))
+    """Workers in turn, by order of time."""
+    return numbering.round_robin(table(spark, sf, "events"), ["ts", "event_id"], 10).select("event_id", "worker")
 
 
 @query("SELECT event_id, round(avg(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), 6) AS moving_average FROM events")
 def moving_average_100(spark: SparkSession, sf: str) -> DataFrame:
     """W9, A16."""
-    return statistics.moving_average(table(spark, sf, "events"), "event_type", ["ts", "event_id"], "value").select("event_id", _r("moving_average").alias("moving_average"))
+    return numbering.moving_average(table(spark, sf, "events"), "event_type", ["ts", "event_id"], "value").select("event_id", _r("moving_average").alias("moving_average"))
 
 
 @query("SELECT l_orderkey AS group_id, count(*) AS size, max(l_quantity) AS best_quality, round(sum(l_extendedprice), 2) AS total FROM lineitem GROUP BY l_orderkey")
@@ -577,3 +592,240 @@ def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     config = replace(_S1, wavelet_threshold=0.6, color_cap=50, color_threshold=0.8, global_threshold=0.3, local_threshold=0.3)
     out = stages.deduplicate(rows.drop("v"), color_metrics(spark, sf).drop("gid"), config)
     return statistics.report(grouping.number_groups(out["local"]))
+
+
+# ---- grouping and routing ----------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {_IMAGES}, placed AS (SELECT ord, gid, row_number() OVER (PARTITION BY gid ORDER BY ord) - 1 AS p FROM images) SELECT gid, p // 3 AS subgroup, p % 3 AS position, ord AS member FROM placed")
+def merge_by_first(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists of a member and its follower, every third one alone, merge into runs of three."""
+    placed = numbering.numbered(images(spark, sf).select("gid", "ord"), ["ord"], ["gid"], "p")
+    follower = placed.select(F.col("gid").alias("g"), (F.col("p") - 1).alias("q"), F.col("ord").alias("next"))
+    joined = placed.join(follower, (F.col("gid") == F.col("g")) & (F.col("p") == F.col("q")), "left")
+    own = F.when((F.col("p") % 3 == 2) | F.col("next").isNull(), F.array("ord")).otherwise(F.array("ord", "next"))
+    lists = joined.where("p % 3 <> 2 or p = 0").select("gid", F.col("p").alias("k"), own.alias("members"))
+    return grouping.merge_by_first(lists)
+
+
+@query(f"WITH {_DOCS}, sized AS (SELECT *, count(*) OVER (PARTITION BY gid) AS size FROM docs) SELECT ord, size, size > 1 AND size <= 15 AS refined FROM sized")
+def route_by_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups to refine and those that pass, brought together again."""
+    docs = doc_paths(spark, sf)
+    work, passed = stages._route(docs, 15)
+    both = work.select("ord", "gid", F.lit(True).alias("refined")).unionByName(passed.select("ord", "gid", F.lit(False).alias("refined")))
+    return grouping.with_size(both).select("ord", "size", "refined")
+
+
+@query(f"WITH {_DOCS}, n AS (SELECT gid, count(*) AS size FROM docs GROUP BY gid) SELECT CASE WHEN avg(size) > 10 THEN 0.85 * 1.1 WHEN avg(size) < 3 THEN 0.85 * 0.9 ELSE 0.85 END::DOUBLE AS global_threshold, CASE WHEN avg(size) > 10 THEN 10.0 WHEN avg(size) < 3 THEN 6.0 ELSE 0.75 END::DOUBLE AS local_threshold FROM n")
+def thresholds_by_mean_size(spark: SparkSession, sf: str) -> DataFrame:
+    """A3b."""
+    return statistics.thresholds_by_mean_size(statistics.group_sizes(doc_paths(spark, sf)))
+
+
+@query(f"WITH {_IN_LABEL}, n AS (SELECT gid, count(*) AS size FROM images GROUP BY gid) SELECT count(*) AS groups, CAST(sum(size - 1) AS BIGINT) AS duplicates, round(avg(size), 6) AS mean_size, max(size) AS max_size, min(size) AS min_size, (SELECT round(avg(score), 6) FROM scored) AS mean_similarity FROM n")
+def summary_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """A19."""
+    out = statistics.summary(images(spark, sf), _label_pairs(spark, sf))
+    return out.withColumn("mean_size", _r("mean_size")).withColumn("mean_similarity", _r("mean_similarity"))
+
+
+@query(f"WITH {_IMAGES} SELECT ord FROM images WHERE ord % 4 <> 0 AND ord % 5 <> 0")
+def images_with_features(spark: SparkSession, sf: str) -> DataFrame:
+    """a fourth of the images has no hash, a fifth no descriptors."""
+    rows = described(spark, sf).withColumn("wavelet", F.when(F.col("ord") % 4 != 0, F.col("v"))).withColumn("descriptors", F.when(F.col("ord") % 5 != 0, F.col("descriptors")))
+    return catalog.with_feature(rows, "wavelet", "descriptors").select("ord")
+
+
+@query("SELECT label AS k, round(100.0 * count(*) / (SELECT count(*) FROM embeddings), 6) AS percent, CAST(NULL AS DOUBLE) AS of_none FROM embeddings GROUP BY label")
+def percentages(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares, and null for a share of nothing."""
+    rows = table(spark, sf, "embeddings")
+    sizes = rows.groupBy(F.col("label").alias("k")).agg(F.count("*").alias("n")).join(rows.agg(F.count("*").alias("total")))
+    return sizes.select("k", _r(V.percentage(F.col("n"), F.col("total"))).alias("percent"), V.percentage(F.col("n"), F.lit(0)).alias("of_none"))
+
+
+@query(f"WITH {_DOCS} SELECT path, sha256(path) AS key, replace(path, '/', '_') || '.npy.gz' AS flat FROM docs")
+def path_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A key of a path that can't collide, and the older flat name."""
+    return doc_paths(spark, sf).select("path", V.path_key(F.col("path")).alias("key"), V.flat_name(F.col("path")).alias("flat"))
+
+
+@query("SELECT event_id FROM events ORDER BY ts, event_id LIMIT 50")
+def first_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The head of an order is the feature."""
+    return numbering.head(table(spark, sf, "events"), ["ts", "event_id"], 50).select("event_id")
+
+
+# ---- stores, reports and files: written to the shared folder and read back ---------------------------------------------------
+
+
+@query(f"WITH {_DOCS} SELECT path, '2024-01-02 03:04:05' AS at FROM docs")
+def listing_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """C4: a listing cache."""
+    path = new_path(spark, "listing")
+    sinks.write_listing(doc_paths(spark, sf), path, "2024-01-02T03:04:05", most=500)
+    return catalog.read_listing(spark, path, lines=True).select("path", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+def _store(spark: SparkSession, sf: str) -> str:
+    path = new_path(spark, "store")
+    docs = doc_paths(spark, sf)
+    sinks.put_features(docs.select("path", F.when(F.col("ord") % 2 == 0, F.col("quality")).alias("quality")), path, 8)
+    newer = docs.drop("quality").join(table(spark, sf, "labels"), F.col("ord") == F.col("doc_id")).select("path", (F.col("quality") + 0.5).alias("quality"))
+    sinks.put_features(newer, path, 8)
+    return path
+
+
+@query(f"WITH {_DOCS} SELECT path, CASE WHEN l.doc_id IS NOT NULL THEN l.quality + 0.5 WHEN ord % 2 = 0 THEN docs.quality END::DOUBLE AS quality FROM docs LEFT JOIN labels l ON l.doc_id = ord")
+def store_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """K1: features put twice; the newest row of a path counts."""
+    return sinks.newest_features(spark.read.parquet(_store(spark, sf)).select("path", "quality", "written"))
+
+
+@query(f"WITH {_DOCS} SELECT path, CASE WHEN ord % 2 = 0 THEN quality END AS quality FROM docs UNION ALL SELECT path, (l.quality + 0.5)::DOUBLE FROM docs JOIN labels l ON l.doc_id = ord")
+def store_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows of a store, of the columns that are asked for."""
+    return catalog.read_store(spark, _store(spark, sf)).select("path", "quality")
+
+
+@query(f"WITH {_IMAGES} SELECT path, len(v) AS size, round(v[1], 6) AS first, round(list_sum(v), 6) AS total FROM images")
+def image_info_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV with JSON cells, appended twice."""
+    path, rows = new_path(spark, "info"), images(spark, sf).select("path", "ord", "v")
+    sinks.append_image_info(rows.where("ord % 3 = 0"), path)
+    sinks.append_image_info(rows.where("ord % 3 <> 0"), path)
+    back = catalog.read_image_info(spark, path, {"v": "array<double>"})
+    return back.select("path", F.size("v").cast("long").alias("size"), _r(F.get("v", F.lit(0))).alias("first"), _r(F.aggregate("v", F.lit(0.0), lambda a, x: a + x)).alias("total"))
+
+
+def _report_file(spark: SparkSession, sf: str) -> str:
+    path = new_path(spark, "report")
+    sinks.write_report(statistics.report(grouped(spark, sf)), path)
+    return path
+
+
+@query(f'WITH {_BEST} SELECT path AS "Image Path", round(quality, 2) AS "Quality Score", group_id AS "Group ID", size AS "Group Size", status AS "Status" FROM grouped')
+def report_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A report written as CSV, joined in one file and read back."""
+    path = _report_file(spark, sf)
+    sinks.publish_report(path, f"{path}-one.csv", spark)
+    return catalog.read_report(spark, f"{path}-one.csv")
+
+
+@query(f"WITH {_BEST} SELECT DISTINCT path, status AS kind FROM grouped")
+def report_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct best and duplicate paths of a report."""
+    best, duplicate = catalog.report_lists(catalog.read_report(spark, _report_file(spark, sf)))
+    return best.withColumn("kind", F.lit("Best")).unionByName(duplicate.withColumn("kind", F.lit("Duplicate")))
+
+
+@query("SELECT (SELECT count(*) FROM documents) AS total_images, (SELECT count(*) FROM labels) AS processed, 's' || source AS file FROM (SELECT DISTINCT source FROM documents)")
+def progress_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters and the processed set."""
+    docs = table(spark, sf, "documents")
+    counts = docs.agg(F.count("*").alias("total_images"), F.collect_set(F.concat(F.lit("s"), "source")).alias("processed_files")).join(table(spark, sf, "labels").agg(F.count("*").alias("processed")))
+    path = new_path(spark, "progress")
+    sinks.write_progress(counts, path)
+    return catalog.read_progress(spark, path).select("total_images", "processed", F.explode("processed_files").alias("file"))
+
+
+@query(f"""WITH {_BEST}, placed AS (SELECT group_id, status, path, round(quality, 2) AS quality, row_number() OVER (PARTITION BY group_id ORDER BY status, path) - 1 AS p FROM grouped)
+SELECT group_id, p // 2 AS part, p % 2 AS position, status, path, quality FROM placed""")
+def nested_report(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON documents of a group, read back member by member."""
+    made = sinks.nested_report(statistics.with_status(grouped(spark, sf), "group_id"), most=2)
+    back = made.select("group_id", "part", F.posexplode(F.from_json("members", "array<struct<status:string,path:string,quality:double>>")).alias("position", "m"))
+    return back.select("group_id", "part", "position", "m.*")
+
+
+@query(f"WITH {_BEST} SELECT path AS src, CASE WHEN size > 1 AND status = 'Duplicate' THEN 'dup/' ELSE 'best/' END || regexp_extract(path, '[^/]*$') AS dest, CASE WHEN size > 1 AND status = 'Duplicate' THEN 'duplicate' ELSE 'best' END AS kind FROM grouped")
+def organise_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """K9: a whole catalog; images in no group of two or more are best."""
+    docs = doc_paths(spark, sf)
+    return sinks.organise_plan(docs, statistics.with_status(docs).where("size > 1"), "best/", "dup")
+
+
+@query("SELECT source, count(*) AS lines, CAST(sum(doc_id) AS BIGINT) AS ids, true AS ok FROM documents GROUP BY source")
+def copied_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files copied by the executors and read back."""
+    path, to = new_path(spark, "files"), new_path(spark, "copies")
+    table(spark, sf, "documents").select("source", F.col("doc_id").cast("string").alias("value")).repartition("source").write.partitionBy("source").text(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").where(F.col("path").contains("part-"))
+    source = F.regexp_extract("path", "source=([^/]*)", 1)
+    full = lambda p: F.regexp_replace(p, "^file:/+", "file:///")
+    done = sinks.run_copies(files.select(full(F.col("path")).alias("src"), F.concat(F.lit(to if "://" in to else f"file://{to}"), F.lit("/"), source, F.lit("/"), V.basename(F.col("path"))).alias("dest"), source.alias("kind")))
+    bad = done.where("not ok").groupBy(F.col("kind").alias("k")).agg(F.count("*").alias("bad"))
+    back = catalog.read_bytes(spark, to).select(F.element_at(F.split("path", "/"), -2).alias("source"), F.explode(F.split(F.rtrim(F.col("content").cast("string"), F.lit("\n")), "\n")).alias("line"))
+    sums = back.groupBy("source").agg(F.count("*").alias("lines"), F.sum(F.col("line").cast("long")).alias("ids"))
+    return sums.join(bad, F.col("source") == F.col("k"), "left").select("source", "lines", "ids", F.col("bad").isNull().alias("ok"))
+
+
+# ---- image kernels on pictures of eight by eight pixels, made from vectors -----------------------------------------------------
+
+_PIXELS = f"""{_IMAGES}, px AS (SELECT ord, gid, i // 8 AS y, i % 8 AS x, CAST(least(255, greatest(0, floor((v[i + 1] + 1) * 127.5))) AS DOUBLE) AS p FROM images, range(64) AS r(i))"""
+
+
+def pictures(spark: SparkSession, sf: str) -> DataFrame:
+    """(ord, gid, image): gray pictures as image structs, of three channels for even ids and one for odd."""
+    value = lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.floor((x + 1) * 127.5))).cast("int")
+    byte = lambda x: F.lpad(F.hex(value(x)), 2, "0")
+    three = F.col("ord") % 2 == 0
+    data = F.unhex(F.array_join(F.transform("v", lambda x: F.when(three, F.repeat(byte(x), 3)).otherwise(byte(x))), ""))
+    kind = F.when(three, F.lit(3)).otherwise(F.lit(1))
+    image = F.struct(F.col("path").alias("origin"), F.lit(8).alias("height"), F.lit(8).alias("width"), kind.alias("nChannels"), F.lit(16).alias("mode"), data.alias("data"))
+    return images(spark, sf).select("ord", "gid", image.alias("image"))
+
+
+@query(f"WITH {_IMAGES} SELECT ord FROM images WHERE ord % 2 = 0")
+def image_validity(spark: SparkSession, sf: str) -> DataFrame:
+    """three channels and at least so many pixels a side."""
+    return catalog.valid_images(pictures(spark, sf), 8).select("ord")
+
+
+@query(f"""WITH {_PIXELS}, r AS (SELECT ord, x, y, p, CASE y WHEN 0 THEN 1 ELSE y - 1 END AS up, CASE y WHEN 7 THEN 6 ELSE y + 1 END AS down, CASE x WHEN 0 THEN 1 ELSE x - 1 END AS back, CASE x WHEN 7 THEN 6 ELSE x + 1 END AS forth FROM px),
+lap AS (SELECT r.ord, a.p + b.p + c.p + d.p - 4 * r.p AS l FROM r JOIN px a ON a.ord = r.ord AND a.x = r.x AND a.y = up JOIN px b ON b.ord = r.ord AND b.x = r.x AND b.y = down JOIN px c ON c.ord = r.ord AND c.x = back AND c.y = r.y JOIN px d ON d.ord = r.ord AND d.x = forth AND d.y = r.y)
+SELECT ord, round(least(100, var_pop(l) / 64 * 1e6), 4) AS sharpness FROM lap GROUP BY ord""")
+def image_sharpness(spark: SparkSession, sf: str) -> DataFrame:
+    """X21."""
+    return pictures(spark, sf).select("ord", F.round(I.sharpness_of(F.col("image")), 4).alias("sharpness"))
+
+
+@query(f"WITH {_PIXELS} SELECT ord, CAST(floor(p / 16) AS INTEGER) AS bin, round(count(*) / 64.0, 6) AS share FROM px GROUP BY ALL")
+def image_histograms(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares of the first channel's values."""
+    shares = I.per_image(partial(I.channel_histograms, bins=16), "array<double>")(F.col("image"))
+    found = pictures(spark, sf).select("ord", F.posexplode(F.slice(shares, 1, 16)).alias("bin", "share"))
+    return found.where("share > 0").select("ord", "bin", _r("share").alias("share"))
+
+
+@query(f"WITH {_PIXELS}, m AS (SELECT ord, y // 2 AS r, x // 2 AS c, avg(p) AS m FROM px GROUP BY ALL), t AS (SELECT *, avg(m) OVER (PARTITION BY ord) AS cut FROM m) SELECT ord, string_agg(CASE WHEN m > cut THEN '1' ELSE '0' END, '' ORDER BY r, c) AS hash FROM t GROUP BY ord")
+def image_mean_hash(spark: SparkSession, sf: str) -> DataFrame:
+    """X2."""
+    return pictures(spark, sf).select("ord", F.array_join(I.per_image(partial(I.mean_hash, side=8), "array<tinyint>")(F.col("image")), "").alias("hash"))
+
+
+@query(f"WITH {_PIXELS} SELECT ord, round(3 * sum(p) / 255, 4) AS total, round(max(p) / 255, 6) AS most FROM px GROUP BY ord")
+def image_preprocess(spark: SparkSession, sf: str) -> DataFrame:
+    """Scaled to 0..1."""
+    flat = I.per_image(lambda p: I.preprocess(p, 8).ravel(), "array<double>")(F.col("image"))
+    return pictures(spark, sf).select("ord", flat.alias("v")).select("ord", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 4).alias("total"), _r(F.array_max("v")).alias("most"))
+
+
+@query(f"""WITH {_PIXELS}, r AS (SELECT ord, x, y, CASE y WHEN 0 THEN 1 ELSE y - 1 END AS up, CASE y WHEN 7 THEN 6 ELSE y + 1 END AS down, CASE x WHEN 0 THEN 1 ELSE x - 1 END AS back, CASE x WHEN 7 THEN 6 ELSE x + 1 END AS forth FROM px),
+k AS (SELECT * FROM (VALUES (-1, -1, -1.0, -1.0), (-1, 0, 0, -2), (-1, 1, 1, -1), (0, -1, -2, 0), (0, 1, 2, 0), (1, -1, -1, 1), (1, 0, 0, 2), (1, 1, 1, 1)) t(dy, dx, wx, wy)),
+g AS (SELECT r.ord, r.x, r.y, sqrt(pow(sum(wx * p), 2) + pow(sum(wy * p), 2)) AS m FROM r JOIN k ON true JOIN px ON px.ord = r.ord AND px.y = CASE dy WHEN -1 THEN up WHEN 1 THEN down ELSE r.y END AND px.x = CASE dx WHEN -1 THEN back WHEN 1 THEN forth ELSE r.x END GROUP BY ALL)
+SELECT ord, round(sum(CASE WHEN m = top THEN 1 ELSE 0 END) / 64.0, 6) AS top_share, round(sum(CASE WHEN m * 2 >= top THEN 1 ELSE 0 END) / 64.0, 6) AS upper_half FROM (SELECT *, max(m) OVER (PARTITION BY ord) AS top FROM g) GROUP BY ord""")
+def image_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares of Sobel magnitudes from half the largest on, and of the largest itself."""
+    shares = I.per_image(partial(I.edge_histogram, bins=2), "array<double>")(F.col("image"))
+    largest = I.per_image(I.largest_edges, "double")(F.col("image"))
+    return pictures(spark, sf).select("ord", _r(largest).alias("top_share"), _r(F.get(shares, F.lit(1))).alias("upper_half"))
+
+
+@query(f"""WITH {_PIXELS}, l AS (SELECT ord, gid, x, y, (CASE WHEN c > 0.008856 THEN 116 * cbrt(c) - 16 ELSE 903.3 * c END) * 255 / 100 AS l FROM (SELECT *, CASE WHEN p / 255 <= 0.04045 THEN p / 255 / 12.92 ELSE pow((p / 255 + 0.055) / 1.055, 2.4) END AS c FROM px))
+SELECT a.ord AS src, b.ord AS dst, round(avg(abs(a.l - b.l)) / 3, 4) AS difference FROM l a JOIN l b ON a.gid = b.gid AND b.ord > a.ord AND a.x = b.x AND a.y = b.y GROUP BY ALL""")
+def image_difference(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean L*a*b* difference of all pairs inside a label."""
+    pairs = blocking.group_pairs(pictures(spark, sf), ["gid"], "ord", ["image"])
+    return pairs.select("src", "dst", F.round(I.pixel_difference_of(F.col("image_a"), F.col("image_b")), 4).alias("difference"))
