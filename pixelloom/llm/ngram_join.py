@@ -22,8 +22,8 @@ similarity of their sets reaches a rational threshold; the join is exact up to c
    A group returns a spanning forest of its links, never all pairs.
 4. *Components* of the links, smallest document id first.
 
-Nothing that grows with the corpus reaches the driver: it sees a Bloom filter of family members, of
-fixed size (a fuller filter only lets more rows through to an exact join).
+Nothing that grows with the corpus without bound reaches the driver: it sees a Bloom filter of family members, 16 bits for each up to
+``BLOOM_MOST`` bits in all (beyond that, a fuller filter only lets more rows through to an exact join).
 
 Defined cases: null or empty texts and texts without words have an empty set, link with nothing, and are
 their own component; a text of fewer words than n has one shingle, all its words; rows of equal id are one
@@ -47,8 +47,8 @@ from pixelloom.llm.arrow import bound_batches, map_batches, utf8
 from pixelloom.operators.components import connected_components
 from pixelloom.sources.storage import materialise
 
-#: Bits of the Bloom filter of family members (2 MB).
-BLOOM_BITS = 1 << 24
+#: Least and most bits of the Bloom filter of family members (128 kB to 32 MB), and how many of them are set for a member.
+BLOOM_LEAST, BLOOM_MOST, BLOOM_HASHES = 1 << 20, 1 << 28, 4
 #: Shingles in one trie group, at which a family is split, and sets in one.
 GROUP_SHINGLES, GROUP_SETS = 500_000, 2_048
 #: Signatures that a task combines at once.
@@ -288,31 +288,36 @@ def _near(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     return pairs.groupBy("src", "dst").agg(F.sum("times").alias("times"), F.min("need").alias("need")).where("times >= need").select("src", "dst")
 
 
-def _bloom(ids: DataFrame) -> np.ndarray:
-    """Bits of the ids' hashes, joined from one partial filter per task and a second level of 16."""
+def _bloom(ids: DataFrame, members: int) -> np.ndarray:
+    """Bits of the ids' hashes, joined from one partial filter per task and a second level of 4."""
+    size = BLOOM_LEAST
+    while size < min(16 * members, BLOOM_MOST):
+        size *= 2
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(BLOOM_BITS // 8, np.uint8)
+        own = np.zeros(size // 8, np.uint8)
         for b in batches:
-            at = _bloom_bits(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
-            np.bitwise_or.at(own, at >> 3, (1 << (at & 7)).astype(np.uint8))
+            for at in _bloom_bits(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), size):
+                np.bitwise_or.at(own, at >> 3, (1 << (at & 7)).astype(np.uint8))
         yield pa.RecordBatch.from_arrays([pa.array([own.tobytes()], pa.binary())], names=["bits"])
 
     def either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(BLOOM_BITS // 8, np.uint8)
+        own = np.zeros(size // 8, np.uint8)
         for b in batches:
             for blob in b.column(0):
                 own |= np.frombuffer(blob.as_py(), np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([own.tobytes()], pa.binary())], names=["bits"])
 
-    out = np.zeros(BLOOM_BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for r in ids.mapInArrow(bits, "bits binary").repartition(4).mapInArrow(either, "bits binary").toLocalIterator():
         out |= np.frombuffer(r.bits, np.uint8)
     return out
 
 
-def _bloom_bits(ids: np.ndarray) -> np.ndarray:
-    return (_mix(ids.view(np.uint64)) & np.uint64(BLOOM_BITS - 1)).astype(np.int64)
+def _bloom_bits(ids: np.ndarray, size: int) -> list[np.ndarray]:
+    """The places of each id's bits in a filter of ``size`` bits, a power of two."""
+    first, step = _mix(ids.view(np.uint64)), _mix(ids.view(np.uint64) + _M) | np.uint64(1)
+    return [((first + np.uint64(k) * step) & np.uint64(size - 1)).astype(np.int64) for k in range(BLOOM_HASHES)]
 
 
 def trie_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
@@ -432,7 +437,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, threshold: tuple[int, int] =
     other = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("own"))
     dealt = members.join(sizes, F.col("family") == F.col("f")).withColumn("own", own).withColumn("other", F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(other)))
     dealt = dealt.select(F.col("k1").alias("m1"), F.col("k2").alias("m2"), "rep", "family", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"))
-    sets = _sets(picked, _bloom(members.select("rep")), n)
+    sets = _sets(picked, _bloom(members.select("rep"), members.count()), n)
     groups = dealt.join(sets, (F.col("m1") == F.col("k1")) & (F.col("m2") == F.col("k2"))).select("family", "block_a", "block_b", "rep", "set")
     links = _members_linked(groups.repartition("family", "block_a", "block_b").sortWithinPartitions("family", "block_a", "block_b"), num, den)
     components = connected_components(links).select(F.col("node").alias("rep_node"), "component")
@@ -450,8 +455,8 @@ def _sets(docs: DataFrame, bloom: np.ndarray, n: int) -> DataFrame:
         filter_ = shared.value
         for b in batches:
             b = b.filter(b.column(0).is_valid())
-            at = _bloom_bits(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
-            b = b.filter(pa.array((filter_[at >> 3] >> (at & 7) & 1).astype(bool)))
+            places = _bloom_bits(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), 8 * len(filter_))
+            b = b.filter(pa.array(np.logical_and.reduce([(filter_[at >> 3] >> (at & 7) & 1).astype(bool) for at in places])))
             sets = [shingles(text, n) for text in utf8(b.column(1))]
             keys = [_digest(s) for s in sets]
             columns = [*(pa.array([k[i] for k in keys], pa.int64()) for i in range(2)), pa.array([s.tobytes() for s in sets], pa.binary())]
