@@ -585,7 +585,29 @@ def group_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("group_id")).agg(F.count("*").alias("size"), F.max("l_quantity").alias("best_quality"), F.round(F.sum("l_extendedprice"), 2).alias("total"))
 
 
-@query()
+def _step_sql(k: int, members: str, work: str, pairs: str) -> str:
+    """m{k}: (ord, gid) after a stage, from those of ``members``: components of ``pairs`` (src, dst) for members that meet ``work`` (over size and gid), others as they were."""
+    return f"""n{k} AS MATERIALIZED (SELECT ord, gid, count(*) OVER (PARTITION BY gid) AS size, (row_number() OVER (PARTITION BY gid ORDER BY ord) - 1) // 25 AS run FROM {members}),
+e{k} AS MATERIALIZED (SELECT src, dst FROM {pairs} p JOIN n{k} a ON a.ord = src JOIN n{k} b ON b.ord = dst WHERE {work.format(x="a")} AND {work.format(x="b")} AND a.gid = b.gid AND (a.size <= 50 OR a.run = b.run)),
+l{k} AS (SELECT src AS a, dst AS b FROM e{k} UNION SELECT dst, src FROM e{k}),
+w{k} AS (SELECT ord AS n, ord AS c FROM n{k} UNION SELECT b, c FROM w{k} JOIN l{k} ON a = n WHERE c < b),
+m{k} AS MATERIALIZED (SELECT ord, CASE WHEN {work.format(x="x")} THEN (SELECT min(c) FROM w{k} WHERE n = ord) ELSE gid END AS gid FROM n{k} x)"""
+
+
+_STAGES_SQL = f"""{_pairs_sql(1000, 50_000)}, near AS (SELECT src, dst FROM pairs JOIN bits x ON x.ord = src JOIN bits y ON y.ord = dst
+    WHERE list_sum(list_transform(list_zip(x.b, y.b), lambda z: CASE WHEN z[1] = z[2] THEN 1 ELSE 0 END)) / 64.0 >= 0.6), {_components_sql("near")},
+m0 AS MATERIALIZED (SELECT n AS ord, c AS gid FROM reach),
+{_METRICS[len(_IMAGES) + 2:]}, c1 AS (SELECT src, dst FROM colored WHERE similarity >= 0.8), {_step_sql(1, "m0", "{x}.size BETWEEN 2 AND 50", "c1")},
+s2 AS (SELECT x.ord AS src, y.ord AS dst, {_COSINE} AS score FROM images x JOIN images y ON x.ord < y.ord JOIN m1 p ON p.ord = x.ord JOIN m1 q ON q.ord = y.ord WHERE p.gid = q.gid),
+c2 AS (SELECT src, dst FROM s2 WHERE score >= 0.3), {_step_sql(2, "m1", "{x}.size > 0", "c2")},
+d3 AS (SELECT p.gid, x.ord, i, x.v[4 * i + 1 : 4 * i + 4] AS d FROM images x JOIN m2 p ON p.ord = x.ord, range(16) AS r(i)),
+n0 AS (SELECT x.ord AS src, y.ord AS dst, x.i, list_distance(x.d, y.d) AS l FROM d3 x JOIN d3 y ON x.gid = y.gid AND x.ord < y.ord),
+t3 AS (SELECT src, dst, i, min(l) AS l1, min(l, 2)[2] AS l2 FROM n0 GROUP BY src, dst, i),
+c3 AS (SELECT src, dst FROM t3 GROUP BY src, dst HAVING count(*) FILTER (l1 < 0.75 * l2) / 16.0 >= 0.3), {_step_sql(3, "m2", "{x}.size BETWEEN 2 AND 25", "c3")},
+f AS (SELECT m3.ord, m3.gid, path, abs(v[1]) AS quality, min(m3.ord) OVER (PARTITION BY m3.gid) AS first, count(*) OVER (PARTITION BY m3.gid) AS size, row_number() OVER (PARTITION BY m3.gid ORDER BY abs(v[1]) DESC, m3.ord) AS k FROM m3 JOIN images ON images.ord = m3.ord)"""
+
+
+@query(f"""WITH RECURSIVE {_STAGES_SQL} SELECT path AS "Image Path", round(quality, 2) AS "Quality Score", dense_rank() OVER (ORDER BY first) AS "Group ID", size AS "Group Size", CASE WHEN k = 1 THEN 'Best' ELSE 'Duplicate' END AS "Status" FROM f""")
 def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """Hash, colour, global and local stages and the report's numbers."""
     rows = described(spark, sf).drop("gid").withColumn("wavelet", V.binarise(F.col("v"))).withColumn("global", F.col("v")).withColumn("quality", F.abs(F.get("v", F.lit(0))))

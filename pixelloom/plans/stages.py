@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pixelloom.config import DedupConfig
 from pixelloom.functions import vectors as V
 from pixelloom.operators import blocking, grouping, statistics
+from pixelloom.sources.storage import materialise
 
 
 def wavelet_stage(images: DataFrame, config: DedupConfig, hash_col: str = "wavelet") -> DataFrame:
@@ -109,7 +110,7 @@ def deduplicate(images: DataFrame, metrics: DataFrame | None, config: DedupConfi
     In compat mode images without a hash are left out, and images alone after the first stage pass the others by, or go, as the
     configuration says.  ``progress`` is told the stage and the percentage of stages that are planned."""
     tell = progress or (lambda stage, percent: None)
-    first = wavelet_stage(images, config)
+    first = materialise(wavelet_stage(images, config), "wavelet")  # each stage reads its input several times, and a lost executor costs no earlier stage
     tell("wavelet", 20.0)
     aside = first.limit(0)
     if config.mode == "compat":
@@ -121,11 +122,13 @@ def deduplicate(images: DataFrame, metrics: DataFrame | None, config: DedupConfi
     if adaptive:
         t = statistics.adaptive_thresholds(statistics.group_statistics(first), config.global_threshold, config.local_threshold).first()
         config = replace(config, global_threshold=t.global_threshold, local_threshold=t.local_threshold)
-    color = color_stage(work, metrics, config) if metrics is not None else work
+    color = materialise(color_stage(work, metrics, config), "color") if metrics is not None else work
     tell("color", 40.0)
     global_, global_scores = global_stage(color, config)
+    global_ = materialise(global_, "global")
     tell("global", 60.0)
     local, local_scores = local_stage(global_, config)
+    local = materialise(local, "local")
     tell("local", 80.0)
     out = {"wavelet": first} | {name: members.unionByName(aside) for name, members in (("color", color), ("global", global_), ("local", local))}
     return out | {"scores": global_scores.unionByName(local_scores)}
