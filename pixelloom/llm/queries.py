@@ -52,6 +52,18 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLE_SQL["op2_decontamination"] = r"""
+WITH words AS (SELECT 0 AS kind, doc_id::VARCHAR AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    UNION ALL SELECT 1, item_id::VARCHAR, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+windows AS MATERIALIZED (SELECT DISTINCT id AS item, k, array_to_string(w[i : i + k - 1], ' ') AS g FROM (SELECT id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM words WHERE kind = 1 AND len(w) > 0)),
+grams AS (SELECT id, k, i, array_to_string(w[i : i + k - 1], ' ') AS g FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT DISTINCT k FROM windows) WHERE kind = 0)),
+found AS MATERIALIZED (SELECT id, i, windows.k, item FROM grams JOIN windows ON windows.k = grams.k AND windows.g = grams.g),
+hits AS (SELECT id, count(*) AS n FROM (SELECT DISTINCT id, unnest(range(i, i + k)) AS p FROM found) GROUP BY id),
+items AS (SELECT id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT id, item FROM found) GROUP BY id)
+SELECT id::BIGINT AS doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM words LEFT JOIN hits h USING (id) LEFT JOIN items i USING (id) WHERE kind = 0"""
+
+
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, read back from token files written in order of document id."""
@@ -69,6 +81,17 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), 3, (90, 100))
 
 
+ORACLE_SQL["op4_ngram_join"] = r"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, hash(w[i], w[i + 1], w[i + 2], least(len(w), 3)) AS h FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM t WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS MATERIALIZED (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * m >= 90 * (a.n + b.n - m)),
+l AS MATERIALIZED (SELECT x AS a, y AS b FROM e UNION SELECT y, x FROM e),
+walk AS (SELECT doc_id AS v, doc_id AS c FROM t UNION SELECT b, c FROM walk JOIN l ON a = v WHERE c < b)
+SELECT t.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id FROM t JOIN walk ON v = t.doc_id LEFT JOIN n ON n.doc_id = t.doc_id GROUP BY t.doc_id"""
+
+
 @query
 def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document scored by a class bigram model of those not held out."""
