@@ -30,6 +30,12 @@ def utf8(column: pa.Array) -> list[bytes]:
 SLICE_BYTES = 1 << 20
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All batches, slice by slice."""
+    for b in batches:
+        yield from slices(b)
+
+
 def slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about SLICE_BYTES, of a row at least."""
     step = max(1, b.num_rows * SLICE_BYTES // max(1, b.nbytes))
@@ -41,8 +47,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
     """``fn`` over every batch of ``df``, slice by slice; ``fn`` returns a batch in the order of ``schema``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield from map(fn, slices(b))
+        yield from map(fn, sliced(batches))
 
     bound_batches(df)
     return df.mapInArrow(run, schema)

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pixelloom.llm.arrow import bound_batches, kind_of, utf8
+from pixelloom.llm.arrow import bound_batches, kind_of, sliced, utf8
 from pixelloom.sources.storage import materialise
 
 #: Words with a symbol of their own; symbols of endings; classes besides the end's; broadcast word counts.
@@ -50,9 +50,9 @@ ALPHA, MU = 0.1, 20.0
 #: Sweeps after which exchange stops even if words still move (it ends far below on texts).
 SWEEPS = 1_000
 #: Rows in which a task sends its bigram counts, and words that it counts before it sends them.
-PARTS, MEMO_WORDS = 32, 400_000
+PARTS, MEMO_WORDS = 32, 300_000
 #: Occurrences that a task keeps before it sends their contexts, and words that are judged at once.
-MEMO_CONTEXTS, STEP_WORDS = 4 << 20, 4096
+MEMO_CONTEXTS, STEP_WORDS = 2 << 20, 4096
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -191,7 +191,7 @@ def _bigrams(docs: DataFrame, text_col: str, frequent: list[int], endings: int)
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _symbols(shared.value, endings)
         total = np.zeros(PARTS * rows * size, np.int64)
-        for b in batches:
+        for b in sliced(batches):
             _, words, tails = coded(utf8(b.column(0)))
             line = symbols(words, tails, known, endings)
             cells, n = np.unique(_before(line, size - 1) * size + line, return_counts=True)
@@ -327,7 +327,7 @@ def _contexts(docs: DataFrame, text_col: str, frequent: list[int], endings: int,
             for i in range(0, found.num_rows, 10_000):
                 yield found.slice(i, 10_000)
 
-        for b in batches:
+        for b in sliced(batches):
             _, words, tails = coded(utf8(b.column(0)))
             line = symbols(words, tails, known, endings)
             classes = of[line]
@@ -481,9 +481,7 @@ def _classified(picked: DataFrame, model: ClassModel) -> DataFrame:
         known = Known(hot[:, 0], np.arange(len(hot)))
         logs, seen, class_of = np.log10(hot[:, 1] + ALPHA), (hot[:, 1] > 0).astype(np.int64), hot[:, 2]
         row = TaskContext.get().partitionId() << 40
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in sliced(batches):
             sizes, line, tails = coded(utf8(b.column(1)))
             number, hit = known.find(line)
             start = np.cumsum(sizes) - sizes

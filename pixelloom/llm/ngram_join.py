@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixelloom.llm.arrow import bound_batches, map_batches, utf8
+from pixelloom.llm.arrow import bound_batches, map_batches, sliced, utf8
 from pixelloom.operators.components import connected_components
 from pixelloom.sources.storage import materialise
 
@@ -232,7 +232,7 @@ def _near(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices = Slices(num, den)
-        for b in batches:
+        for b in sliced(batches):
             signs, nodes, seen, held = [], [], set(), 0
             for text in utf8(b.column(1)):
                 found = shingles(text, n)
@@ -453,7 +453,7 @@ def _sets(docs: DataFrame, bloom: np.ndarray, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_ = shared.value
-        for b in batches:
+        for b in sliced(batches):
             b = b.filter(b.column(0).is_valid())
             places = _bloom_bits(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), 8 * len(filter_))
             b = b.filter(pa.array(np.logical_and.reduce([(filter_[at >> 3] >> (at & 7) & 1).astype(bool) for at in places])))
