@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixelloom.llm.arrow import bound_batches
+from pixelloom.llm.arrow import bound_batches, sliced
 
 #: Entries a worker's memo may hold before it starts anew (about 50 MB).
 MEMO_ENTRIES = 250_000
@@ -139,7 +139,7 @@ def encode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
     bound_batches(df)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_path, pattern)
-        for b in batches:
+        for b in sliced(batches):
             ids = pa.array([own.encode(x.as_py()) for x in b.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=[id_col, "ids"])
 
@@ -153,7 +153,7 @@ def decode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id")
     bound_batches(df)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_path, pattern)
-        for b in batches:
+        for b in sliced(batches):
             out = pa.array([own.decode(x.as_py() or b"") for x in b.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), out], names=[id_col, "ids", "decoded"])
 
@@ -167,7 +167,7 @@ def round_trip(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_path, pattern)
-        for b in batches:
+        for b in sliced(batches):
             ids = [own.encode(x.as_py()) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array(map(own.decode, ids), pa.binary())], names=[id_col, "ids", "decoded"])
 
