@@ -150,22 +150,16 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's language from its text, its lang attribute, its address's suffix and the priors of its host, by a text model of the labelled documents."""
-    model = language_id.learn(table(spark, sf_dir, "documents"), "text", "lang", "doc_id")
-    pages = table(spark, sf_dir, "pages").withColumn("text", language_id.page_text(F.col("html")))
-    found = language_id.identify(pages, "page_id", "text", **language_id.page_evidence(F.col("url"), F.col("html")), model=model)
-    return found.select("page_id", "lang", F.round("confidence", 6).alias("confidence"), "text_lang")
-
-
-def op5_language_id_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every whole document's language from its text, its declared language and its source; documents have no address."""
-    docs = table(spark, sf_dir, "documents")
-    found = language_id.identify(docs, "doc_id", "text", declared=F.col("lang"), host=F.col("source"), label_col="lang")
-    return found.select("doc_id", "lang", F.round("confidence", 6).alias("confidence"), "text_lang")
-
-
-#: Queries beside the one of an operator.
-MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_language_id_documents": op5_language_id_documents}
+    """The language of every page, from its text, lang attribute, address suffix and the priors of its host, and of every whole document, from
+    its text, declared language and source (documents have no address); one text model, of the labelled documents, for both."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language_id.learn(docs, "text", "lang", "doc_id")
+    of_docs = language_id.identify(docs, "doc_id", "text", declared=F.col("lang"), host=F.col("source"), model=model)
+    read = pages.withColumn("text", language_id.page_text(F.col("html")))
+    of_pages = language_id.identify(read, "page_id", "text", **language_id.page_evidence(F.col("url"), F.col("html")), model=model)
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    shown = ["lang", F.round("confidence", 6).alias("confidence"), "text_lang"]
+    return of_docs.select("doc_id", none(pages, "page_id"), *shown).unionByName(of_pages.select(none(docs, "doc_id"), "page_id", *shown))
 
 
 @query
