@@ -23,7 +23,7 @@ any labelled row every language is undetermined; an empty table gives no rows; o
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -83,7 +83,7 @@ def learn(df: DataFrame, text_col: str, label_col: str, id_col: str, sample: int
     return languages, np.log(table / table.sum(1, keepdims=True))
 
 
-def _text_scores(df: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
+def _text_scores(df: DataFrame, languages: list[str], table: np.ndarray, read: Callable[[str], str] | None) -> DataFrame:
     """Each row with the log likelihoods of its text, undetermined last, and the language that they favour (null without letters)."""
     shared = df.sparkSession.sparkContext.broadcast((languages, table))
     flat = -math.log(TRIGRAMS)
@@ -93,7 +93,7 @@ def _text_scores(df: DataFrame, languages: list[str], table: np.ndarray) -> Data
         row = TaskContext.get().partitionId() << 40
         for b in sliced(batches):
             scores, best = [], []
-            for text in utf8(b.column(1)):
+            for text in utf8(b.column(1)) if read is None else (read(x.as_py() or "").encode("utf-8", "replace") for x in b.column(1)):
                 counts = trigrams(text)
                 at = np.flatnonzero(counts)
                 n = int(counts[at].sum())
@@ -140,17 +140,18 @@ def _shares(rows: DataFrame, column: str, languages: list[str]) -> dict[str, lis
     return {v: [*map(float, logs[i]), -math.log(len(values))] for i, v in enumerate(values)}
 
 
-def identify(df: DataFrame, id_col: str, text_col: str, declared: Column | None = None, suffix: Column | None = None, domain: Column | None = None, host: Column | None = None, model: tuple[list[str], np.ndarray] | None = None, label_col: str | None = None) -> DataFrame:
+def identify(df: DataFrame, id_col: str, text_col: str, declared: Column | None = None, suffix: Column | None = None, domain: Column | None = None, host: Column | None = None, model: tuple[list[str], np.ndarray] | None = None, label_col: str | None = None, read: Callable[[str], str] | None = None) -> DataFrame:
     """(id, lang, confidence, text_lang): the most probable language, its posterior, and the one of the text alone.
 
-    The evidence columns are expressions over ``df``; ``model`` comes from ``learn`` or is learned from ``label_col``."""
+    The evidence columns are expressions over ``df``; ``model`` comes from ``learn`` or is learned from ``label_col``; ``read`` makes the text
+    of what the text column holds, such as ``html.words_of`` of pages, in the worker that scores it."""
     bound_batches(df)
     languages, table = model or learn(df, text_col, label_col, id_col)
     null = F.lit(None).cast("string")
     short = lambda c: F.lower(F.regexp_extract(c.cast("string"), "^[A-Za-z]*", 0)) if c is not None else null
     lowered = lambda c: F.lower(c.cast("string")) if c is not None else null
     picked = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"), short(declared).alias("declared"), lowered(suffix).alias("suffix"), lowered(domain).alias("domain"), lowered(host).alias("host"))
-    rows = materialise(_text_scores(picked, languages, table), "text-scores")
+    rows = materialise(_text_scores(picked, languages, table, read), "text-scores")
     if not languages:
         return rows.select(F.col("id").alias(id_col), F.lit(UNKNOWN).alias("lang"), F.lit(1.0).alias("confidence"), "text_lang")
     found = _counts_of(rows, [], languages).first()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelloom.llm import ann, bpe, chat, class_lm, decontaminate, language_id, ngram_join, token_files, url_filter, warc
+from pixelloom.llm import ann, bpe, chat, class_lm, decontaminate, html, language_id, ngram_join, token_files, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -155,8 +155,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
     model = language_id.learn(docs, "text", "lang", "doc_id")
     of_docs = language_id.identify(docs, "doc_id", "text", declared=F.col("lang"), host=F.col("source"), model=model)
-    read = pages.withColumn("text", language_id.page_text(F.col("html")))
-    of_pages = language_id.identify(read, "page_id", "text", **language_id.page_evidence(F.col("url"), F.col("html")), model=model)
+    of_pages = language_id.identify(pages, "page_id", "html", read=html.words_of, **language_id.page_evidence(F.col("url"), F.col("html")), model=model)
     none = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
     shown = ["lang", F.round("confidence", 6).alias("confidence"), "text_lang"]
     return of_docs.select("doc_id", none(pages, "page_id"), *shown).unionByName(of_pages.select(none(docs, "doc_id"), "page_id", *shown))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pixelloom.llm import language_id as L
+from pixelloom.llm.html import words_of
 
 WORDS = {"en": "the and with house water from".split(), "de": "der und mit haus wasser über".split(), "fr": "le et avec maison eau être".split()}
 
@@ -42,6 +43,7 @@ def test_page_evidence_decides_where_text_is_silent(spark):
     assert [tuple(r) for r in first] == [(1, "de", "de", "site1.de", "www.site1.de"), (91, "fr", "org", "other.org", "other.org"), (92, None, None, None, None)]
     model = L.learn(df.where("page_id < 40").withColumn("l", ev["declared"]), "text", "l", "page_id")
     got = {r.page_id: r.lang for r in L.identify(df, "page_id", "text", model=model, **ev).collect()}
+    assert got == {r.page_id: r.lang for r in L.identify(df, "page_id", "html", model=model, read=words_of, **ev).collect()}
     assert got[90] == "de" and got[91] == "fr"
     assert all(got[i] == ("de" if i % 2 else "fr") for i in range(40))
 
