@@ -10,8 +10,9 @@ Words that occur in no item reset the automaton, so only stretches of item words
 streamed; the test for that is one dictionary lookup per word.
 
 The items are broadcast only up to ``block_words`` words; a larger benchmark is
-dealt into several automata, and the documents pass them one after the other through
-shared storage; results don't depend on the number of automata.  Every pass is a narrow map without a shuffle.
+dealt into several automata.  Documents are then written once with a row number, every automaton reads them and writes
+what it finds, and the finds, small beside the texts, meet by row; results don't depend on the number of automata.
+With one automaton all is a narrow map without a shuffle.
 
 Defined cases: a null or empty text has no words, hence no hits; an item with null id, null
 text or no words is never found; equal items are each reported; several rows of one
@@ -26,6 +27,7 @@ from __future__ import annotations
 import functools
 import pickle
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,7 @@ BLOCK_WORDS = 500_000
 #: A-Z to a-z; every other ASCII character that is no letter or digit to a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 _WORD = re.compile(rb"[^ ]+")
+_PAIR = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
 
 def words(text: bytes) -> list[bytes]:
@@ -177,14 +180,18 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"\n".join([*out, text[done:]])
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int):
-    """Automata over the items, each of about ``block_words`` words at most, made one at a time."""
-    picked = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("body")).where("item is not null and body is not null")
+def _blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> tuple[int, Iterator[Automaton]]:
+    """How many blocks of about ``block_words`` words at most the different items make, and their automata, made one at a time."""
+    picked = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("body")).where("item is not null and body is not null").distinct()
     total = picked.agg(F.sum(F.size(F.split("body", "[^A-Za-z0-9\\x{80}-\\x{10FFFF}]+")))).first()[0] or 0
     n = max(1, -(-total // block_words))
-    for k in range(n):
-        own = picked if n == 1 else picked.where(F.pmod(F.xxhash64("item", "body"), F.lit(n)) == k)
-        yield Automaton([(r.item, r.body.encode()) for r in own.collect()], window)  # a block of bounded size
+
+    def automata() -> Iterator[Automaton]:
+        for k in range(n):
+            own = picked if n == 1 else picked.where(F.pmod(F.xxhash64("item", "body"), F.lit(n)) == k)
+            yield Automaton([(r.item, r.body.encode()) for r in own.collect()], window)  # a block of bounded size
+
+    return n, automata()
 
 
 _LOADED: dict[int, Automaton] = {}
@@ -209,33 +216,38 @@ def match(
 ) -> DataFrame:
     """(id, n_words, longest, spans, items): hit spans as half-open word ranges, merged and ascending; items sorted as strings."""
     found = "n_words long, longest long, spans array<struct<start:long,end:long>>, items array<string>"
-    state = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_body"))
-    kind = kind_of(state, id_col)
-    automata = _blocks(items, item_id_col, item_text_col, window, block_words)
+    state = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_body"), F.monotonically_increasing_id().alias("_row"))
+    kind = kind_of(state, "_id")
+    names = ["_row", "_id", "n_words", "longest", "spans", "items"]
+    n, automata = _blocks(items, item_id_col, item_text_col, window, block_words)
+    if n > 1:
+        state = materialise(state, "decontaminate")  # the blocks' finds meet by row
+    parts = []
     for k, automaton in enumerate(automata):
-        if k:
-            state = materialise(state, "decontaminate")
         shared = _Shared(docs.sparkSession, automaton)
 
-        def run(b: pa.RecordBatch, shared=shared, first=k == 0) -> pa.RecordBatch:
+        def run(b: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             own = _loaded(shared)
-            n_words, longest, spans, names = [], [], [], []
-            before = [None] * b.num_rows if first else list(zip(*(b.column(i).to_pylist() for i in (3, 4, 5)), strict=True))
-            for text, was in zip(utf8(b.column(1)), before, strict=True):
-                n, s, i, most = own.scan(text)
-                i = {own.names[x] for x in i}
-                if was:
-                    most, i, s = max(most, was[0]), i | set(was[2]), _merged([*s, *((x["start"], x["end"]) for x in was[1])])
-                n_words.append(n)
-                longest.append(most)
-                spans.append([{"start": x, "end": y} for x, y in s])
-                names.append(sorted(i))
-            pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-            columns = [b.column(0), b.column(1), pa.array(n_words, pa.int64()), pa.array(longest, pa.int64()), pa.array(spans, pa.list_(pair)), pa.array(names, pa.list_(pa.string()))]
-            return pa.RecordBatch.from_arrays(columns, names=[id_col, "_body", "n_words", "longest", "spans", "items"])
-
-        state = map_batches(state, run, f"`{id_col}` {kind}, _body string, {found}")
-    return state.drop("_body")
+            rows = [own.scan(text) for text in utf8(b.column(1))]
+            n_words, spans, items, longest = ([r[i] for r in rows] for i in range(4))
+            spans = [[{"start": x, "end": y} for x, y in s] for s in spans]
+            items = [sorted(own.names[x] for x in i) for i in items]
+            columns = [b.column(2), b.column(0), pa.array(n_words, pa.int64()), pa.array(longest, pa.int64()), pa.array(spans, pa.list_(_PAIR)), pa.array(items, pa.list_(pa.string()))]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        part = map_batches(state, run, f"_row long, _id {kind}, {found}")
+        parts.append(part if n == 1 else materialise(part if k == 0 else part.where("longest > 0"), "decontaminate"))
+    if n == 1:
+        return parts[0].select(F.col("_id").alias(id_col), *names[2:])
+    both = lambda c: F.flatten(F.collect_list(c)).alias(c)  # noqa: E731 what one document hits
+    met = functools.reduce(DataFrame.unionAll, parts).groupBy("_row").agg(F.first("_id").alias("_id"), F.max("n_words").alias("n_words"), F.max("longest").alias("longest"), both("spans"), both("items"))
+
+    def merge(b: pa.RecordBatch) -> pa.RecordBatch:
+        spans = [[{"start": x, "end": y} for x, y in _merged([(x["start"], x["end"]) for x in s])] for s in b.column(4).to_pylist()]
+        items = [sorted(set(i)) for i in b.column(5).to_pylist()]
+        return pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(spans, pa.list_(_PAIR)), pa.array(items, pa.list_(pa.string()))], names=names)
+
+    return map_batches(met, merge, f"_row long, _id {kind}, {found}").select(F.col("_id").alias(id_col), *names[2:])
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -256,7 +268,7 @@ def decontaminate(
     Coverage and cuts are those of the spans merged over all blocks.  Cutting is repeated over all blocks until no window is left,
     as the two sides of a cut could make one."""
     at = docs.columns.index(text_col)
-    automata = [_Shared(docs.sparkSession, automaton) for automaton in _blocks(items, item_id_col, item_text_col, window, block_words)]
+    automata = [_Shared(docs.sparkSession, automaton) for automaton in _blocks(items, item_id_col, item_text_col, window, block_words)[1]]
     if len(automata) > 1:
         return _decontaminate_blocks(docs, at, automata, max_coverage)
     shared = automata[0]
@@ -278,45 +290,40 @@ def decontaminate(
 
 
 def _decontaminate_blocks(docs: DataFrame, at: int, automata: list[_Shared], max_coverage: float) -> DataFrame:
-    """Rounds over all blocks: spans are merged block by block, then cut at once; rows without any are done, the others have another round."""
-    pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    """Rounds over all blocks: every block finds spans in the texts as they are, the spans of a row are merged and cut at once;
+    rows without any are done, the others have another round.  Texts are written once a round, not once a block."""
     plain = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])  # names may clash in a file
     names = plain.columns
-    kinds = StructType([*plain.schema, *StructType.fromDDL("_spans array<struct<start:long,end:long>>")])
+    kinds = StructType([*plain.schema, *StructType.fromDDL("_row long, _hit boolean")])
 
-    def scanned(state: DataFrame, shared: _Shared, first: bool) -> DataFrame:
+    def found(state: DataFrame, shared: _Shared) -> DataFrame:
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
-            own, spans = _loaded(shared), []
-            before = [[]] * b.num_rows if first else b.column(b.num_columns - 1).to_pylist()
-            for text, was in zip(utf8(b.column(at)), before, strict=True):
-                spans.append([{"start": x, "end": y} for x, y in _merged([*own.scan(text)[1], *((x["start"], x["end"]) for x in was)])])
-            columns = [*(b.columns if first else b.columns[:-1]), pa.array(spans, pa.list_(pair))]
-            return pa.RecordBatch.from_arrays(columns, names=kinds.names)
+            own = _loaded(shared)
+            spans = [[{"start": x, "end": y} for x, y in own.scan(text)[1]] for text in utf8(b.column(1))]
+            return pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, pa.list_(_PAIR))], names=["_row", "_spans"])
 
-        return materialise(map_batches(state, run, kinds), "decontaminate")
+        hits = map_batches(state.select("_row", names[at]), run, "_row long, _spans array<struct<start:long,end:long>>")
+        return materialise(hits.where(F.size("_spans") > 0), "decontaminate")
 
     def cut_all(state: DataFrame, judged: bool) -> DataFrame:
         def run(b: pa.RecordBatch) -> pa.RecordBatch:
-            texts, keep = [], []
-            for text, found in zip(utf8(b.column(at)), b.column(b.num_columns - 1).to_pylist(), strict=True):
-                spans = [(x["start"], x["end"]) for x in found]
-                keep.append(not judged or sum(e - s for s, e in spans) <= max_coverage * len(words(text)))
-                texts.append(cut(text, spans))
-            columns = list(b.columns[:-1])
+            texts, keep, hit = [], [], b.column(b.num_columns - 1).is_valid()
+            for given, text, own in zip(b.column(at).is_valid().to_pylist(), utf8(b.column(at)), b.column(b.num_columns - 1).to_pylist(), strict=True):
+                spans = _merged([(x["start"], x["end"]) for x in own or ()])
+                keep.append(not spans or not judged or sum(e - s for s, e in spans) <= max_coverage * len(words(text)))
+                texts.append((cut(text, spans) if spans else text) if given else None)
+            columns = [*b.columns[:-1], hit]
             columns[at] = pa.array(texts, pa.binary()).cast(b.column(at).type)
-            return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
-
-        return materialise(map_batches(state, run, plain.schema), "decontaminate")
-
-    done, state, judged = [], plain, True
-    while True:
-        for k, shared in enumerate(automata):
-            state = scanned(state, shared, k == 0)
-        hit = F.size("_spans") > 0
-        done.append(state.where(~hit).select(names))
-        state = state.where(hit)
-        if state.isEmpty():
-            break
+            return pa.RecordBatch.from_arrays(columns, names=kinds.names).filter(pa.array(keep, pa.bool_()))
+
+        hits = functools.reduce(DataFrame.unionAll, [found(state, shared) for shared in automata])
+        hits = hits.groupBy("_row").agg(F.flatten(F.collect_list("_spans")).alias("_spans"))  # what one document hits
+        return materialise(map_batches(state.join(hits, "_row", "left").select(*names, "_row", "_spans"), run, kinds), "decontaminate")
+
+    done, judged = [], True
+    state = materialise(plain.withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
+    while not state.isEmpty():
         state, judged = cut_all(state, judged), False
-    out = functools.reduce(DataFrame.unionAll, done)
-    return docs.sparkSession.createDataFrame([], docs.schema).unionAll(out)
+        done.append(state.where(~F.col("_hit")).select(names))
+        state = state.where("_hit").drop("_hit")
+    return functools.reduce(DataFrame.unionAll, done, docs.sparkSession.createDataFrame([], docs.schema))
