@@ -96,11 +96,12 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(-1, dim)
 
 
-def _usable(df: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int, float]:
-    """(id, vec) of the vectors that take part, packed as doubles; their dimension and the largest norm."""
+def _usable(df: DataFrame, is_query: Column, id_col: str, vector_col: str) -> tuple[DataFrame, int, float]:
+    """(id, vec, asked) of the vectors that take part, packed as doubles, and whether they are queries; their dimension and the largest norm."""
     v = F.col("v")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & v.isNotNull() & fine)
+    asked = F.coalesce(is_query.cast("boolean"), F.lit(False)).alias("asked")
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), asked).where(F.col("id").isNotNull() & v.isNotNull() & fine)
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
     dims = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max(norm).alias("norm")).orderBy(F.desc("n"), "dim").first()
     if dims is None:
@@ -109,9 +110,9 @@ def _usable(df: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             flat = np.ascontiguousarray(b.column(1).flatten().to_numpy(zero_copy_only=False), "<f8").reshape(b.num_rows, -1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in flat], pa.binary())], names=["id", "vec"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in flat], pa.binary()), b.column(2)], names=["id", "vec", "asked"])
 
-    return rows.where(F.size("v") == dims.dim).mapInArrow(pack, "id long, vec binary"), dims.dim, dims.norm
+    return rows.where(F.size("v") == dims.dim).mapInArrow(pack, "id long, vec binary, asked boolean"), dims.dim, dims.norm
 
 
 def _best(query_ids: np.ndarray, queries: np.ndarray, own: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,7 +184,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
     ``is_query`` is a condition on the id column of ``df``; candidates are all rows of another id than the query's.  Without ``reach`` it is measured."""
     bound_batches(df)
     spark = df.sparkSession
-    usable, dim, norm = _usable(df, id_col, vector_col)
+    usable, dim, norm = _usable(df, is_query, id_col, vector_col)
     if not dim:
         return usable.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     directions, shifts = _directions(dim, curves, DIMENSIONS)
@@ -196,11 +197,9 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
             stored = np.column_stack((x / norm, np.sqrt(np.maximum(0, 1 - (size / norm) ** 2))))
             asked = np.column_stack((x / size[:, None], np.zeros(len(x))))
             own = [keys(u, directions, shifts, bits) for u in (stored, asked)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(list(o), pa.list_(pa.int64())) for o in own)], names=["id", "vec", "keys", "query_keys"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *(pa.array(list(o), pa.list_(pa.int64())) for o in own), b.column(2)], names=["id", "vec", "keys", "query_keys", "asked"])
 
-    table = materialise(usable.mapInArrow(index, "id long, vec binary, keys array<long>, query_keys array<long>"), "curves")
-    asked = df.where(is_query).select(F.col(id_col).cast("long").alias("query")).distinct()
-    table = table.join(asked, F.col("id") == F.col("query"), "left").select("id", "vec", "keys", "query_keys", F.col("query").isNotNull().alias("asked"))
+    table = materialise(usable.mapInArrow(index, "id long, vec binary, keys array<long>, query_keys array<long>, asked boolean"), "curves")
     bounds = _bounds(table, curves, max(1, min(MOST_BLOCKS, table.count() // BLOCK_ROWS)))
     reach = max(1, _reach(table, bounds, k, dim) if reach is None else reach)
     bounds = [b[reach - 1 :: reach] for b in bounds]  # windows of ``reach`` blocks: what is within the reach is in a neighbouring one
