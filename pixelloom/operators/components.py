@@ -2,8 +2,8 @@
 
 Each round is two grouped minima and two equi-joins; labels are never collected, and every
 round's edges are written to shared storage, which cuts the lineage without a local copy.
-The minima combine on the map side, and a hub's edges sit in a plain inner join that adaptive
-execution can split, so a component that holds a third of all nodes does not meet in one task.
+The minima combine on the map side, and the edges of the largest hubs get theirs from a broadcast of
+bounded size, so a node that a third of all edges share does not meet in one task.
 The number of rounds grows with the logarithm of the number of nodes.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pixelloom.operators.keyed import attach
 from pixelloom.sources.storage import materialise
 
 
@@ -22,14 +23,14 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, F.col("u") == F.col("w")).where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"), "n")
+    return attach(both.where("v > u"), least, "u", "w", "n").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least.withColumnRenamed("a", "w"), F.col("a") == F.col("w")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    least = edges.groupBy(F.col("a").alias("w")).agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    moved = attach(edges, least, "a", "w", "n").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.union(least.select("w", "m")).distinct()
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:

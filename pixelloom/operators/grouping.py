@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixelloom.operators.components import connected_components
+from pixelloom.operators.keyed import attach
 from pixelloom.operators.numbering import numbered
 
 
@@ -24,20 +25,22 @@ def components_of(members: DataFrame, edges: DataFrame, gid: str = "gid") -> Dat
 def with_size(members: DataFrame, gid: str = "gid") -> DataFrame:
     """the size of a member's group, by a combinable count and a join rather than a window over the group."""
     sizes = members.groupBy(F.col(gid).alias("_g")).agg(F.count("*").alias("size"))
-    return members.join(sizes, F.col(gid).eqNullSafe(F.col("_g"))).drop("_g")
+    return attach(members, sizes, gid, "_g", "size")
 
 
 def number_groups(members: DataFrame, gid: str = "gid", has_hash: Column | None = None) -> DataFrame:
     """``group_id`` counts from 1 by the first ord of a group, groups with a hash first."""
     flag = F.max(has_hash.cast("int")) if has_hash is not None else F.lit(1)
-    groups = members.groupBy(F.col(gid).alias("_g")).agg(F.min("ord").alias("_first"), flag.alias("_hash"))
-    placed = numbered(groups, [F.desc("_hash"), F.asc("_first")]).select("_g", (F.col("n") + 1).alias("group_id"))
-    return members.join(placed, F.col(gid).eqNullSafe(F.col("_g"))).drop("_g")
+    groups = members.groupBy(F.col(gid).alias("_g")).agg(F.min("ord").alias("_first"), flag.alias("_hash"), F.count("*").alias("_size"))
+    placed = numbered(groups, [F.desc("_hash"), F.asc("_first")]).select("_g", (F.col("n") + 1).alias("group_id"), "_size")
+    return attach(members, placed, gid, "_g", "_size").drop("_size")
 
 
 def chunks(members: DataFrame, n: int, gid: str = "gid", drop_single: bool = False) -> DataFrame:
-    """``chunk`` of ``n`` consecutive members by ord; a tail of one may be dropped."""
-    out = members.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy(gid).orderBy("ord")) - 1) / n).cast("long"))
+    """``chunk`` of ``n`` consecutive members by ord; a tail of one may be dropped.
+
+    Members are numbered by ranges, not by a window over the group, as a group may hold a third of all members."""
+    out = numbered(members, ["ord"], [gid], "_at").withColumn("chunk", F.floor(F.col("_at") / n).cast("long")).drop("_at")
     if not drop_single:
         return out
     sizes = out.groupBy(F.col(gid).alias("_g"), F.col("chunk").alias("_k")).agg(F.count("*").alias("_m"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pixelloom.operators.keyed import attach
+
 
 def group_sizes(members: DataFrame, gid: str = "gid") -> DataFrame:
     return members.groupBy(gid).agg(F.count("*").alias("size"))
@@ -58,8 +60,8 @@ def with_status(members: DataFrame, gid: str = "gid", quality: str = "quality")
     The best is found by a combinable aggregate, so a group of any size is one row before it meets its members."""
     q = F.coalesce(F.col(quality).cast("double"), F.lit(0.0))
     best = members.groupBy(F.col(gid).alias("_g")).agg(F.max(F.struct(q.alias("q"), (-F.col("ord")).alias("o"))).alias("_best"), F.count("*").alias("size"))
-    joined = members.join(best, F.col(gid).eqNullSafe(F.col("_g")))
-    return joined.withColumn("status", F.when(F.col("ord") == -F.col("_best.o"), "Best").otherwise("Duplicate")).drop("_g", "_best")
+    joined = attach(members, best, gid, "_g", "size")
+    return joined.withColumn("status", F.when(F.col("ord") == -F.col("_best.o"), "Best").otherwise("Duplicate")).drop("_best")
 
 
 def report(members: DataFrame, group_id: str = "group_id", quality: str = "quality") -> DataFrame:

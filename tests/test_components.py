@@ -1,5 +1,6 @@
 import random
 
+from pixelloom.operators import grouping, keyed
 from pixelloom.operators.components import connected_components
 
 
@@ -23,3 +24,31 @@ def test_components_equal_union_find(spark):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_components_do_not_depend_on_which_nodes_are_hot(spark, monkeypatch):
+    """A star of half of all edges, chains and small groups: no hub, some hubs and all nodes by broadcast."""
+    edges = [(7, 1000 + i) for i in range(300)] + [(5000, i) for i in range(100, 400)] + [(i, i + 1) for i in range(2000, 2040)] + [(3000 + i, 3000 + i % 5) for i in range(60)]
+    found = []
+    for hot in (1, 3, 1000):
+        monkeypatch.setattr(keyed, "HOT", hot)
+        found.append(sorted(map(tuple, connected_components(spark.createDataFrame(edges, "src long, dst long")).collect())))
+    assert found[0] == found[1] == found[2] and dict(found[0])[1299] == 7 and dict(found[0])[5000] == 100 and dict(found[0])[2040] == 2000
+
+
+def test_attach_with_null_keys_ties_and_clashing_names(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 9 + [None] * 5 + [2, 2, 3, 3, 4])], "gid long, size long")
+    found = rows.groupBy("gid").count().withColumnRenamed("gid", "_g").withColumnRenamed("count", "size")
+    for hot in (1, 2, 3, 9):
+        monkeypatch.setattr(keyed, "HOT", hot)
+        got = keyed.attach(rows, found.where("_g is null or _g <> 4"), "gid", "_g", "size")
+        assert got.columns == ["gid", "size", "size"]
+        assert sorted((r[1], r[0], r[2]) for r in got.collect()) == [(i, k, n) for i, (k, n) in enumerate([(1, 9)] * 9 + [(None, 5)] * 5 + [(2, 2)] * 2 + [(3, 2)] * 2)]
+    assert keyed.attach(rows.limit(0), found, "gid", "_g", "size").count() == 0
+
+
+def test_chunks_of_hot_groups(spark):
+    members = spark.createDataFrame([(k, o) for k, n in ((1, 101), (2, 5), (3, 1)) for o in range(n)], "gid long, ord long")
+    got = sorted(map(tuple, grouping.chunks(members, 25).collect()))
+    assert got == sorted((k, o, o // 25) for k, n in ((1, 101), (2, 5), (3, 1)) for o in range(n))
+    assert grouping.chunks(members, 25, drop_single=True).where("gid = 1 and ord = 100 or gid = 3").count() == 0
