@@ -17,8 +17,10 @@ similarity of their sets reaches a rational threshold; the join is exact up to c
 3. *Trie*: the sets of families are brought together.  Within a family, sets are ordered by frequency, stored in
    a trie whose levels are blocks of bits, and every set walks the trie at once: the overlap of a shared
    prefix is computed once for all sets below it, and a subtree is left as soon as the shingles that remain
-   can't lift the overlap to what the lengths require.  A family beyond ``GROUP_SHINGLES`` is split into
-   blocks by hash and every pair of blocks is a group of its own, so no family has to fit in one task.
+   can't lift the overlap to what the lengths require.  A family beyond ``GROUP_SHINGLES`` first
+   loses the sets that share too few shingles with all its others to link with any; if it is still beyond, it is split into
+   blocks by hash and every pair of blocks is a group of its own, so no family has to fit in one task.  Pairs of blocks are
+   dealt out in turns, each of about all sets once, so disk doesn't grow with the square of a family.
    A group returns a spanning forest of its links, never all pairs.
 4. *Components* of the links, smallest document id first.
 
@@ -416,6 +418,51 @@ def _members_linked(groups: DataFrame, num: int, den: int) -> DataFrame:
     return groups.mapInArrow(run, "src long, dst long")
 
 
+def _blocks(members: DataFrame) -> DataFrame:
+    """(family, blocks) of families of two or more sets: one block, or so many that any two blocks make a group."""
+    blocks = F.greatest(F.ceil(2 * F.col("shingles") / GROUP_SHINGLES), F.ceil(2 * F.col("sets") / GROUP_SETS))
+    sizes = members.groupBy("family").agg(F.sum("n").alias("shingles"), F.count("*").alias("sets")).where("sets > 1")
+    return sizes.select("family", F.when((F.col("shingles") <= GROUP_SHINGLES) & (F.col("sets") <= GROUP_SETS), 1).otherwise(blocks).cast("int").alias("blocks"))
+
+
+def _with_sets(members: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """``members`` with the ``set`` of each."""
+    sets = _sets(docs, _bloom(members.select("rep"), members.count()), n)
+    own = members.withColumnsRenamed({"k1": "m1", "k2": "m2"}).join(sets, (F.col("m1") == F.col("k1")) & (F.col("m2") == F.col("k2")))
+    return own.select(*members.columns, "set")
+
+
+def _may_link(split: DataFrame, num: int, den: int) -> DataFrame:
+    """Of the sets of large families those that may link: x links with y only if they share ``num / den`` of x's shingles, so a set
+    with more shingles that no other set of its family has links with none.  Families are mostly chains of such sets, by passages that they share."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, len(b), 64):
+                part = b.slice(lo, 64)
+                sets = [np.frombuffer(x.as_py(), np.uint64) for x in part.column(2)]
+                size = [len(x) for x in sets]
+                family, rep = (np.repeat(part.column(i).to_numpy(), size) for i in range(2))
+                yield pa.RecordBatch.from_arrays([pa.array(family), pa.array(rep), pa.array(np.concatenate(sets).view(np.int64))], names=["family", "rep", "shingle"])
+
+    each = split.select("family", "rep", "set").mapInArrow(explode, "family long, rep long, shingle long")
+    lone = each.groupBy("family", "shingle").agg(F.count("*").alias("sets"), F.min("rep").alias("rep")).where("sets = 1")
+    alone = lone.groupBy(F.col("family").alias("_f"), F.col("rep").alias("_r")).agg(F.count("*").alias("_alone"))
+    out = split.join(alone, (F.col("family") == F.col("_f")) & (F.col("rep") == F.col("_r")), "left")
+    return out.where((F.col("n") - F.coalesce("_alone", F.lit(0))) * den >= num * F.col("n")).select(split.columns)
+
+
+def _dealt(members: DataFrame, turn: int = 0, turns: int = 1) -> DataFrame:
+    """Groups of sets, sorted by group: a family of one block, else each two blocks; of these the ones whose distance around the circle of blocks falls in this turn."""
+    own = F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int")
+    gap = lambda x: F.least(F.pmod(x - F.col("own"), F.col("blocks")), F.pmod(F.col("own") - x, F.col("blocks")))
+    other = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: (x != F.col("own")) & ((gap(x) - 1) % turns == turn))
+    alone = F.array(F.lit(0)) if turn == 0 else F.array().cast("array<int>")
+    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.when(F.col("blocks") == 1, alone).otherwise(other)))
+    groups = dealt.select("family", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"), "rep", "set")
+    return groups.repartition("family", "block_a", "block_b").sortWithinPartitions("family", "block_a", "block_b")
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, threshold: tuple[int, int] = (90, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row; ids are long integers, the threshold a fraction."""
     bound_batches(docs)
@@ -430,16 +477,17 @@ def jaccard_components(docs: DataFrame, n: int = 3, threshold: tuple[int, int] =
     own = F.filter(F.array(*[F.struct(*map(F.lit, x)) for x in plan]), lambda x: (x["col1"] <= F.col("n")) & (F.col("n") <= x["col2"])) if plan else F.array()
     marked = nodes.withColumn("level", F.explode(own)).withColumn("node", F.col("k1").bitwiseXOR(F.col("level.col3"))) if plan else nodes.withColumn("node", F.col("k1"))
     members = materialise(marked.join(families, F.col("node") == F.col("k")).select("k1", "k2", "rep", "n", "family"), "members")
-    sizes = members.groupBy("family").agg(F.sum("n").alias("shingles"), F.count("*").alias("sets"))
-    blocks = F.greatest(F.ceil(2 * F.col("shingles") / GROUP_SHINGLES), F.ceil(2 * F.col("sets") / GROUP_SETS))
-    sizes = sizes.where("sets > 1").select(F.col("family").alias("f"), F.when((F.col("shingles") <= GROUP_SHINGLES) & (F.col("sets") <= GROUP_SETS), 1).otherwise(blocks).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")).cast("int")
-    other = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("own"))
-    dealt = members.join(sizes, F.col("family") == F.col("f")).withColumn("own", own).withColumn("other", F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(other)))
-    dealt = dealt.select(F.col("k1").alias("m1"), F.col("k2").alias("m2"), "rep", "family", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"))
-    sets = _sets(picked, _bloom(members.select("rep"), members.count()), n)
-    groups = dealt.join(sets, (F.col("m1") == F.col("k1")) & (F.col("m2") == F.col("k2"))).select("family", "block_a", "block_b", "rep", "set")
-    links = _members_linked(groups.repartition("family", "block_a", "block_b").sortWithinPartitions("family", "block_a", "block_b"), num, den)
+    sizes = _blocks(members)
+    total, large = members.join(sizes, "family").agg(F.sum("n"), F.max("blocks")).first()
+    links = _members_linked(_dealt(_with_sets(members.join(sizes.where("blocks = 1"), "family"), picked, n)), num, den)
+    if (large or 0) > 1:
+        split = materialise(_with_sets(members.join(sizes.where("blocks > 1"), "family"), picked, n).drop("blocks"), "split")
+        split = materialise(_may_link(split, num, den), "split")
+        split = split.join(_blocks(split), "family")
+        most, again = split.agg(F.max("blocks"), F.sum(F.col("n") * F.greatest(F.col("blocks") - 1, F.lit(1)))).first()
+        turns = max(1, min((most or 0) // 2, math.ceil((again or 0) / total)))  # what a turn deals out is little more than all sets once
+        for turn in range(turns):
+            links = links.union(materialise(_members_linked(_dealt(split, turn, turns), num, den), "links"))
     components = connected_components(links).select(F.col("node").alias("rep_node"), "component")
     reps = nodes.select(F.col("k1").alias("r1"), F.col("k2").alias("r2"), "rep").join(components, F.col("rep") == F.col("rep_node"), "left")
     reps = reps.select("r1", "r2", F.coalesce("component", "rep").alias("root"))

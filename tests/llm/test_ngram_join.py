@@ -101,3 +101,25 @@ def test_near_sets_share_a_signature(base, threshold, r):
         least = [k for k in slices.levels(min(len(base), len(other))) if k in level][0]
         shared = {s for s, mark in signs[0] & signs[1] if mark == slices.mark(least)}
         assert len(shared) >= slices.need[least] >= 1
+
+
+def test_sets_of_a_large_family_that_cannot_link_are_not_dealt_out(spark, monkeypatch):
+    """Texts chained by a passage that all have, and a few near copies: what goes to pairs of blocks is no multiple of the texts."""
+    monkeypatch.setattr(J, "GROUP_SETS", 8)
+    r = random.Random(9)
+    text = lambda k: [f"w{r.randrange(10**6)}" for _ in range(k)]
+    passage, base = text(60), text(90)
+    rows = [(i, " ".join(passage + text(30))) for i in range(160)] + [(200 + i, " ".join(base[:-1] + text(1) + passage)) for i in range(6)]
+    dealt, groups = [], J._members_linked
+    monkeypatch.setattr(J, "_members_linked", lambda g, *how: dealt.append(g.count()) or groups(g, *how))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, J.jaccard_components(df, 5, (80, 100)).collect())) == brute(rows, 5, 80, 100)
+    assert sum(dealt) <= 2 * len(rows)
+
+
+@pytest.mark.parametrize("turns", [1, 2, 3, 7])
+def test_turns_deal_out_each_pair_of_blocks_once(spark, turns):
+    members = spark.range(60).selectExpr("id % 2 as family", "id as k1", "id as k2", "id as rep", "cast('' as binary) as set", "cast(if(id % 2 = 0, 1, 7) as int) as blocks")
+    dealt = [(r.family, r.block_a, r.block_b, r.rep) for t in range(turns) for r in J._dealt(members, t, turns).collect()]
+    assert len(dealt) == len(set(dealt)) == 30 + 30 * 6
+    assert len({d[:3] for d in dealt}) == 1 + 21
