@@ -11,23 +11,24 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixelloom.config import DedupConfig
 from pixelloom.functions import vectors as V
-from pixelloom.operators import blocking, grouping, statistics
+from pixelloom.functions.kernels import COSINE, Kernel, local_kernel
+from pixelloom.operators import blocking, grouping, pairs, statistics
 from pixelloom.sources.storage import materialise
 
 
 def wavelet_stage(images: DataFrame, config: DedupConfig, hash_col: str = "wavelet") -> DataFrame:
     """LSH bands, capped pairs, Hamming similarity, components; images without a hash are groups of their own."""
     buckets = blocking.lsh_buckets(images, hash_col, "ord", config.bands, config.band_width, config.band_in_key)
-    pairs = blocking.bucket_pairs(buckets, config.bucket_cap, config.pair_cap)
+    candidates = blocking.bucket_pairs(buckets, config.bucket_cap, config.pair_cap)
     words = images.select(F.col("ord").alias("_o"), V.pack_bits(F.col(hash_col)).alias("_w"), F.size(hash_col).alias("_n"))
     a = words.select(F.col("_o").alias("_oa"), F.col("_w").alias("_wa"), F.col("_n").alias("_na"))
     b = words.select(F.col("_o").alias("_ob"), F.col("_w").alias("_wb"), F.col("_n").alias("_nb"))
-    scored = pairs.join(a, F.col("src") == F.col("_oa")).join(b, F.col("dst") == F.col("_ob")).where("_na = _nb")
+    scored = candidates.join(a, F.col("src") == F.col("_oa")).join(b, F.col("dst") == F.col("_ob")).where("_na = _nb")
     edges = scored.where(V.hamming_words(F.col("_wa"), F.col("_wb"), F.col("_na")) >= config.wavelet_threshold).select("src", "dst")
     return grouping.components_of(images.withColumn("gid", F.col("ord")), edges)
 
@@ -39,16 +40,14 @@ def _route(members: DataFrame, cap: int) -> tuple[DataFrame, DataFrame]:
     return sized.where(work).drop("size"), sized.where(~work).drop("size")
 
 
-def refine(members: DataFrame, score: Column, threshold: float, values: list[str], cap: int, config: DedupConfig, chunk: int | None = None, drop_single: bool = False) -> tuple[DataFrame, DataFrame]:
+def refine(members: DataFrame, kernel: Kernel, threshold: float, value: str, cap: int, config: DedupConfig, chunk: int | None = None, drop_single: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, scores): groups split into the components of pairs with score >= threshold.
 
-    ``score`` is an expression over the pair's value columns with _a and _b.  With ``chunk``, groups over the cap are cut
+    ``kernel`` scores pairs by their ``value``.  With ``chunk``, groups over the cap are cut
     into runs of ``chunk`` members, and pairs are taken inside these; else they pass."""
     if config.mode == "compat":
         members = grouping.with_size(members).where("size > 1").drop("size")
-    present = F.lit(True)
-    for v in values:
-        present = present & F.col(v).isNotNull()
+    present = F.col(value).isNotNull()
     if chunk is None:
         work, passed = _route(members, cap)
         work = work.withColumn("chunk", F.lit(0).cast("long"))
@@ -57,9 +56,9 @@ def refine(members: DataFrame, score: Column, threshold: float, values: list[str
         small = sized.where(F.col("size") <= cap).drop("size").withColumn("chunk", F.lit(0).cast("long"))
         large = grouping.chunks(sized.where(F.col("size") > cap).drop("size"), chunk, drop_single=config.mode == "compat")
         work, passed = small.unionByName(large), members.limit(0)
-    pairs = blocking.group_pairs(work.where(present), ["gid", "chunk"], "ord", values).withColumn("score", score)
-    scores = pairs.select("src", "dst", "score")
-    refined = grouping.components_of(work, scores.where(F.col("score") >= threshold).select("src", "dst")).drop("chunk")
+    paired = work.where(present), ["gid", "chunk"], value, kernel
+    scores = pairs.score_pairs(*paired, "score double").select("src", "dst", "score")
+    refined = grouping.components_of(work, pairs.link_pairs(*paired, threshold)).drop("chunk")
     if config.mode == "compat":
         refined = refined.where(present)
         if drop_single:
@@ -95,13 +94,11 @@ def color_stage(members: DataFrame, metrics: DataFrame, config: DedupConfig) ->
 
 
 def global_stage(members: DataFrame, config: DedupConfig, vector: str = "global") -> tuple[DataFrame, DataFrame]:
-    score = V.cosine(F.col(f"{vector}_a"), F.col(f"{vector}_b"))
-    return refine(members, score, config.global_threshold, [vector], config.global_cap, config, config.global_chunk)
+    return refine(members, COSINE, config.global_threshold, vector, config.global_cap, config, config.global_chunk)
 
 
 def local_stage(members: DataFrame, config: DedupConfig, descriptors: str = "descriptors") -> tuple[DataFrame, DataFrame]:
-    score = V.local_similarity(F.col(f"{descriptors}_a"), F.col(f"{descriptors}_b"), config.ratio)
-    return refine(members, score, config.local_threshold, [descriptors], config.local_cap, config, drop_single=True)
+    return refine(members, local_kernel(config.ratio), config.local_threshold, descriptors, config.local_cap, config, drop_single=True)
 
 
 def deduplicate(images: DataFrame, metrics: DataFrame | None, config: DedupConfig, adaptive: bool = False, progress: Callable[[str, float], None] | None = None) -> dict[str, DataFrame]:
