@@ -48,10 +48,13 @@ def thresholds_by_mean_size(sizes: DataFrame, global_: float = 0.85, local: floa
     )
 
 
-def summary(members: DataFrame, scores: DataFrame, gid: str = "gid") -> DataFrame:
-    """One row: groups, duplicates, sizes and the mean of all known similarities (null without any)."""
+def summary(members: DataFrame, scores: DataFrame, gid: str = "gid", count: str | None = None) -> DataFrame:
+    """One row: groups, duplicates, sizes and the mean of all known similarities (null without any).
+
+    With ``count``, a row of ``scores`` is the sum of so many."""
+    mean = F.avg("score") if count is None else F.try_divide(F.sum("score"), F.sum(count))
     sizes = group_sizes(members, gid).agg(F.count("*").alias("groups"), F.coalesce(F.sum(F.col("size") - 1), F.lit(0)).alias("duplicates"), F.avg("size").alias("mean_size"), F.max("size").alias("max_size"), F.min("size").alias("min_size"))
-    return sizes.join(scores.agg(F.avg("score").alias("mean_similarity")))  # one row each
+    return sizes.join(scores.agg(mean.alias("mean_similarity")))  # one row each
 
 
 def with_status(members: DataFrame, gid: str = "gid", quality: str = "quality") -> DataFrame:
@@ -71,17 +74,23 @@ def report(members: DataFrame, group_id: str = "group_id", quality: str = "quali
     return out.orderBy("Group ID", F.desc("Status"), "Image Path")
 
 
-def group_information(members: DataFrame, scores: DataFrame, gid: str = "gid", quality: str = "quality") -> DataFrame:
-    """Per group of two or more: size, best, average of the known pair scores (0 if none) and quality improvement."""
+def group_information(members: DataFrame, scores: DataFrame | None = None, gid: str = "gid", quality: str = "quality", average: DataFrame | None = None) -> DataFrame:
+    """Per group of two or more: size, best, average of the known pair scores (0 if none) and quality improvement.
+
+    The averages come from ``scores`` of pairs (src, dst, score), or as they are from ``average`` (gid, average)."""
     rows = with_status(members, gid, quality).where("size > 1")
+    average = _averages(rows, scores, gid) if average is None else average.select(F.col(gid).alias("_g"), "average")
+    q = F.coalesce(F.col(quality).cast("double"), F.lit(0.0))
+    info = rows.groupBy(gid).agg(F.first("size").alias("size"), F.max(F.when(F.col("status") == "Best", F.col("path"))).alias("best_path"), F.max(q).alias("best_quality"), (F.max(q) - F.min(q)).alias("improvement"))
+    return info.join(average, F.col(gid) == F.col("_g"), "left").drop("_g").withColumn("average", F.coalesce("average", F.lit(0.0)))
+
+
+def _averages(rows: DataFrame, scores: DataFrame, gid: str) -> DataFrame:
     own = rows.select(F.col("ord").alias("_a"), F.col(gid).alias("_ga"))
     other = rows.select(F.col("ord").alias("_b"), F.col(gid).alias("_gb"))
     known = scores.select(F.least("src", "dst").alias("s"), F.greatest("src", "dst").alias("d"), "score").groupBy("s", "d").agg(F.max("score").alias("score"))
     inside = known.join(own, F.col("s") == F.col("_a")).join(other, F.col("d") == F.col("_b")).where("_ga = _gb")
-    average = inside.groupBy(F.col("_ga").alias("_g")).agg(F.avg("score").alias("average"))
-    q = F.coalesce(F.col(quality).cast("double"), F.lit(0.0))
-    info = rows.groupBy(gid).agg(F.first("size").alias("size"), F.max(F.when(F.col("status") == "Best", F.col("path"))).alias("best_path"), F.max(q).alias("best_quality"), (F.max(q) - F.min(q)).alias("improvement"))
-    return info.join(average, F.col(gid) == F.col("_g"), "left").drop("_g").withColumn("average", F.coalesce("average", F.lit(0.0)))
+    return inside.groupBy(F.col("_ga").alias("_g")).agg(F.avg("score").alias("average"))
 
 
 def run_summary(members: DataFrame, gid: str = "gid", quality: str = "quality") -> DataFrame:
