@@ -43,8 +43,10 @@ def _route(members: DataFrame, cap: int) -> tuple[DataFrame, DataFrame]:
 def refine(members: DataFrame, kernel: Kernel, threshold: float, value: str, cap: int, config: DedupConfig, chunk: int | None = None, drop_single: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, scores): groups split into the components of pairs with score >= threshold.
 
-    ``kernel`` scores pairs by their ``value``.  With ``chunk``, groups over the cap are cut
+    ``kernel`` scores pairs by their ``value``.  Members are written once: they are read several times, and the optimiser can fail with
+    "key not found" on constraints of computed columns under the unions of group sizes.  With ``chunk``, groups over the cap are cut
     into runs of ``chunk`` members, and pairs are taken inside these; else they pass."""
+    members = materialise(members, "members")
     if config.mode == "compat":
         members = grouping.with_size(members).where("size > 1").drop("size")
     present = F.col(value).isNotNull()
