@@ -36,7 +36,8 @@ class DedupConfig:
     pair_cap: int = 50_000
     color_cap: int = 15
     color_batch: int = 5
-    global_cap: int = 50
+    global_cap: int | None = 50
+    """None: no cap, so that groups are refined whole."""
     global_chunk: int = 25
     local_cap: int = 25
     mode: str = "preserve"

@@ -3,7 +3,7 @@
 A stage takes members (gid, path, ord, features...) and returns them with a refined ``gid``.  In ``preserve`` mode a stage
 partitions its input; in ``compat`` mode members that lack the feature, tails of one and groups that fall apart are dropped, as described by the
 configuration's variant.  Groups over a stage's cap pass unchanged, so within a stage no group is larger than its cap, and
-pairs are quadratic in the cap only.
+pairs are quadratic in the cap only; the global stage cuts them into runs instead, or, without a cap, takes every group whole.
 """
 
 from __future__ import annotations
@@ -40,17 +40,19 @@ def _route(members: DataFrame, cap: int) -> tuple[DataFrame, DataFrame]:
     return sized.where(work).drop("size"), sized.where(~work).drop("size")
 
 
-def refine(members: DataFrame, kernel: Kernel, threshold: float, value: str, cap: int, config: DedupConfig, chunk: int | None = None, drop_single: bool = False) -> tuple[DataFrame, DataFrame]:
+def refine(members: DataFrame, kernel: Kernel, threshold: float, value: str, cap: int | None, config: DedupConfig, chunk: int | None = None, drop_single: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, scores): groups split into the components of pairs with score >= threshold.
 
     ``kernel`` scores pairs by their ``value``.  Members are written once: they are read several times, and the optimiser can fail with
     "key not found" on constraints of computed columns under the unions of group sizes.  With ``chunk``, groups over the cap are cut
-    into runs of ``chunk`` members, and pairs are taken inside these; else they pass."""
+    into runs of ``chunk`` members, and pairs are taken inside these; else they pass.  Without a cap (None) pairs are taken inside whole groups."""
     members = materialise(members, "members")
     if config.mode == "compat":
         members = grouping.with_size(members).where("size > 1").drop("size")
     present = F.col(value).isNotNull()
-    if chunk is None:
+    if cap is None:
+        work, passed = members.withColumn("chunk", F.lit(0).cast("long")), members.limit(0)
+    elif chunk is None:
         work, passed = _route(members, cap)
         work = work.withColumn("chunk", F.lit(0).cast("long"))
     else:
