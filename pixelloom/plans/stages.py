@@ -45,7 +45,7 @@ def refine(members: DataFrame, kernel: Kernel, threshold: float, value: str, cap
 
     ``kernel`` scores pairs by their ``value``.  Members are written once: they are read several times, and the optimiser can fail with
     "key not found" on constraints of computed columns under the unions of group sizes.  With ``chunk``, groups over the cap are cut
-    into runs of ``chunk`` members, and pairs are taken inside these; else they pass.  Without a cap (None) pairs are taken inside whole groups."""
+    into runs of ``chunk`` members, and pairs are taken inside these; else they pass.  Without a cap (None) whole groups are linked, by ``group_links``."""
     members = materialise(members, "members")
     if config.mode == "compat":
         members = grouping.with_size(members).where("size > 1").drop("size")
@@ -62,7 +62,8 @@ def refine(members: DataFrame, kernel: Kernel, threshold: float, value: str, cap
         work, passed = small.unionByName(large), members.limit(0)
     paired = work.where(present), ["gid", "chunk"], value, kernel
     scores = pairs.score_pairs(*paired, "score double").select("src", "dst", "score")
-    refined = grouping.components_of(work, pairs.link_pairs(*paired, threshold)).drop("chunk")
+    links = pairs.link_pairs if cap is not None else grouping.group_links
+    refined = grouping.components_of(work, links(*paired, threshold)).drop("chunk")
     if config.mode == "compat":
         refined = refined.where(present)
         if drop_single:
